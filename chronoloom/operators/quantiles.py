@@ -1,23 +1,35 @@
-"""Exact interpolated quantiles per group, without gathering a group in one task."""
+"""Exact interpolated quantiles per group, without ordering a group in one task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# The approximate pass places a rank within 1 / ACCURACY of the group size. A band reaches three
-# times as far on both sides, so it holds the wanted ranks of any group larger than ACCURACY.
-ACCURACY = 10_000
+from chronoloom.functions.numeric import present
 
+# Values are first counted in buckets of a fixed relative width, then the buckets that hold a
+# wanted rank are cut again, evenly between their smallest and largest value.
+PER_OCTAVE = 256
+CUTS = 65536
+# Larger magnitudes share the outermost bucket.
+LARGEST = 1e300
 
-def _outer_bounds(probabilities: Sequence[float], accuracy: int) -> list[float]:
-    reach = 3.0 / accuracy
-    return [min(max(p + side * reach, 0.0), 1.0) for p in probabilities for side in (-1, 1)]
+
+def _coarse(v: Column) -> Column:
+    """A bucket number that never falls as the value rises."""
+    size = F.least(F.abs(v), F.lit(LARGEST))
+    return F.floor(F.signum(v) * F.log2(size + 1.0) * PER_OCTAVE)
+
+
+def _fine(v: Column, low: Column, high: Column) -> Column:
+    """An even cut of ``low..high``, never falling either."""
+    cut = F.least(F.floor((v - low) / (high - low) * CUTS), F.lit(CUTS - 1))
+    return F.when((high > low) & (high - low < LARGEST), cut).otherwise(F.lit(0))
 
 
 def quantiles(
@@ -25,66 +37,61 @@ def quantiles(
     keys: Sequence[str],
     value: str,
     probabilities: dict[str, float],
-    accuracy: int = ACCURACY,
     few_groups: bool = False,
 ) -> DataFrame:
     """One row per group, one column per named probability, linearly interpolated.
 
-    A first pass finds, per group, a narrow band of values around each wanted rank. A second pass
-    counts values: inside the bands each distinct value keeps its own count, and all values
-    between two bands share one count. The ranks are then read off a running sum over those
-    counts. The first pass only decides how much is kept apart; a rank that fell outside its band
-    raises an error instead of giving a neighbouring value. Groups without values give no row.
+    Selection by counting. Each group's values are counted per bucket, and a running sum over the
+    buckets, whose number does not depend on the number of rows, tells which of them hold the
+    wanted ranks. Only the rows of those buckets go on: they are counted in finer buckets, and
+    finally by value in the finer buckets that matter. Every count combines before it is shuffled,
+    so neither a large group nor a frequent value ends up in one task. Groups without values give
+    no row.
 
     ``few_groups`` says that the number of groups has a small fixed bound, such as the columns of a
-    schema; their bands are then broadcast. Otherwise run-time sizes decide how the bands are joined.
+    schema; the chosen buckets are then broadcast and no row is shuffled. Otherwise run-time sizes
+    decide how they are joined.
     """
     if not keys:
         raise ValueError("quantiles need at least one key column")
     names, probs = list(probabilities), list(probabilities.values())
-    # Null keys form groups too, and equal each other in the join below.
-    ids = [f"__key_{i}" for i in range(len(keys))]
-    # Adding zero turns -0.0 into 0.0, one value for grouping.
-    values = df.where(F.col(value).isNotNull()).select(
-        *[F.col(k).alias(i) for k, i in zip(keys, ids)], (F.col(value).cast("double") + F.lit(0.0)).alias("__v")
-    )
-    cuts = F.percentile_approx("__v", _outer_bounds(probs, accuracy), F.lit(accuracy))
-    bands = values.groupBy(*ids).agg(F.count("__v").alias("__n"), cuts.alias("__cuts"))
-
-    right = bands.select(*[F.col(i).alias(f"{i}_r") for i in ids], "__n", "__cuts")
-    same = reduce(and_, [F.col(i).eqNullSafe(F.col(f"{i}_r")) for i in ids])
-    banded = values.join(F.broadcast(right) if few_groups else right, same)
-
-    lows = [F.col("__cuts")[2 * j] for j in range(len(probs))]
-    highs = [F.col("__cuts")[2 * j + 1] for j in range(len(probs))]
-    small = F.col("__n") <= accuracy
-    inside: Column = small
-    for low, high in zip(lows, highs):
-        inside = inside | F.col("__v").between(low, high)
-    below = F.greatest(F.lit(float("-inf")), *[F.when(h < F.col("__v"), h) for h in highs])
-    counted = (
-        banded.withColumn("__in", inside)
-        .withColumn("__at", F.when(F.col("__in"), F.col("__v")).otherwise(below))
-        .groupBy(*ids, "__n", "__at", "__in")
-        .agg(F.count(F.lit(1)).alias("__c"))
-    )
+    ranks = [side((F.col("n") - 1) * F.lit(p)).cast("long") for p in probs for side in (F.floor, F.ceil)]
+
+    # A struct of the keys: null keys form groups, and equal each other in joins. Adding zero turns
+    # -0.0 into 0.0.
+    v = present(F.col(value).cast("double")) + F.lit(0.0)
+    values = df.select(F.struct(*keys).alias("k"), v.alias("v")).where("v IS NOT NULL")
+    values = values.withColumn("b", _coarse(F.col("v")))
 
-    # A shared count sorts just above the band it follows.
-    running = W.partitionBy(*ids).orderBy("__at", F.col("__in").desc())
-    ranked = counted.withColumn("__hi", F.sum("__c").over(running.rowsBetween(W.unboundedPreceding, 0)))
-    picks = []
-    for j, p in enumerate(probs):
-        rank = (F.col("__n") - 1) * F.lit(p)
-        for side, wanted in (("f", F.floor(rank)), ("c", F.ceil(rank))):
-            holds = (F.col("__hi") > wanted) & (F.col("__hi") - F.col("__c") <= wanted)
-            picks.append(F.max(F.when(holds & F.col("__in"), F.col("__at"))).alias(f"__{side}{j}"))
-    found = ranked.groupBy(*ids).agg(F.max("__n").alias("__n"), *picks)
+    def located(counts: DataFrame, within: Sequence[str], by: str, base: Column) -> DataFrame:
+        """Counts with ``at``, the rank at which each begins, in order of ``by``."""
+        before = W.partitionBy(*within).orderBy(by).rowsBetween(W.unboundedPreceding, -1)
+        return counts.withColumn("at", base + F.coalesce(F.sum("c").over(before), F.lit(0)))
 
+    def holds(rank: Column) -> Column:
+        return (F.col("at") <= rank) & (rank < F.col("at") + F.col("c"))
+
+    def chosen(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+        wanted = counts.where(reduce(or_, [holds(rank) for rank in ranks])).select(*columns)
+        return F.broadcast(wanted) if few_groups else wanted
+
+    buckets = values.groupBy("k", "b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("low"), F.max("v").alias("high"))
+    buckets = buckets.withColumn("n", F.sum("c").over(W.partitionBy("k")))
+    coarse = chosen(located(buckets, ["k"], "b", F.lit(0)), ["k", "b", "n", F.col("at").alias("base"), "low", "high"])
+    narrowed = values.join(coarse, ["k", "b"]).withColumn("f", _fine(F.col("v"), F.col("low"), F.col("high")))
+
+    cuts = narrowed.groupBy("k", "b", "n", "base", "f").agg(F.count(F.lit(1)).alias("c"))
+    fine = chosen(located(cuts, ["k", "b"], "f", F.col("base")), ["k", "b", "f", F.col("at").alias("start")])
+    last = narrowed.join(fine, ["k", "b", "f"])
+
+    singles = last.groupBy("k", "b", "f", "n", "start", "v").agg(F.count(F.lit(1)).alias("c"))
+    ordered = located(singles, ["k", "b", "f"], "v", F.col("start"))
+    found = ordered.groupBy("k", "n").agg(
+        *[F.max(F.when(holds(rank), F.col("v"))).alias(f"v{i}") for i, rank in enumerate(ranks)]
+    )
     out = []
-    for j, (name, p) in enumerate(zip(names, probs)):
-        rank = (F.col("__n") - 1) * F.lit(p)
-        low, high = F.col(f"__f{j}"), F.col(f"__c{j}")
-        missed = low.isNull() | high.isNull()
-        error = F.raise_error(F.lit(f"rank of {name} outside its band; raise accuracy")).cast("double")
-        out.append(F.when(missed, error).otherwise(low + (high - low) * (rank - F.floor(rank))).alias(name))
-    return found.select(*[F.col(i).alias(k) for k, i in zip(keys, ids)], *out)
+    for i, (name, p) in enumerate(zip(names, probs)):
+        low, high = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
+        part = (F.col("n") - 1) * F.lit(p) - ranks[2 * i]
+        out.append(F.when(high == low, low).otherwise(low + (high - low) * part).alias(name))
+    return found.select(*[F.col("k")[k].alias(k) for k in keys], *out)

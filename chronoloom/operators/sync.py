@@ -34,25 +34,22 @@ def on_grid(
     return group_mean(snapped, [TIME, *keys], fields, drop_null_keys=False)
 
 
-def synchronise(
-    points: DataFrame,
+def complete_grid(
+    grid: DataFrame,
     fields: Sequence[str],
     keys: Sequence[str] = SYNC_KEYS,
-    step: str = "5m",
     fill_limit: int = 2,
     fill_scope: str = "system",
     narrow: str | None = None,
     temperatures: Sequence[str] = TEMPERATURE_FIELDS,
-    float32: bool = False,
     split: str | None = "1h",
 ) -> DataFrame:
-    """Points to complete rows on a regular grid, one column per field, time as epoch seconds.
+    """Fill short gaps of a grid table, drop the rows that stay incomplete, narrow the values.
 
     ``fill_scope="system"`` orders all rows of the first key by time and remaining keys, so a gap
     may be filled from a neighbouring device. ``fill_scope="series"`` fills each device from its
     own rows only. ``split`` cuts the fill into time slots, as in :func:`fill_limited`.
     """
-    grid = on_grid(points, fields, keys, step, float32)
     if fill_scope == "system":
         partition, order = list(keys[:1]), [TIME, *keys[1:]]
     elif fill_scope == "series":
@@ -60,9 +57,25 @@ def synchronise(
     else:
         raise ValueError(f"unknown fill scope {fill_scope!r}")
     filled = fill_limited(grid, partition, order, list(fields), fill_limit, split)
-    out = complete_rows(filled)
     narrowed = [narrow_value(F.col(f), narrow, f in temperatures).alias(f) for f in fields]
-    return out.select(TIME, *keys, *narrowed)
+    return complete_rows(filled).select(TIME, *keys, *narrowed)
+
+
+def synchronise(
+    points: DataFrame,
+    fields: Sequence[str],
+    keys: Sequence[str] = SYNC_KEYS,
+    step: str = "5m",
+    fill_limit: int = 2,
+    fill_scope: str = "system",
+    narrow: str | None = None,
+    temperatures: Sequence[str] = TEMPERATURE_FIELDS,
+    float32: bool = False,
+    split: str | None = "1h",
+) -> DataFrame:
+    """Points to complete rows on a regular grid, one column per field, time as epoch seconds."""
+    grid = on_grid(points, fields, keys, step, float32)
+    return complete_grid(grid, fields, keys, fill_limit, fill_scope, narrow, temperatures, split)
 
 
 def missing_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:

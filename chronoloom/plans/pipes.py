@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chronoloom.operators.fuse import fuse
 from chronoloom.plans.plan import Source, load_sources
-from chronoloom.plans.stages import CentreByBucket, Fuse, LagFeatures, Synchronise
+from chronoloom.plans.stages import Centre, Fuse, LagFeatures, Synchronise
 
-REGISTRY: dict[str, type] = {c.__name__: c for c in (Fuse, Synchronise, LagFeatures, CentreByBucket)}
+REGISTRY: dict[str, type] = {c.__name__: c for c in (Fuse, Synchronise, LagFeatures, Centre)}
 
 
 class InsufficientData(ValueError):

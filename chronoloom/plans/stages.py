@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable, Iterator, Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
@@ -119,45 +121,52 @@ class LagFeatures(Described, Transformer, DefaultParamsReadable, DefaultParamsWr
 
 class _CentreParams(Described):
     inputCol = Param(Params._dummy(), "inputCol", "value column", TypeConverters.toString)
-    bucketCol = Param(Params._dummy(), "bucketCol", "bucket column", TypeConverters.toString)
+    keys = Param(Params._dummy(), "keys", "columns that tell groups apart", TypeConverters.toListString)
 
 
-class CentreByBucket(_CentreParams, Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """Learn each bucket's mean and deviation."""
+class Centre(_CentreParams, Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """Learn each group's mean and deviation; by default a group is a bucket."""
 
     @keyword_only
-    def __init__(self, *, inputCol=None, bucketCol=None):
+    def __init__(self, *, inputCol=None, keys=None):
         super().__init__()
-        self._setDefault(inputCol=VALUE, bucketCol=BUCKET)
+        self._setDefault(inputCol=VALUE, keys=[BUCKET])
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
-    def _fit(self, dataset: DataFrame) -> CentreByBucketModel:
-        value, bucket = self.getOrDefault(self.inputCol), self.getOrDefault(self.bucketCol)
-        stats = sufficient_statistics(dataset, [bucket], value)
-        return self._copyValues(CentreByBucketModel(stats))
+    def _fit(self, dataset: DataFrame) -> CentreModel:
+        stats = sufficient_statistics(dataset, self.getOrDefault(self.keys), self.getOrDefault(self.inputCol))
+        return self._copyValues(CentreModel(stats))
 
 
-class CentreByBucketModel(_CentreParams, Model, MLWritable, MLReadable):
-    """Predict the bucket's mean, with the residual and its score in deviations."""
+class CentreModel(_CentreParams, Model, MLWritable, MLReadable):
+    """Predict the group's mean, with the residual and its score in deviations."""
 
     def __init__(self, stats: DataFrame | None = None):
         super().__init__()
-        self._setDefault(inputCol=VALUE, bucketCol=BUCKET)
+        self._setDefault(inputCol=VALUE, keys=[BUCKET])
         self.stats = stats
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        value, bucket = self.getOrDefault(self.inputCol), self.getOrDefault(self.bucketCol)
-        # One row per bucket; the size found at run time decides whether it is broadcast.
-        learned = moments(self.stats).select(F.col(bucket).alias("__bucket"), "mean", "std")
-        joined = dataset.join(learned, F.col(bucket).eqNullSafe(F.col("__bucket")), "left")
+        value, keys = self.getOrDefault(self.inputCol), self.getOrDefault(self.keys)
+        ids = [f"__key_{i}" for i in range(len(keys))]
+        # One row per group; the size found at run time decides whether it is broadcast.
+        learned = moments(self.stats).select(*[F.col(k).alias(i) for k, i in zip(keys, ids)], "mean", "std")
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(i)) for k, i in zip(keys, ids)])
         residual = F.col(value) - F.col("mean")
-        return joined.select(
+        return dataset.join(learned, same, "left").select(
             *dataset.columns,
             F.col("mean").alias("prediction"),
             residual.alias("residual"),
             F.when(F.col("std") > 0, residual / F.col("std")).alias("score"),
         )
 
+    def partial_fit(self, df: DataFrame) -> CentreModel:
+        """A model that has also seen ``df``; statistics add up, so earlier rows are not needed."""
+        keys = self.getOrDefault(self.keys)
+        seen = self.stats.unionByName(sufficient_statistics(df, keys, self.getOrDefault(self.inputCol)))
+        merged = seen.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")])
+        return self._copyValues(CentreModel(merged))
+
     def results(self, df: DataFrame) -> dict[str, DataFrame]:
         return {"learned": moments(self.stats)}
 
@@ -170,7 +179,7 @@ class CentreByBucketModel(_CentreParams, Model, MLWritable, MLReadable):
 
 
 class _CentreWriter(MLWriter):
-    def __init__(self, instance: CentreByBucketModel):
+    def __init__(self, instance: CentreModel):
         super().__init__()
         self.instance = instance
 
@@ -184,7 +193,7 @@ class _CentreReader(MLReader):
         super().__init__()
         self.cls = cls
 
-    def load(self, path: str) -> CentreByBucketModel:
+    def load(self, path: str) -> CentreModel:
         metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
         model = self.cls(self.sparkSession.read.parquet(f"{path}/stats"))
         model._resetUid(metadata["uid"])
