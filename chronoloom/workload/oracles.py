@@ -331,7 +331,7 @@ SELECT * FROM points WHERE _time >= {LOW} AND _time < {HIGH} AND _measurement =
   AND _field IN ('purchase', 'signup')
 UNION ALL BY NAME
 SELECT * FROM (SELECT * FROM orders WHERE o_totalprice > 500.0 ORDER BY o_orderkey LIMIT 100)
-UNION ALL BY NAME SELECT * FROM supplier"""
+UNION ALL BY NAME SELECT * REPLACE (CAST(s_suppkey AS INTEGER) AS s_suppkey) FROM supplier"""
     sql["fuse_sources"] = (
         "SELECT o_orderkey, o_custkey AS c_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
         " FROM orders UNION ALL BY NAME SELECT * FROM customer"
