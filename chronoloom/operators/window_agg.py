@@ -63,20 +63,23 @@ def _with_empty_windows(
 
     Every row is repeated up to the next one of its series, and the first row also back to the
     start, so no separate grid is built or joined. A series holds at most one row per window of
-    the range, which bounds both the ordering and the repetition.
+    the range, which bounds both the ordering and the repetition. The rows are spread over a fixed
+    number of partitions first: sizes seen before the repetition would merge them into too few.
     """
     step = duration_seconds(every)
     first = (math.floor(epoch_of(start) / step) + 1) * step
     last = math.ceil(epoch_of(stop) / step) * step
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.repartition(partitions, *keys)
     w = W.partitionBy(*keys).orderBy(_END)
     origin = F.when(F.lag(_END).over(w).isNull(), F.lit(first)).otherwise(F.col(_END))
     until = F.coalesce(F.lead(_END).over(w) - F.lit(step), F.lit(last))
-    spread = df.withColumns({"__from": origin, "__until": until}).select(
+    repeated = spread.withColumns({"__from": origin, "__until": until}).select(
         "*", F.explode(F.sequence(F.col("__from"), F.col("__until"), F.lit(step).cast("long"))).alias("__at")
     )
     own = F.col("__at") == F.col(_END)
     filled = [F.when(own, F.col(name)).otherwise(empty).alias(name) for name, empty in values.items()]
-    return spread.select(*keys, F.col("__at").alias(_END), *filled)
+    return repeated.select(*keys, F.col("__at").alias(_END), *filled)
 
 
 def aggregate_window(
