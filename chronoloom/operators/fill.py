@@ -80,7 +80,8 @@ def _with_slot_carry(
     The added rows have ``__real = 0``. One is added for every slot but the first of a series.
     """
     slotted = df.withColumn(_SLOT, time_slot(df, order[0], split))
-    rank = F.struct(*[F.col(c) for c in order])
+    # A single time column keeps the aggregate hash-based; a struct needs sorted input.
+    rank = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     last_in_slot = slotted.groupBy(*keys, _SLOT).agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(c) for c in columns]
     )

@@ -59,8 +59,12 @@ def column_types(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.dtypes, "column string, dtype string")
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per numeric column: count, mean, sample deviation, minimum, exact quartiles, maximum."""
+def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+    """Per numeric column: count, mean, sample deviation, minimum, quartiles, maximum.
+
+    Exact quartiles take three more passes over the table; ``exact=False`` reads sketched ones off
+    the same single pass as the rest.
+    """
     names = list(columns or numeric_columns(df))
     numbers = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(c) for c in names])
     parts = [
@@ -71,14 +75,17 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
             F.stddev_samp(c).alias("std"),
             F.min(c).alias("min"),
             F.max(c).alias("max"),
+            *([] if exact else [F.percentile_approx(c, p).alias(q) for q, p in QUARTILES.items()]),
         )
         for c in names
     ]
     moments = numbers.agg(F.array(*parts).alias("__columns")).select(F.inline("__columns"))
+    shown = ["column", "count", "mean", "std", "min", *QUARTILES, "max"]
+    if not exact:
+        return moments.select(*shown)
     quartiles = quantiles(numbers.unpivot([], names, "column", "value"), ["column"], "value", QUARTILES, few_groups=True)
     # One row per column of the schema on both sides.
-    joined = moments.join(F.broadcast(quartiles), "column", "left")
-    return joined.select("column", "count", "mean", "std", "min", *QUARTILES, "max")
+    return moments.join(F.broadcast(quartiles), "column", "left").select(*shown)
 
 
 def result_views(df: DataFrame) -> dict[str, DataFrame]:

@@ -36,9 +36,20 @@ def read_plan(spark: SparkSession, path: str) -> Mapping:
     return check_plan(json.loads(text))
 
 
+def fill_parameters(query, params: Mapping):
+    """The query with every ``"{name}"`` argument replaced by the parameter of that name."""
+    if isinstance(query, Mapping):
+        return {k: fill_parameters(v, params) for k, v in query.items()}
+    if isinstance(query, (list, tuple)):
+        return [fill_parameters(v, params) for v in query]
+    if isinstance(query, str) and query.startswith("{") and query.endswith("}"):
+        return params.get(query[1:-1], query)
+    return query
+
+
 def _load_series(table, keys, exclude, as_of, spark, query, params, start, stop) -> DataFrame:
     points = table() if callable(table) else table
-    return run_query(points, query, start, stop, keys, as_of, exclude)
+    return run_query(points, fill_parameters(query, params), start, stop, keys, as_of, exclude)
 
 
 def series_source(

@@ -37,16 +37,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a fresh temporary folder. On a cluster such a folder
-    would exist on one machine only, so there a missing setting is an error.
+    A local session without that setting gets a fresh temporary folder, made its checkpoint folder.
+    On a cluster such a folder would exist on one machine only, so there a missing setting is an
+    error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="chronoloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
+    spark.sparkContext.setCheckpointDir(root)
     return root
 
 

@@ -66,15 +66,23 @@ def read_jdbc(spark: SparkSession, url: str, properties: Mapping[str, str] | Non
 
 
 def write_jdbc(
-    df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None, batch_rows: int = BATCH_ROWS
+    df: DataFrame,
+    url: str,
+    table: str,
+    properties: Mapping[str, str] | None = None,
+    batch_rows: int = BATCH_ROWS,
+    connections: int = 32,
 ) -> bool:
-    """Replace a table; an empty frame leaves it alone. Returns whether anything was written."""
+    """Replace a table; an empty frame leaves it alone. Returns whether anything was written.
+
+    At most ``connections`` tasks write at a time, whatever the number of partitions.
+    """
     check_identifier(table)
     if df.isEmpty():
         return False
     writer = df.write.format("jdbc").mode("overwrite").option("url", url).option("dbtable", table)
     writer = writer.option("batchsize", batch_rows).option("createTableColumnTypes", column_types(df.schema))
-    writer.options(**(properties or {})).save()
+    writer.option("numPartitions", connections).options(**(properties or {})).save()
     return True
 
 

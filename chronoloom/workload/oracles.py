@@ -448,6 +448,13 @@ FROM (SELECT *, avg("view") OVER (PARTITION BY "floor") AS mean FROM ({both}))""
         f"{ctes}\nSELECT _time, {', '.join(SYNC)}, {shown} FROM grid"
         f" WHERE make_timestamp((_time + 120) * 1000000) < {CLOSED}"
     )
+    closed = grid_ctes(FIELDS, SYNC).replace("\ngrid AS (", "\nsteps AS (")
+    whole = " AND ".join(f"{f} IS NOT NULL" for f in FIELDS)
+    sql["stream_sync_filled"] = f"""WITH {points_cte()},
+{closed},
+grid AS (SELECT * FROM steps WHERE make_timestamp((_time + 120) * 1000000) < {CLOSED}),
+{fill_ctes(FIELDS, SYNC)}
+SELECT _time, {', '.join(SYNC)}, {shown} FROM filled WHERE {whole}"""
     sql["partial_fit_stats"] = from_points(
         "SELECT bucket, _field, count(_value) AS n, round(sum(_value), 4) AS total,"
         " round(sum(_value * _value), 4) AS squares FROM points GROUP BY bucket, _field"

@@ -15,7 +15,7 @@ from chronoloom.operators import analytics, order, profile, select
 from chronoloom.operators.fill import difference, fill_limited, fill_previous
 from chronoloom.operators.fuse import fuse, union_buckets
 from chronoloom.operators.reshape import pivot_last, plot_series, wide_to_points
-from chronoloom.operators.sync import missing_report, on_grid, synchronise
+from chronoloom.operators.sync import complete_grid, missing_report, on_grid, synchronise
 from chronoloom.operators.window_agg import aggregate_window
 from chronoloom.plans.pipes import fit_pipe, fit_plans, load_pipe, predict_range, save_pipe
 from chronoloom.plans.plan import file_source, run_plan, series_source, sql_source
@@ -765,6 +765,14 @@ def stream_sync_grid(spark, sf_dir):
     return rounded(streamed_table(spark, path), FIELDS)
 
 
+@query
+def stream_sync_filled(spark, sf_dir):
+    """The streamed grid, its short gaps filled once its steps are closed."""
+    path = scratch_path(spark, "stream-filled")
+    run_available(stream_grid(_event_stream(spark, sf_dir), FIELDS, delay=DELAY), path)
+    return rounded(complete_grid(streamed_table(spark, path), FIELDS), FIELDS)
+
+
 @query
 def partial_fit_stats(spark, sf_dir):
     """What a model has learned from the stream, batch by batch."""

@@ -9,7 +9,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import functions as F
 
 from chronoloom.plans import pipes
-from chronoloom.plans.plan import check_plan, file_source, read_plan, run_plan, series_source, sql_source
+from chronoloom.plans.plan import check_plan, file_source, fill_parameters, read_plan, run_plan, series_source, sql_source
 from chronoloom.plans.query import ordered_steps, rerange, run_query
 from chronoloom.plans.stages import Centre, CentreModel, Described, Fuse, Synchronise, moments, predict_per_bucket
 from chronoloom.schema import point_schema
@@ -114,6 +114,12 @@ def test_sql_source_takes_a_range(spark):
     assert load(spark, "SELECT * FROM timed", {}, STOP, None).count() == 1
 
 
+def test_parameters_fill_whole_arguments():
+    query = [{"range": {"start": "{time_start}", "stop": "{time_now}"}}, {"bucket": ["{b}", "x{b}"]}]
+    filled = fill_parameters(query, {"time_start": 0, "time_now": 60, "b": "b0"})
+    assert filled == [{"range": {"start": 0, "stop": 60}}, {"bucket": ["b0", "x{b}"]}]
+
+
 class Doubled(Described, Transformer, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, dataset):
         return dataset.withColumn("doubled", F.col("_value") * 2)

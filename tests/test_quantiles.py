@@ -76,6 +76,11 @@ def test_describe_matches_pandas(spark):
             assert out[c][ours] == pytest.approx(wanted[c][theirs])
 
 
+def test_sketched_describe(spark):
+    df = spark.range(1, 1002).select("id")
+    assert tuple(describe(df, exact=False).collect()[0]) == tuple(describe(df).collect()[0])
+
+
 def test_describe_of_an_empty_column(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "a double, b double")
     out = {r["column"]: r for r in describe(df).collect()}
