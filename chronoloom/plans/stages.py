@@ -74,11 +74,15 @@ class Synchronise(Described, Transformer, DefaultParamsReadable, DefaultParamsWr
     step = Param(Params._dummy(), "step", "grid step", TypeConverters.toString)
     fillLimit = Param(Params._dummy(), "fillLimit", "rows filled at most", TypeConverters.toInt)
     fillScope = Param(Params._dummy(), "fillScope", "system or series", TypeConverters.toString)
+    narrow = Param(Params._dummy(), "narrow", "wrap, try or none", TypeConverters.toString)
+    split = Param(Params._dummy(), "split", "width of the time slots that fills are cut into", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, fields=None, keys=None, step=None, fillLimit=None, fillScope=None):
+    def __init__(self, *, fields=None, keys=None, step=None, fillLimit=None, fillScope=None, narrow=None, split=None):
         super().__init__()
-        self._setDefault(keys=list(SYNC_KEYS), step="5m", fillLimit=2, fillScope="system")
+        self._setDefault(
+            keys=list(SYNC_KEYS), step="5m", fillLimit=2, fillScope="system", narrow="none", split="1h"
+        )
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
@@ -90,6 +94,8 @@ class Synchronise(Described, Transformer, DefaultParamsReadable, DefaultParamsWr
             get(self.step),
             get(self.fillLimit),
             get(self.fillScope),
+            None if get(self.narrow) == "none" else get(self.narrow),
+            split=get(self.split),
         )
 
 

@@ -12,7 +12,11 @@ from pyspark.sql import types as T
 from chronoloom.functions.text import extension
 from chronoloom.operators.fuse import fuse
 
-READABLE = ("csv", "json", "parquet")
+# The writers' own default drops what is finer than a millisecond.
+MICROSECONDS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
@@ -98,11 +102,11 @@ def read_local(spark: SparkSession, folders: Sequence[str], files: Sequence[str]
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, **MICROSECONDS).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**MICROSECONDS).json(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

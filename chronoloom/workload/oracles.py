@@ -48,12 +48,12 @@ snapped AS (SELECT * EXCLUDE (_time), {snap('_time', step)} AS _time FROM instan
 grid AS (SELECT _time, {k}, {second} FROM snapped GROUP BY _time, {k})"""
 
 
-def fill_ctes(fields: Sequence[str], keys: Sequence[str], scope: str = "system") -> str:
+def fill_ctes(fields: Sequence[str], keys: Sequence[str], scope: str = "system", limit: int = 2) -> str:
     k = ", ".join(keys)
     part, by = (keys[0], ", ".join(["_time", *keys[1:]])) if scope == "system" else (k, "_time")
     over = f"OVER (PARTITION BY {part} ORDER BY {by} ROWS BETWEEN"
-    ahead = ", ".join(f"last_value({f} IGNORE NULLS) {over} 2 PRECEDING AND CURRENT ROW) AS {f}" for f in fields)
-    back = ", ".join(f"first_value({f} IGNORE NULLS) {over} CURRENT ROW AND 2 FOLLOWING) AS {f}" for f in fields)
+    ahead = ", ".join(f"last_value({f} IGNORE NULLS) {over} {limit} PRECEDING AND CURRENT ROW) AS {f}" for f in fields)
+    back = ", ".join(f"first_value({f} IGNORE NULLS) {over} CURRENT ROW AND {limit} FOLLOWING) AS {f}" for f in fields)
     return f"""forward AS (SELECT _time, {k}, {ahead} FROM grid),
 filled AS (SELECT _time, {k}, {back} FROM forward)"""
 
@@ -66,13 +66,14 @@ def sync(
     out: dict[str, str] | None = None,
     digits: int = 6,
     value: str = "_value",
+    limit: int = 2,
     **cte: str,
 ) -> str:
     shown = ", ".join((out or {}).get(f, f"round({f}, {digits})") + f" AS {f}" for f in fields)
     whole = " AND ".join(f"{f} IS NOT NULL" for f in fields)
     return f"""WITH {points_cte(**cte)},
 {grid_ctes(fields, keys, step, value)},
-{fill_ctes(fields, keys, scope)}
+{fill_ctes(fields, keys, scope, limit)}
 SELECT _time, {', '.join(keys)}, {shown} FROM filled WHERE {whole}"""
 
 
@@ -241,6 +242,10 @@ def _oracles() -> dict[str, str]:
     sql["sql_text"] = (
         "SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1"
     )
+    sql["sql_rerange"] = (
+        "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders"
+        " WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'"
+    )
     sql["rows_above_value"] = "SELECT * FROM customer WHERE c_acctbal > 5000.0 ORDER BY c_custkey LIMIT 100"
 
     sql["agg_window_mean_15m"] = from_points(windows("15 minutes", SERIES, "round(avg(_value), 6) AS _value"))
@@ -407,6 +412,10 @@ FROM points JOIN (SELECT bucket, avg(_value) AS mean, stddev_samp(_value) AS std
     sql["plan_fit_predict"] = centred(
         "bucket", f"_time >= {late} AND _time < {STOP}", f"_time >= {START} AND _time < {late}", score=False
     )
+    sql["updated_stage"] = sync(FIELDS, limit=1)
+    sql["stage_results"] = from_points("""SELECT bucket, system_id, count(_value) AS n, round(sum(_value), 4) AS total,
+  round(sum(_value * _value), 4) AS squares, round(avg(_value), 4) AS mean, round(stddev_samp(_value), 4) AS std
+FROM points GROUP BY bucket, system_id""")
     both = sync(["purchase", "view"], digits=12)
     sql["synchronise_stage"] = f"""SELECT _time, system_id, "floor", equipment_number, round(purchase, 6) AS purchase,
   round("view", 6) AS "view", round(mean, 6) AS prediction, round("view" - mean, 6) AS residual
@@ -424,6 +433,7 @@ FROM (SELECT *, avg("view") OVER (PARTITION BY "floor") AS mean FROM ({both}))""
     sql["csv_roundtrip"] = "SELECT * FROM orders"
     sql["json_roundtrip"] = "SELECT * FROM customer"
     sql["parquet_prediction_input"] = "SELECT * FROM part"
+    sql["csv_prediction_input"] = 'SELECT event_id, ts AS "timestamp", value FROM events'
     sql["points_roundtrip"] = chosen(f"bucket IN ('b0', 'b2') AND _time >= {LOW} AND _time < {HIGH}")
     wide = "event_type AS _measurement, CAST(user_id % 3 AS VARCHAR) AS \"floor\", ts AS _time, 'site' AS bucket"
     sql["upload_wide_rows"] = " UNION ALL BY NAME ".join(

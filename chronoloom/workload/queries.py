@@ -20,7 +20,14 @@ from chronoloom.operators.window_agg import aggregate_window
 from chronoloom.plans.pipes import fit_pipe, fit_plans, load_pipe, predict_range, save_pipe
 from chronoloom.plans.plan import file_source, run_plan, series_source, sql_source
 from chronoloom.plans.query import run_query
-from chronoloom.plans.stages import Centre, CentreModel, LagFeatures, predict_per_bucket, sufficient_statistics
+from chronoloom.plans.stages import (
+    Centre,
+    CentreModel,
+    LagFeatures,
+    Synchronise,
+    predict_per_bucket,
+    sufficient_statistics,
+)
 from chronoloom.schema import BUCKET, FIELD, MEASUREMENT, TIME, VALUE, parse_instant
 from chronoloom.session import scratch_path, use_utc
 from chronoloom.sources import annotated, files, relational, series_table
@@ -272,6 +279,15 @@ def sql_text(spark, sf_dir):
     return relational.run_sql(spark, text)
 
 
+@query
+def sql_rerange(spark, sf_dir):
+    """A saved SQL query over another range of its time column."""
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    load = sql_source(time="o_orderdate")
+    text = "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders"
+    return load(spark, text, {}, "1997-01-01T00:00:00Z", "1998-01-01T00:00:00Z")
+
+
 @query
 def rows_above_value(spark, sf_dir):
     return relational.rows_above(table(spark, sf_dir, "customer"), "c_acctbal", 5000.0, 100, ["c_custkey"])
@@ -624,6 +640,23 @@ def plan_fit_predict(spark, sf_dir):
     return rounded(out.select(*SERIES, TIME, "prediction", "residual"), ["prediction", "residual"])
 
 
+@query
+def stage_results(spark, sf_dir):
+    """What a fitted stage reports beside its predictions."""
+    df = points(spark, sf_dir)
+    pipe = fit_pipe("centred", Pipeline(stages=[Centre(keys=[BUCKET, "system_id"])]), df)
+    return rounded(pipe.results(df)[-1]["learned"], ["total", "squares", "mean", "std"], 4)
+
+
+@query
+def updated_stage(spark, sf_dir):
+    """A saved chain with a parameter changed afterwards."""
+    df = points(spark, sf_dir)
+    pipe = fit_pipe("grid", Pipeline(stages=[Synchronise(fields=FIELDS)]), df)
+    pipe.update(fillLimit=1)
+    return rounded(pipe.predict(df), FIELDS)
+
+
 @query
 def synchronise_stage(spark, sf_dir):
     plan = {
@@ -689,6 +722,18 @@ def parquet_prediction_input(spark, sf_dir):
     return files.read_for_prediction(spark, path)
 
 
+@query
+def csv_prediction_input(spark, sf_dir):
+    """A prediction file must have a timestamp column."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("timestamp"), "value")
+    path = scratch_path(spark, "prediction") + ".csv"
+    files.write_csv(events, path)
+    df = files.read_for_prediction(spark, path)
+    return df.select(
+        F.col("event_id").cast("long").alias("event_id"), F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "value"
+    )
+
+
 @query
 def points_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "points")

@@ -92,6 +92,16 @@ def test_json_arrays_and_lines(spark, tmp_path):
         assert sorted((r.a, r.b) for r in out.collect()) == [(1, "x"), (2, None)]
 
 
+def test_files_keep_microseconds(spark, tmp_path):
+    moment = datetime(2025, 6, 1, 12, 0, 0, 123456)
+    df = spark.createDataFrame([(moment, moment)], "t timestamp, n timestamp_ntz")
+    files.write_csv(df, str(tmp_path / "a.csv"))
+    files.write_json(df, str(tmp_path / "a.json"))
+    for name in ("a.csv", "a.json"):
+        row = files.read_any(spark, str(tmp_path / name), schema=df.schema).collect()[0]
+        assert tuple(row) == (moment, moment)
+
+
 def test_unknown_extensions(spark, tmp_path):
     with pytest.raises(ValueError):
         files.read_any(spark, str(tmp_path / "data.xlsx"))
