@@ -14,7 +14,7 @@ from chronoloom.functions.timefn import epoch_micros, local_time
 from chronoloom.operators.fill import with_previous
 from chronoloom.operators.quantiles import quantiles
 from chronoloom.operators.reshape import pivot_last
-from chronoloom.operators.window_agg import expected_windows, window_end
+from chronoloom.operators.window_agg import expected_windows
 from chronoloom.schema import FIELD, TIME, VALUE, duration_seconds, parse_instant
 
 # Fixed value: fences lie this many interquartile ranges beyond the quartiles.
@@ -42,30 +42,27 @@ def data_quality(
     neighbouring points more than ``nominal`` apart.
     """
     expected = expected_windows(parse_instant(start), parse_instant(stop), nominal)
-    windows = points.groupBy(*keys, window_end(TIME, nominal).alias("__w")).agg(F.count(F.lit(1)).alias("__c"))
-    seen = windows.groupBy(*keys).agg(F.sum("__c").alias("n_points"), F.count(F.lit(1)).alias("__seen"))
-
-    clocked = points.select(*keys, TIME, epoch_micros(F.col(TIME)).alias("__us"))
+    step = duration_seconds(nominal) * 1_000_000
+    clocked = points.select(*keys, TIME, VALUE, epoch_micros(F.col(TIME)).alias("__us"))
     paired = with_previous(clocked, keys, {"__us": "__before"}, [TIME], split)
-    apart = (F.col("__us") - F.col("__before")) / F.lit(1e6)
-    gaps = paired.groupBy(*keys).agg(
-        F.count_if(apart > duration_seconds(nominal)).alias("n_gaps"), F.max(apart).alias("max_gap_seconds")
-    )
-
     fences = quantiles(points, keys, VALUE, {"__q1": 0.25, "__q3": 0.75})
+
+    now, before = F.col("__us"), F.col("__before")
+    apart = (now - before) / F.lit(1e6)
+    # In time order a window is entered once, by the point whose predecessor lies in another one.
+    enters = before.isNull() | (now - F.pmod(now, F.lit(step)) != before - F.pmod(before, F.lit(step)))
     reach = (F.col("__q3") - F.col("__q1")) * FENCE
     outside = (F.col(VALUE) < F.col("__q1") - reach) | (F.col(VALUE) > F.col("__q3") + reach)
-    outliers = (
-        _join_by(points.select(*keys, VALUE), fences, keys).groupBy(*keys).agg(F.count_if(outside).alias("n_outliers"))
-    )
-    report = _join_by(_join_by(seen, gaps, keys), outliers, keys)
-    return report.select(
-        *keys,
-        "n_points",
-        (F.lit(expected) - F.col("__seen")).alias("n_missing_windows"),
-        "n_gaps",
-        "max_gap_seconds",
-        "n_outliers",
+    return (
+        _join_by(paired, fences, keys)
+        .groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("n_points"),
+            (F.lit(expected) - F.count_if(enters)).alias("n_missing_windows"),
+            F.count_if(apart > duration_seconds(nominal)).alias("n_gaps"),
+            F.max(apart).alias("max_gap_seconds"),
+            F.count_if(outside).alias("n_outliers"),
+        )
     )
 
 

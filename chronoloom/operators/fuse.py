@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,13 +38,13 @@ def fuse(sources: Iterable[DataFrame]) -> DataFrame:
             kinds.setdefault(field.name, []).append(field.dataType)
     target = {name: common_type(found) for name, found in kinds.items()}
 
+    def column(field: T.StructField) -> Column:
+        found = F.col(f"`{field.name}`")
+        wanted = target[field.name]
+        return found if field.dataType == wanted else found.cast(wanted).alias(field.name)
+
     def aligned(frame: DataFrame) -> DataFrame:
-        return frame.select(
-            *[
-                F.col(f"`{f.name}`") if f.dataType == target[f.name] else F.col(f"`{f.name}`").cast(target[f.name]).alias(f.name)
-                for f in frame.schema
-            ]
-        )
+        return frame.select(*[column(field) for field in frame.schema])
 
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(aligned, frames))
 

@@ -13,7 +13,7 @@ from chronoloom.operators import order, select
 from chronoloom.operators.fill import difference, fill_previous
 from chronoloom.operators.reshape import pivot_last
 from chronoloom.operators.window_agg import aggregate_window, expected_windows
-from chronoloom.schema import FIELD, MEASUREMENT, TIME, VALUE, parse_instant, series_keys
+from chronoloom.schema import FIELD, MEASUREMENT, VALUE, parse_instant, series_keys
 
 # Series longer than this are ordered slot by slot instead of in one task.
 MAX_SERIES_ROWS = 5_000_000

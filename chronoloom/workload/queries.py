@@ -496,17 +496,17 @@ def fuse_sources(spark, sf_dir):
 @query
 def fuse_type_conflict(spark, sf_dir):
     """A code that is text in one source and a number in the other, an amount of two widths."""
-    orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer")
-    first = orders.select(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("code"), F.col("o_totalprice").alias("amount"))
-    second = customers.select(F.col("c_custkey").alias("key"), F.col("c_nationkey").alias("code"), F.col("c_nationkey").alias("amount"))
-    return fuse([first, second])
+    names = ["key", "code", "amount"]
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.col("c_nationkey").alias("level"))
+    return fuse([orders.toDF(*names), customers.toDF(*names)])
 
 
 @query
 def wide_to_long(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
-    return wide_to_points(lines, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    ids = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    fields = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    return wide_to_points(table(spark, sf_dir, "lineitem"), ids, fields)
 
 
 @query
@@ -729,9 +729,7 @@ def csv_prediction_input(spark, sf_dir):
     path = scratch_path(spark, "prediction") + ".csv"
     files.write_csv(events, path)
     df = files.read_for_prediction(spark, path)
-    return df.select(
-        F.col("event_id").cast("long").alias("event_id"), F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "value"
-    )
+    return df.withColumns({"event_id": F.col("event_id").cast("long"), "timestamp": F.col("timestamp").cast("timestamp_ntz")})
 
 
 @query
