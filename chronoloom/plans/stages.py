@@ -230,7 +230,8 @@ def predict_per_bucket(
     """Apply a pandas model bucket by bucket: ``predict(bucket, frame) -> frame``.
 
     The model sees one bucket's rows at a time, a batch of them per call, and so must predict each
-    row from that row alone. No bucket is gathered in one task, however large. A model that needs
+    row from that row alone. No bucket is gathered in one task, however large: rows are only put in
+    bucket order where they are, so that calls are few and frames are long. A model that needs
     whole series belongs in a stage of its own with features computed beforehand.
     """
 
@@ -239,4 +240,4 @@ def predict_per_bucket(
             for name, rows in batch.groupby(bucket, sort=False, dropna=False):
                 yield predict(name, rows.reset_index(drop=True))
 
-    return df.mapInPandas(by_bucket, schema)
+    return df.sortWithinPartitions(bucket).mapInPandas(by_bucket, schema)

@@ -44,6 +44,19 @@ def test_hot_group(spark):
     check(spark, {"hot": list(rng.normal(20, 0.01, 20000)), "cold": list(rng.normal(0, 1, 20))})
 
 
+def test_without_broadcast_joins(spark):
+    """Null keys meet in sort-merge joins too."""
+    rng = np.random.default_rng(9)
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    try:
+        check(spark, {"a": list(rng.normal(0, 1, 200)), None: list(rng.integers(0, 9, 100)), "b": [1.0]})
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
 def test_missing_and_signed_zero(spark):
     rows = [("a", None), ("a", float("nan")), ("a", 0.0), ("a", -0.0), ("a", 1.0), ("b", None)]
     df = spark.createDataFrame(rows, "k string, v double")
@@ -91,7 +104,8 @@ def test_profile_forms_agree_on_small_data(spark):
     rows = [(i % 7, None if i % 3 else "x", float(i)) for i in range(100)]
     df = spark.createDataFrame(rows, "a long, b string, c double")
     exact = sorted(profile_columns(df).collect())
-    assert [tuple(r) for r in exact] == [("a", "bigint", 100, 0, 7), ("b", "string", 100, 66, 1), ("c", "double", 100, 0, 100)]
+    wanted = [("a", "bigint", 100, 0, 7), ("b", "string", 100, 66, 1), ("c", "double", 100, 0, 100)]
+    assert [tuple(r) for r in exact] == wanted
     sketched = {r["column"]: r for r in profile_columns(df, exact=False).collect()}
     assert sketched["b"]["n_nulls"] == 66 and abs(sketched["c"]["n_distinct"] - 100) < 10
 
