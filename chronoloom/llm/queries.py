@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm import exact_dedup, mixing, quality, urls
+from chronoloom.llm import bpe, exact_dedup, licenses, mixing, quality, shingle_join, urls
+
+TOKENIZER = "word_bpe_49k.json"
 
 URL_RULES = [
     urls.Rule("block", "net"),
@@ -27,10 +29,25 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.encoding_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -38,7 +55,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_license_scan": op3_license_scan,
+    "op4_bpe_roundtrip": op4_bpe_roundtrip,
     "op5_source_mix": op5_source_mix,
+    "op7_ngram_join": op7_ngram_join,
     "op9_url_filter": op9_url_filter,
 }
 
