@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm import bpe, exact_dedup, licenses, mixing, quality, shingle_join, urls
+from chronoloom.llm import bpe, chunks, embedding_join, exact_dedup, licenses, mixing, quality, shingle_join, urls
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -17,7 +19,14 @@ URL_RULES = [
 ]
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers find this package also where a session was started from another folder.
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([p for p in known if p] + [ROOT])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -44,6 +53,10 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -52,14 +65,20 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_license_scan": op3_license_scan,
     "op4_bpe_roundtrip": op4_bpe_roundtrip,
     "op5_source_mix": op5_source_mix,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_ngram_join": op7_ngram_join,
     "op9_url_filter": op9_url_filter,
+    "op10_repeated_passages": op10_repeated_passages,
 }
 
 ORACLES = {
