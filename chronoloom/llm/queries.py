@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm import bpe, chunks, embedding_join, exact_dedup, licenses, mixing, quality, shingle_join, urls
+from chronoloom.llm import bpe, chunks, embedding_join, exact_dedup, licenses, mixing, quality, shingle_join, urls, wrappers
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -61,6 +61,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -77,6 +81,7 @@ QUERIES = {
     "op5_source_mix": op5_source_mix,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_ngram_join": op7_ngram_join,
+    "op8_html_text": op8_html_text,
     "op9_url_filter": op9_url_filter,
     "op10_repeated_passages": op10_repeated_passages,
 }
