@@ -38,6 +38,18 @@ def located(docs: DataFrame) -> DataFrame:
     return docs.sparkSession.read.parquet(path).select("doc_id", "text", at.alias("at"))
 
 
+def distinct_documents(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that stay by ``exact_duplicates``, with all their columns."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    try:
+        rows = docs.select("*", at.alias("__at"))
+    except AnalysisException:
+        docs = stored(docs, "dedup-input")
+        rows = docs.select("*", at.alias("__at"))
+    dropped = exact_duplicates(docs).where("not kept").select(F.col("at").alias("__at"))
+    return rows.join(dropped, "__at", "left_anti").drop("__at")
+
+
 def _order() -> Column:
     """Smallest id first, rows without one last, the place in the input between equal ids."""
     return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "at")

@@ -252,3 +252,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return model.score(docs.select("doc_id", "text")).select(
         "doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that score 0.5 or more under a model fitted on them, with all their columns."""
+    return fit_quality(docs, labels).score(docs, "__quality").where("__quality >= 0.5").drop("__quality")

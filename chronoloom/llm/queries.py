@@ -22,11 +22,15 @@ URL_RULES = [
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Python workers find this package also where a session was started from another folder.
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers find this package also where a session was started from another folder."""
     known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in known:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([p for p in known if p] + [ROOT])
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -58,7 +62,7 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shingle_join.near_duplicates(_table(spark, sf_dir, "documents"))
+    return shingle_join.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -252,8 +252,18 @@ def _verified(pairs: DataFrame, hashed: DataFrame, sets: DataFrame) -> DataFrame
     return stored(joined.mapInArrow(_linked, "a long, b long"), "join-links")
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is their component's smallest by ``near_duplicates``, with all their columns.
+
+    Documents linked with nothing stay. Rows without an id stay only where no row of their component has one.
+    """
+    gone = near_duplicates(docs).where("not doc_id <=> component_id").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    same = (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("__hash")) & docs["doc_id"].eqNullSafe(F.col("__id"))
+    return docs.join(gone, same, "left_anti")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row for each row of ``docs(doc_id, text)``: doc_id, n_shingles, component_id.
+    """One row for each row of ``docs(doc_id, text)``: doc_id, n_shingles, component_id, text_hash.
 
     Words are runs of other characters than white space, A to Z lower-cased; a document's set has its distinct shingles of SHINGLE words, or all
     words as one shingle if there are fewer. Documents link if their sets' Jaccard similarity is at least LOW / HIGH, decided on whole sets of
@@ -286,6 +296,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         more = _verified(stored(crossing.join(stars, ["a", "b"], "left_anti"), "join-crossing"), hashed, sets)
         roots = components(links.union(more))
 
-    placed = sets.join(roots, "node", "left").select("doc_id", "n_shingles", F.coalesce("root", "node").alias("root"))
+    placed = sets.join(roots, "node", "left").select("doc_id", "n_shingles", "text_hash", F.coalesce("root", "node").alias("root"))
     smallest = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("smallest"))
-    return placed.join(smallest, "root", "left").select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"))
+    component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
+    return placed.join(smallest, "root", "left").select("doc_id", "n_shingles", component.alias("component_id"), "text_hash")
