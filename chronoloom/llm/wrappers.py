@@ -297,6 +297,8 @@ def extract(page: Node, wrapper: Node) -> list[str]:
             return
         name = node.label.split(".")[0]
         if outside(node.label) or name == "header" and any(w in node.label for w in (".site", ".page", ".top")):
+            if name in _BLOCK:
+                blocks.append([])
             return
         if name == "br":
             blocks[-1].append(" ")
