@@ -14,8 +14,9 @@ from chronoloom.functions.timefn import epoch_micros, local_time
 from chronoloom.operators.fill import with_previous
 from chronoloom.operators.quantiles import quantiles
 from chronoloom.operators.reshape import pivot_last
+from chronoloom.operators.select import time_range
 from chronoloom.operators.window_agg import expected_windows
-from chronoloom.schema import FIELD, TIME, VALUE, duration_seconds, parse_instant
+from chronoloom.schema import FIELD, TIME, VALUE, duration_seconds, epoch_of, parse_instant
 
 # Fixed value: fences lie this many interquartile ranges beyond the quartiles.
 FENCE = 1.5
@@ -38,9 +39,12 @@ def data_quality(
 ) -> DataFrame:
     """Per series: points, windows without a point, late gaps, values outside the quartile fences.
 
-    Expected windows are those of width ``nominal`` between the bounds. A gap is a pair of
-    neighbouring points more than ``nominal`` apart.
+    Only points from ``start`` up to ``stop`` count; a series with points outside only has a row
+    without any. Expected windows are those of width ``nominal`` between the bounds. A gap is more
+    than ``nominal`` between neighbouring points, or between a bound and the point next to it.
     """
+    series = points.select(*keys).distinct()
+    points = time_range(points, parse_instant(start), parse_instant(stop))
     expected = expected_windows(parse_instant(start), parse_instant(stop), nominal)
     step = duration_seconds(nominal) * 1_000_000
     clocked = points.select(*keys, TIME, VALUE, epoch_micros(F.col(TIME)).alias("__us"))
@@ -48,30 +52,37 @@ def data_quality(
     fences = quantiles(points, keys, VALUE, {"__q1": 0.25, "__q3": 0.75})
 
     now, before = F.col("__us"), F.col("__before")
-    apart = (now - before) / F.lit(1e6)
+    low, high = (F.lit(int(epoch_of(parse_instant(t)) * 1_000_000)) for t in (start, stop))
+    apart = (now - F.coalesce(before, low)) / F.lit(1e6)
+    tail = (high - F.max("__us")) / F.lit(1e6)
+    late = duration_seconds(nominal)
     # In time order a window is entered once, by the point whose predecessor lies in another one.
     enters = before.isNull() | (now - F.pmod(now, F.lit(step)) != before - F.pmod(before, F.lit(step)))
     reach = (F.col("__q3") - F.col("__q1")) * FENCE
     outside = (F.col(VALUE) < F.col("__q1") - reach) | (F.col(VALUE) > F.col("__q3") + reach)
-    return (
+    counted = (
         _join_by(paired, fences, keys)
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("n_points"),
             (F.lit(expected) - F.count_if(enters)).alias("n_missing_windows"),
-            F.count_if(apart > duration_seconds(nominal)).alias("n_gaps"),
-            F.max(apart).alias("max_gap_seconds"),
+            (F.count_if(apart > late) + F.when(tail > late, 1).otherwise(0)).alias("n_gaps"),
+            F.greatest(F.max(apart), tail).alias("max_gap_seconds"),
             F.count_if(outside).alias("n_outliers"),
         )
     )
+    whole = (high - low) / F.lit(1e6)
+    empty = {"n_points": F.lit(0), "n_missing_windows": F.lit(expected), "n_gaps": F.when(whole > late, 1).otherwise(0), "max_gap_seconds": whole, "n_outliers": F.lit(0)}
+    return _join_by(series, counted, keys).select(*keys, *[F.coalesce(c, e.cast(counted.schema[c].dataType)).alias(c) for c, e in empty.items()])
 
 
-def consumption_per_day(meters: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Consumption summed per key and day, from the output of a meter query.
+def consumption_per_day(meters: DataFrame, keys: Sequence[str], zone: str | None = None) -> DataFrame:
+    """Consumption summed per key and day, from the output of a meter query; days of ``zone``, or of UTC.
 
     A window's time is its end, so the window that ends at midnight belongs to the day before.
     """
-    day = F.to_date(F.col(TIME) - F.expr("interval 1 microsecond"))
+    end = F.col(TIME) if zone is None else local_time(F.col(TIME), zone)
+    day = F.to_date(end - F.expr("interval 1 microsecond"))
     return meters.groupBy(*keys, day.alias("day")).agg(
         F.sum(VALUE).alias("consumption"), F.count(VALUE).alias("n_windows")
     )
@@ -83,6 +94,7 @@ def temperature_reach(
     room: str,
     setpoint: str,
     zone: str,
+    every: str,
     start_hour: int = 7,
     start_minute: int = 30,
     window_hours: int = 6,
@@ -90,11 +102,14 @@ def temperature_reach(
 ) -> DataFrame:
     """Per key and local day: minutes from the start hour until the room is near its setpoint.
 
-    ``windows`` holds window means of both fields. A day on which the setpoint is not reached
-    within the window has a null; a day without both readings has no row.
+    ``windows`` holds window means of both fields, of windows as wide as ``every``; a window's time
+    is its end, and minutes count to its start, so no reading before the start hour takes part. A
+    day on which the setpoint is not reached within the window has a null; a day without both
+    readings has no row.
     """
     wide = pivot_last(windows, [*keys, TIME], [room, setpoint], FIELD, VALUE).dropna(subset=[room, setpoint])
-    local = wide.withColumn("__local", local_time(F.col(TIME), zone))
+    begun = F.col(TIME) - F.make_interval(secs=F.lit(duration_seconds(every)))
+    local = wide.withColumn("__local", local_time(begun, zone))
     minute = F.hour("__local") * 60 + F.minute("__local") - F.lit(start_hour * 60 + start_minute)
     inside = local.withColumns({"__minute": minute, "day": F.to_date("__local")}).where(
         (F.col("__minute") >= 0) & (F.col("__minute") < window_hours * 60)

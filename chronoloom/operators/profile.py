@@ -25,31 +25,29 @@ def column_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return _as_text(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """Per column: type, row count, null count, number of distinct values.
+def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, exact: Sequence[str] = ()) -> DataFrame:
+    """Per column: type, row count, null count, number of distinct values; a row per column on empty tables too.
 
-    The exact form counts each distinct value once and then counts those rows, so a frequent
-    value is combined before the shuffle. ``exact=False`` uses sketches in a single pass.
+    Distinct values are sketched in a single pass, but for the columns named in ``exact``. Those are
+    counted value by value, so that a frequent value is combined before the shuffle.
     """
     names = list(columns or df.columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema}
-    if exact:
-        rows = column_values(df, names).groupBy("column").agg(
-            F.sum("n").alias("n_rows"),
-            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_nulls"),
-            F.count("value").alias("n_distinct"),
+    parts = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(F.col(f"`{c}`").isNull()).alias("n_nulls"),
+            (F.lit(None).cast("long") if c in exact else F.approx_count_distinct(f"`{c}`")).alias("n_distinct"),
         )
-    else:
-        parts = [
-            F.struct(
-                F.lit(c).alias("column"),
-                F.count(F.lit(1)).alias("n_rows"),
-                F.count_if(F.col(f"`{c}`").isNull()).alias("n_nulls"),
-                F.approx_count_distinct(f"`{c}`").alias("n_distinct"),
-            )
-            for c in names
-        ]
-        rows = df.agg(F.array(*parts).alias("__columns")).select(F.inline("__columns"))
+        for c in names
+    ]
+    rows = df.agg(F.array(*parts).alias("__columns")).select(F.inline("__columns"))
+    counted = [c for c in names if c in exact]
+    if counted:
+        distinct = column_values(df, counted).groupBy("column").agg(F.count("value").alias("counted"))
+        count = F.when(F.col("column").isin(counted), F.coalesce("counted", F.lit(0))).otherwise(F.col("n_distinct"))
+        rows = rows.join(distinct, "column", "left").withColumn("n_distinct", count).drop("counted")
     type_of_column = F.create_map(*[F.lit(x) for name in names for x in (name, types[name])])
     return rows.select("column", type_of_column[F.col("column")].alias("dtype"), "n_rows", "n_nulls", "n_distinct")
 
@@ -83,7 +81,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
     shown = ["column", "count", "mean", "std", "min", *QUARTILES, "max"]
     if not exact:
         return moments.select(*shown)
-    quartiles = quantiles(numbers.unpivot([], names, "column", "value"), ["column"], "value", QUARTILES, few_groups=True)
+    quartiles = quantiles(numbers.unpivot([], names, "column", "value"), ["column"], "value", QUARTILES)
     # One row per column of the schema on both sides.
     return moments.join(F.broadcast(quartiles), "column", "left").select(*shown)
 

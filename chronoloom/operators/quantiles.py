@@ -37,20 +37,15 @@ def quantiles(
     keys: Sequence[str],
     value: str,
     probabilities: dict[str, float],
-    few_groups: bool = False,
 ) -> DataFrame:
     """One row per group, one column per named probability, linearly interpolated.
 
-    Selection by counting. Each group's values are counted per bucket, and a running sum over the
-    buckets, whose number does not depend on the number of rows, tells which of them hold the
-    wanted ranks. Only the rows of those buckets go on: they are counted in finer buckets, and
-    finally by value in the finer buckets that matter. Every count combines before it is shuffled,
-    so neither a large group nor a frequent value ends up in one task. Groups without values give
-    no row.
-
-    ``few_groups`` says that the number of groups has a small fixed bound, such as the columns of a
-    schema; the chosen buckets are then broadcast and no row is shuffled. Otherwise run-time sizes
-    decide how they are joined.
+    Selection by counting. Values are counted once per group and value, combined before the only
+    wide shuffle, so a frequent value is one row from there on; every later step reads these counts.
+    They are summed per bucket, and a running sum over the buckets, whose number does not depend on
+    the number of rows, tells which of them hold the wanted ranks. Only the counts in those buckets
+    go on: they are summed in finer buckets, and finally ordered by value in the finer buckets that
+    matter. Groups without values give no row.
     """
     if not keys:
         raise ValueError("quantiles need at least one key column")
@@ -61,7 +56,7 @@ def quantiles(
     # -0.0 into 0.0.
     v = present(F.col(value).cast("double")) + F.lit(0.0)
     values = df.select(F.struct(*keys).alias("k"), v.alias("v")).where("v IS NOT NULL")
-    values = values.withColumn("b", _coarse(F.col("v")))
+    values = values.groupBy("k", "v").agg(F.count(F.lit(1)).alias("m")).withColumn("b", _coarse(F.col("v")))
 
     def located(counts: DataFrame, within: Sequence[str], by: str, base: Column) -> DataFrame:
         """Counts with ``at``, the rank at which each begins, in order of ``by``."""
@@ -72,19 +67,18 @@ def quantiles(
         return (F.col("at") <= rank) & (rank < F.col("at") + F.col("c"))
 
     def chosen(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
-        wanted = counts.where(reduce(or_, [holds(rank) for rank in ranks])).select(*columns)
-        return F.broadcast(wanted) if few_groups else wanted
+        return counts.where(reduce(or_, [holds(rank) for rank in ranks])).select(*columns)
 
-    buckets = values.groupBy("k", "b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("low"), F.max("v").alias("high"))
+    buckets = values.groupBy("k", "b").agg(F.sum("m").alias("c"), F.min("v").alias("low"), F.max("v").alias("high"))
     buckets = buckets.withColumn("n", F.sum("c").over(W.partitionBy("k")))
     coarse = chosen(located(buckets, ["k"], "b", F.lit(0)), ["k", "b", "n", F.col("at").alias("base"), "low", "high"])
     narrowed = values.join(coarse, ["k", "b"]).withColumn("f", _fine(F.col("v"), F.col("low"), F.col("high")))
 
-    cuts = narrowed.groupBy("k", "b", "n", "base", "f").agg(F.count(F.lit(1)).alias("c"))
+    cuts = narrowed.groupBy("k", "b", "n", "base", "f").agg(F.sum("m").alias("c"))
     fine = chosen(located(cuts, ["k", "b"], "f", F.col("base")), ["k", "b", "f", F.col("at").alias("start")])
     last = narrowed.join(fine, ["k", "b", "f"])
 
-    singles = last.groupBy("k", "b", "f", "n", "start", "v").agg(F.count(F.lit(1)).alias("c"))
+    singles = last.groupBy("k", "b", "f", "n", "start", "v").agg(F.sum("m").alias("c"))
     ordered = located(singles, ["k", "b", "f"], "v", F.col("start"))
     found = ordered.groupBy("k", "n").agg(
         *[F.max(F.when(holds(rank), F.col("v"))).alias(f"v{i}") for i, rank in enumerate(ranks)]

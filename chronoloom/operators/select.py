@@ -49,7 +49,7 @@ def bucket_names(df: DataFrame, exclude: Iterable[str] | DataFrame = ()) -> Data
 def field_keys(df: DataFrame, as_of: str | datetime, days: int = 100) -> DataFrame:
     """Distinct field names seen in the ``days`` before ``as_of``."""
     end = parse_instant(as_of)
-    recent = time_range(df, end - timedelta(days=days))
+    recent = time_range(df, end - timedelta(days=days), end)
     return recent.select(FIELD).distinct()
 
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from chronoloom.functions.timefn import epoch_seconds, from_epoch_seconds
 from chronoloom.operators.quantiles import quantiles
-from chronoloom.operators.reshape import pivot_last
-from chronoloom.schema import FIELD, TIME, VALUE, duration_seconds, epoch_of, instant_literal, parse_instant, type_of
+from chronoloom.operators.select import time_range
+from chronoloom.schema import TIME, VALUE, duration_seconds, epoch_of, instant_literal, parse_instant, type_of
 
 _END = "__end"
 
@@ -97,10 +97,13 @@ def aggregate_window(
 
     One function keeps the value column's name; a list gives one column per function. Windows are
     aligned to the epoch, and the last one ends at ``stop`` when that is given. ``create_empty``
-    needs both bounds and adds null rows, or zero counts, for windows without points.
+    needs both bounds and adds null rows, or zero counts, for windows without points; points outside
+    the bounds are then left out.
     """
     functions = [fn] if isinstance(fn, str) else list(fn)
     kind = type_of(df, time)
+    if create_empty and start is not None and stop is not None:
+        df = time_range(df, parse_instant(start), parse_instant(stop), time=time)
     ended = df.withColumn(_END, window_end(time, every))
     out = _aggregate(ended, [*keys, _END], functions, time, value)
     if create_empty:
@@ -116,23 +119,6 @@ def aggregate_window(
     return out.select(*keys, end.alias(time), *columns)
 
 
-def window_pivot(
-    df: DataFrame,
-    every: str,
-    fn: str,
-    keys: Sequence[str],
-    row_key: Sequence[str],
-    fields: Sequence[str],
-    column: str = FIELD,
-    create_empty: bool = False,
-    start: str | int | datetime | None = None,
-    stop: str | int | datetime | None = None,
-) -> DataFrame:
-    """Window aggregation followed by a pivot of one key column into ``fields``."""
-    windows = aggregate_window(df, every, fn, keys, create_empty, start, stop)
-    return pivot_last(windows, row_key, fields, column)
-
-
 def expected_windows(start: datetime, stop: datetime, every: str) -> int:
     """Number of windows that a bounded range touches."""
     step = timedelta(seconds=duration_seconds(every)).total_seconds()

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 import json
+import warnings
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -12,12 +14,15 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from chronoloom.operators.fuse import fuse
-from chronoloom.plans.plan import Source, load_sources
+from chronoloom.plans.plan import Source, filled_sources, load_sources
 from chronoloom.plans.stages import Centre, Fuse, LagFeatures, Synchronise
 
 REGISTRY: dict[str, type] = {c.__name__: c for c in (Fuse, Synchronise, LagFeatures, Centre)}
 
 
+CONCURRENT_FITS = 4
+
+
 class InsufficientData(ValueError):
     """A plan whose sources gave no rows to fit on."""
 
@@ -47,6 +52,23 @@ class Pipe:
         for stage in self.model.stages:
             if hasattr(stage, "update"):
                 stage.update(**values)
+            else:
+                warnings.warn(f"{type(stage).__name__} takes no updates", stacklevel=2)
+
+    def release(self) -> None:
+        """Let every stage go of what it holds in memory."""
+        for stage in self.model.stages:
+            if hasattr(stage, "release"):
+                stage.release()
+
+    def predict_proba(self, df: DataFrame) -> DataFrame:
+        """Predictions of the last stage with a probability, of the frame the stages before it give."""
+        *before, last = self.model.stages
+        if not hasattr(last, "predict_proba"):
+            raise TypeError(f"{type(last).__name__} gives no probability")
+        for stage in before:
+            df = stage.transform(df)
+        return last.predict_proba(df)
 
     def info(self) -> dict[str, str]:
         return {s.uid: s.info() if hasattr(s, "info") else type(s).__name__ for s in self.model.stages}
@@ -62,13 +84,15 @@ def register(cls: type, name: str | None = None) -> type:
 
 
 def make_stage(name: str, params: Mapping, package: str | None = None):
-    """A stage by registered name, or by ``module.Class`` within a package of user stages."""
-    cls = REGISTRY.get(name) or REGISTRY.get(name.rsplit(".", 1)[-1])
-    if cls is None:
-        if package is None or "." not in name:
-            raise ValueError(f"unknown stage {name!r}; registered: {sorted(REGISTRY)}")
+    """A stage by registered name, or by ``module.Class`` within a package of user stages, which comes first."""
+    cls = REGISTRY.get(name)
+    if cls is None and package is not None and "." in name:
         module, attribute = name.rsplit(".", 1)
         cls = getattr(importlib.import_module(f"{package}.{module}"), attribute)
+    if cls is None and package is None:
+        cls = REGISTRY.get(name.rsplit(".", 1)[-1])
+    if cls is None:
+        raise ValueError(f"unknown stage {name!r}; registered: {sorted(REGISTRY)}")
     return cls(**params)
 
 
@@ -77,12 +101,21 @@ def build_pipeline(steps: Mapping[str, Mapping], package: str | None = None) ->
     return Pipeline(stages=[make_stage(name, params, package) for name, params in steps.items()])
 
 
-def prepare_data(spark: SparkSession, entry: Mapping, pipeline: Pipeline, sources: Mapping[str, Source]) -> DataFrame:
-    """The training frame: sources combined by the chain's last fusing stage, if it has one."""
-    frames = load_sources(spark, entry, sources)
+def prepare_data(
+    spark: SparkSession, queries: Mapping, stages, sources: Mapping[str, Source], start=None, stop=None, source: str | None = None
+) -> DataFrame:
+    """The frame of filled-in queries, for training and prediction alike.
+
+    Sources are combined by the chain's last fusing stage, if it has one. ``source`` names the one
+    source to take instead of all of them.
+    """
+    if source is not None and source not in queries:
+        raise ValueError(f"no source {source!r} in the plan; it has {sorted(queries)}")
+    wanted = queries if source is None else {source: queries[source]}
+    frames = load_sources(spark, {"data_sources": wanted}, sources, start, stop)
     if not frames:
         raise InsufficientData("no data source gave a frame")
-    fusers = [s for s in pipeline.getStages() if isinstance(s, Fuse)]
+    fusers = [s for s in stages if isinstance(s, Fuse)]
     return fusers[-1].fuse(frames) if fusers else fuse(frames.values())
 
 
@@ -102,25 +135,32 @@ def fit_predict(name: str, pipeline: Pipeline, df: DataFrame, training_info: Map
 def fit_plans(
     spark: SparkSession, plan: Mapping, sources: Mapping[str, Source], package: str | None = None
 ) -> dict[str, Pipe]:
-    """Fit every entry of a plan; entries without data are left out."""
-    pipes = {}
-    for name, entry in plan.items():
+    """Fit every entry of a plan, several at a time; entries without data are left out.
+
+    A pipe keeps its queries with their parameters filled in, so that it can predict without the plan.
+    """
+
+    def fitted(item: tuple[str, Mapping]) -> Pipe | None:
+        name, entry = item
         pipeline = build_pipeline(entry["steps"], package)
+        queries = filled_sources(entry)
         try:
-            data = prepare_data(spark, entry, pipeline, sources)
-            pipes[name] = fit_pipe(name, pipeline, data, entry["data_sources"])
+            return fit_pipe(name, pipeline, prepare_data(spark, queries, pipeline.getStages(), sources), queries)
         except InsufficientData:
-            continue
-    return pipes
+            return None
+
+    with ThreadPoolExecutor(CONCURRENT_FITS) as pool:
+        return {pipe.name: pipe for pipe in pool.map(fitted, plan.items()) if pipe is not None}
 
 
-def predict_range(spark: SparkSession, pipe: Pipe, sources: Mapping[str, Source], start, stop) -> DataFrame:
-    """Predict over another time range of the data the pipe was trained on.
+def predict_range(
+    spark: SparkSession, pipe: Pipe, sources: Mapping[str, Source], start, stop, source: str | None = None
+) -> DataFrame:
+    """Predict over another time range of the data the pipe was trained on, all of it or one named source.
 
     All buckets go through as one frame with a bucket column; stages keep them apart by key.
     """
-    frames = load_sources(spark, {"data_sources": pipe.training_info}, sources, start, stop)
-    return pipe.predict(fuse(frames.values()))
+    return pipe.predict(prepare_data(spark, pipe.training_info, pipe.model.stages, sources, start, stop, source))
 
 
 def save_pipe(spark: SparkSession, pipe: Pipe, path: str) -> None:

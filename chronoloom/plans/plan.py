@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chronoloom.operators.fuse import fuse
 from chronoloom.operators.select import time_range
 from chronoloom.plans.query import run_query
+from chronoloom.schema import TIME
 from chronoloom.sources.files import read_local
 from chronoloom.sources.relational import run_sql
 
@@ -44,9 +45,33 @@ def fill_parameters(query, params: Mapping):
         return [fill_parameters(v, params) for v in query]
     if isinstance(query, str) and query.startswith("{") and query.endswith("}"):
         return params.get(query[1:-1], query)
+    if isinstance(query, str):
+        for name, value in params.items():
+            query = query.replace("{" + name + "}", str(value))
     return query
 
 
+def filled_sources(entry: Mapping) -> dict:
+    """The queries of a plan entry with their parameters: steps filled in, SQL with its parameters beside it.
+
+    Parameters of a source are looked up under its name in the first step.
+    """
+    first = next(iter(entry.get("steps", {}).values()), {})
+    found = {}
+    for name, query in entry["data_sources"].items():
+        params = first.get(name, {})
+        if _is_sql(query):
+            lines = [query] if isinstance(query, str) else list(query)
+            found[name] = {"sql": lines, "params": dict(params)} if params else query
+        else:
+            found[name] = fill_parameters(query, params)
+    return found
+
+
+def _is_sql(query) -> bool:
+    return isinstance(query, str) or isinstance(query, (list, tuple)) and bool(query) and all(isinstance(q, str) for q in query)
+
+
 def _load_series(table, keys, exclude, as_of, spark, query, params, start, stop) -> DataFrame:
     points = table() if callable(table) else table
     return run_query(points, fill_parameters(query, params), start, stop, keys, as_of, exclude)
@@ -63,39 +88,49 @@ def series_source(
 
 
 def _load_sql(time, spark, query, params, start, stop) -> DataFrame:
+    if isinstance(query, Mapping):
+        query, params = query["sql"], {**query["params"], **params}
     df = run_sql(spark, query, params)
-    if time is None or (start is None and stop is None):
+    if start is None and stop is None:
         return df
-    return time_range(df, start if start is not None else 0, stop, time=time)
+    return time_range(df, start if start is not None else 0, stop, time=_time_of(df, time))
+
+
+def _time_of(df: DataFrame, time: str | None) -> str:
+    """The column a range applies to: the named one, or the frame's own time column."""
+    if time is None and TIME in df.columns:
+        return TIME
+    if time is None:
+        raise ValueError(f"a range needs a time column; name one of {df.columns} for the source")
+    return time
 
 
 def sql_source(time: str | None = None) -> Source:
-    """SQL over registered views; a named time column lets a new range apply."""
+    """SQL over registered views. A new range applies to the named time column; without one it raises."""
     return partial(_load_sql, time)
 
 
-def _load_files(folders, spark, query, params, start, stop) -> DataFrame | None:
-    return read_local(spark, folders, query)
+def _load_files(folders, time, spark, query, params, start, stop) -> DataFrame | None:
+    df = read_local(spark, folders, query)
+    if df is None or (start is None and stop is None):
+        return df
+    return time_range(df, start if start is not None else 0, stop, time=_time_of(df, time))
 
 
-def file_source(folders: Sequence[str]) -> Source:
-    """Files by name, looked up in every folder."""
-    return partial(_load_files, list(folders))
+def file_source(folders: Sequence[str], time: str | None = None) -> Source:
+    """Files by name, looked up in every folder. A new range applies to the named time column; without one it raises."""
+    return partial(_load_files, list(folders), time)
 
 
 def load_sources(
     spark: SparkSession, entry: Mapping, sources: Mapping[str, Source], start=None, stop=None
 ) -> dict[str, DataFrame]:
-    """The frame of every data source of a plan entry.
-
-    Parameters of a source are looked up under its name in the first step.
-    """
-    first = next(iter(entry.get("steps", {}).values()), {})
+    """The frame of every data source of a plan entry, with the parameters of its first step."""
     frames = {}
-    for name, query in entry["data_sources"].items():
+    for name, query in filled_sources(entry).items():
         if name not in sources:
             raise ValueError(f"no source {name!r}; available: {sorted(sources)}")
-        frame = sources[name](spark, query, first.get(name, {}), start, stop)
+        frame = sources[name](spark, query, {}, start, stop)
         if frame is not None:
             frames[name] = frame
     return frames

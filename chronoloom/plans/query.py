@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from chronoloom.operators import order, select
 from chronoloom.operators.fill import difference, fill_previous
 from chronoloom.operators.reshape import pivot_last
-from chronoloom.operators.window_agg import aggregate_window, expected_windows
+from chronoloom.operators.window_agg import aggregate_window
 from chronoloom.schema import FIELD, MEASUREMENT, VALUE, parse_instant, series_keys
 
-# Series longer than this are ordered slot by slot instead of in one task.
-MAX_SERIES_ROWS = 5_000_000
-SLOT = "1h"
+# Series are ordered slot by slot, so that a long one is never ordered in one task. A slot should hold
+# many points of a series; a query takes another width as ``slot``.
+SLOT = "1d"
 
 
 @dataclass(frozen=True)
@@ -28,23 +28,16 @@ class Series:
     keys: tuple[str, ...]
     start: datetime | None = None
     stop: datetime | None = None
-    rows_per_series: int | None = None
+    split: str = SLOT
     as_of: datetime | None = None
     exclude_buckets: tuple[str, ...] = ()
 
-    @property
-    def split(self) -> str | None:
-        known = self.rows_per_series
-        return None if known is not None and known <= MAX_SERIES_ROWS else SLOT
-
     def with_df(self, df: DataFrame) -> Series:
         return replace(self, df=df)
 
     def grouped(self, keys: Iterable[str]) -> Series:
-        """Other series keys. Dropping a key merges series, so their length is no longer known."""
-        keys = tuple(keys)
-        merged = not set(self.keys) <= set(keys)
-        return replace(self, keys=keys, rows_per_series=None if merged else self.rows_per_series)
+        """The same frame with other series keys."""
+        return replace(self, keys=tuple(keys))
 
 
 def _flag(value) -> bool:
@@ -150,8 +143,7 @@ def _window(series: Series, args: Mapping) -> Series:
     windows = aggregate_window(
         series.df, args["every"], args["function"], list(series.keys), empty, series.start, stop
     )
-    known = expected_windows(series.start, stop, args["every"]) if series.start and stop else None
-    out = replace(series, df=windows, rows_per_series=known)
+    out = replace(series, df=windows)
     if "rowKey" not in args:
         return out
     wanted = {"row_key": args["rowKey"], "column_key": args["columnKey"], "fields": args["fields"]}
@@ -212,9 +204,13 @@ def ordered_steps(query: Mapping | Iterable[Mapping]) -> list[tuple[str, object]
 
 
 def rerange(steps: list[tuple[str, object]], start=None, stop=None) -> list[tuple[str, object]]:
-    """The same steps over another time range."""
+    """The same steps over another time range; a query without a range step gets one."""
     bounds = {k: v for k, v in (("start", start), ("stop", stop)) if v is not None}
     ranged = ("range", "last_hours", "general_query")
+    if bounds and not any(name in ranged for name, _ in steps):
+        buckets = [k for k, (name, _) in enumerate(steps) if name in ("bucket", "buckets")]
+        at = buckets[0] + 1 if buckets else 0
+        return [*steps[:at], ("range", {"start": 0, **bounds}), *steps[at:]]
     return [(name, {**args, **bounds} if name in ranged else args) for name, args in steps]
 
 
@@ -226,13 +222,18 @@ def run_query(
     keys: Iterable[str] | None = None,
     as_of: str | datetime | None = None,
     exclude_buckets: Iterable[str] = (),
+    slot: str = SLOT,
 ) -> DataFrame:
-    """Fold the steps over a point table; ``start`` and ``stop`` replace the saved range."""
+    """Fold the steps over a point table; ``start`` and ``stop`` replace the saved range.
+
+    ``slot`` is the width of the time slots in which series are filled and differenced.
+    """
     series = Series(
         points,
         tuple(keys if keys is not None else series_keys(points)),
         as_of=parse_instant(as_of) if as_of is not None else None,
         exclude_buckets=tuple(exclude_buckets),
+        split=slot,
     )
     for name, args in rerange(ordered_steps(query), start, stop):
         series = STEPS[name](series, args)

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from chronoloom.operators.fuse import fuse
 from chronoloom.operators.sync import synchronise
 from chronoloom.schema import BUCKET, SYNC_KEYS, TIME, VALUE
+from chronoloom.session import scratch_path
 
 
 class Described(Params):
@@ -43,6 +44,9 @@ class Described(Params):
         """Named result frames of this stage, given its output."""
         return {}
 
+    def release(self) -> None:
+        """Let go of what a fitted stage holds in memory; most hold nothing."""
+
     def update(self, **values) -> None:
         """Set parameters by name; names the stage lacks only warn."""
         for name, value in values.items():
@@ -55,9 +59,11 @@ class Described(Params):
 class Fuse(Described, Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Combine the frames of a plan's sources. Subclasses override :meth:`fuse`."""
 
+    parameters = Param(Params._dummy(), "parameters", "what the plan gives this step, by source")
+
     def __init__(self, **parameters):
         super().__init__()
-        self.parameters = parameters
+        self._set(parameters=dict(parameters))
 
     def fuse(self, frames: Mapping[str, DataFrame]) -> DataFrame:
         return fuse(frames.values())
@@ -131,7 +137,10 @@ class _CentreParams(Described):
 
 
 class Centre(_CentreParams, Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """Learn each group's mean and deviation; by default a group is a bucket."""
+    """Learn each group's mean and deviation; by default a group is a bucket.
+
+    What is learned is written to the shared folder while fitting, so a model does not depend on the training data afterwards.
+    """
 
     @keyword_only
     def __init__(self, *, inputCol=None, keys=None):
@@ -141,11 +150,16 @@ class Centre(_CentreParams, Estimator, DefaultParamsReadable, DefaultParamsWrita
 
     def _fit(self, dataset: DataFrame) -> CentreModel:
         stats = sufficient_statistics(dataset, self.getOrDefault(self.keys), self.getOrDefault(self.inputCol))
-        return self._copyValues(CentreModel(stats))
+        path = scratch_path(dataset.sparkSession, "centre")
+        stats.write.parquet(path)
+        return self._copyValues(CentreModel(dataset.sparkSession.read.parquet(path)))
 
 
 class CentreModel(_CentreParams, Model, MLWritable, MLReadable):
-    """Predict the group's mean, with the residual and its score in deviations."""
+    """Predict the group's mean, with the residual, its score in deviations and the probability of one as large.
+
+    The probability is that of a residual at least this large if values are normally spread.
+    """
 
     def __init__(self, stats: DataFrame | None = None):
         super().__init__()
@@ -166,12 +180,20 @@ class CentreModel(_CentreParams, Model, MLWritable, MLReadable):
             F.when(F.col("std") > 0, residual / F.col("std")).alias("score"),
         )
 
+    def predict_proba(self, dataset: DataFrame) -> DataFrame:
+        """The predictions with ``probability``, that of a residual as large or larger."""
+        return self.transform(dataset).withColumn("probability", tail_probability(F.abs("score")))
+
+    def release(self) -> None:
+        """Drop the learned table if it is held in memory; the written one stays."""
+        if self.stats is not None:
+            self.stats.unpersist()
+
     def partial_fit(self, df: DataFrame) -> CentreModel:
-        """A model that has also seen ``df``; statistics add up, so earlier rows are not needed."""
+        """A model that has also seen ``df``; statistics merge, so earlier rows are not needed."""
         keys = self.getOrDefault(self.keys)
         seen = self.stats.unionByName(sufficient_statistics(df, keys, self.getOrDefault(self.inputCol)))
-        merged = seen.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")])
-        return self._copyValues(CentreModel(merged))
+        return self._copyValues(CentreModel(merged_statistics(seen, keys)))
 
     def results(self, df: DataFrame) -> dict[str, DataFrame]:
         return {"learned": moments(self.stats)}
@@ -208,31 +230,58 @@ class _CentreReader(MLReader):
 
 
 def sufficient_statistics(df: DataFrame, keys: list[str], value: str = VALUE) -> DataFrame:
-    """Count, sum and sum of squares per key: all a mean and deviation need, and addable."""
+    """Count, mean and sum of squared distances from the mean per key: what a mean and deviation need, and mergeable.
+
+    Sums of squares of the values themselves would lose the deviation of large readings to rounding.
+    """
     v = F.col(value).cast("double")
-    return df.groupBy(*keys).agg(F.count(v).alias("n"), F.sum(v).alias("total"), F.sum(v * v).alias("squares"))
+    n = F.count(v)
+    return df.groupBy(*keys).agg(n.alias("n"), F.avg(v).alias("mean"), (F.var_pop(v) * n).alias("m2"))
+
+
+def merged_statistics(stats: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key from several; a key has as many rows as there are batches to merge."""
+    parts = F.sort_array(F.collect_list(F.when(F.col("n") > 0, F.struct("n", "mean", "m2"))))
+
+    def add(one, other):
+        n = one["n"] + other["n"]
+        apart = other["mean"] - one["mean"]
+        mean = one["mean"] + apart * other["n"] / n
+        m2 = one["m2"] + other["m2"] + apart * apart * one["n"] * other["n"] / n
+        return F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"))
+
+    gathered = stats.groupBy(*keys).agg(parts.alias("__parts"))
+    first = F.try_element_at("__parts", F.lit(1))
+    rest = F.slice("__parts", F.lit(2), F.greatest(F.size("__parts") - 1, F.lit(0)))
+    total = gathered.withColumn("__sum", F.aggregate(rest, first, add))
+    return total.select(*keys, F.coalesce("__sum.n", F.lit(0).cast("long")).alias("n"), "__sum.mean", "__sum.m2")
 
 
 def moments(stats: DataFrame) -> DataFrame:
-    """Statistics with the mean and sample deviation worked out."""
-    mean = F.col("total") / F.when(F.col("n") > 0, F.col("n"))
-    spread = F.greatest(F.col("squares") - F.col("n") * mean * mean, F.lit(0.0))
-    std = F.sqrt(spread / F.when(F.col("n") > 1, F.col("n") - 1))
-    return stats.withColumns({"mean": mean, "std": std})
+    """Statistics with the sample deviation worked out."""
+    return stats.withColumn("std", F.sqrt(F.col("m2") / F.when(F.col("n") > 1, F.col("n") - 1)))
 
 
-def predict_per_bucket(
+def tail_probability(score):
+    """Probability that a standard normal value lies at least ``score`` (0 or more) from 0, to about seven digits."""
+    # Abramowitz and Stegun 7.1.26 for the complementary error function at score / sqrt(2); its fixed values.
+    x = score / F.lit(2.0**0.5)
+    t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.3275911) * x)
+    series = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
+    return series * F.exp(-x * x)
+
+
+def predict_rows_per_bucket(
     df: DataFrame,
     predict: Callable[[str, object], object],
     schema: T.StructType | str,
     bucket: str = BUCKET,
 ) -> DataFrame:
-    """Apply a pandas model bucket by bucket: ``predict(bucket, frame) -> frame``.
+    """Apply a row by row pandas model bucket by bucket: ``predict(bucket, frame) -> frame``.
 
-    The model sees one bucket's rows at a time, a batch of them per call, and so must predict each
-    row from that row alone. No bucket is gathered in one task, however large: rows are only put in
-    bucket order where they are, so that calls are few and frames are long. A model that needs
-    whole series belongs in a stage of its own with features computed beforehand.
+    The model sees rows of one bucket at a time, some of them per call, and so must predict each
+    row from that row alone. Nothing is shuffled or sorted, however large a bucket is. A model that
+    looks at a whole group belongs in ``predict_groups``.
     """
 
     def by_bucket(batches: Iterator) -> Iterator:
@@ -240,4 +289,18 @@ def predict_per_bucket(
             for name, rows in batch.groupby(bucket, sort=False, dropna=False):
                 yield predict(name, rows.reset_index(drop=True))
 
-    return df.sortWithinPartitions(bucket).mapInPandas(by_bucket, schema)
+    return df.mapInPandas(by_bucket, schema)
+
+
+def predict_groups(df: DataFrame, predict: Callable[[tuple, object], object], schema: T.StructType | str, keys: list[str]) -> DataFrame:
+    """Apply a pandas model to whole groups: ``predict(key values, frame) -> frame``, all rows of a group in one call.
+
+    A group is one task's frame, so ``keys`` must bound it: for raw points a bucket, its series and
+    a time slot (``slot_of``), for window aggregates a bucket and its series. Rows come in no order.
+    """
+    return df.groupBy(*keys).applyInPandas(predict, schema)
+
+
+def slot_of(time: str = TIME, width: str = "1 day"):
+    """Start of the time slot that a row falls in, as a key that bounds groups of points."""
+    return F.window(time, width)["start"].alias("slot")

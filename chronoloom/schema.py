@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 TIME = "_time"
 FIELD = "_field"
 VALUE = "_value"
+VALUE_TEXT = "_value_text"
 MEASUREMENT = "_measurement"
 BUCKET = "bucket"
 
@@ -106,6 +107,6 @@ def type_of(df: DataFrame, column: str) -> T.DataType:
 
 
 def series_keys(df: DataFrame, drop: Sequence[str] = ()) -> list[str]:
-    """Default series keys: every string column of a point table, the value column excluded."""
-    skip = {TIME, VALUE, *drop}
+    """Default series keys: every string column of a point table but the values, as number or as text."""
+    skip = {TIME, VALUE, VALUE_TEXT, *drop}
     return [f.name for f in df.schema if f.name not in skip and isinstance(f.dataType, T.StringType)]

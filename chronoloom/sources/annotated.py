@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoloom.functions.timefn import format_rfc3339
+from chronoloom.operators.fuse import fuse
 from chronoloom.schema import MEASUREMENT, TIME, type_of
 
 # Annotation labels and the words for column kinds in the first annotation row.
@@ -75,7 +76,7 @@ def write_annotated_csv(
         else:
             cell = F.col(c).cast("string")
         cells.append(cell.alias(c))
-    row = F.concat(F.lit(","), F.to_csv(F.struct(*cells), {"escape": '"', "emptyValue": '""'}))
+    row = F.concat(F.lit(","), F.to_csv(F.struct(*cells), {"escape": '"', "emptyValue": '""', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}))
     # The low bits of this id count rows within a partition, and a partition becomes a file.
     first = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)) == 0
     lines = df.select(row.alias("row"), first.alias("first")).select(
@@ -86,23 +87,40 @@ def write_annotated_csv(
     lines.write.mode("overwrite").text(path)
 
 
-def read_annotation(spark: SparkSession, path: str) -> dict[str, str]:
-    """Column kinds by name, from the first annotation row and the header."""
+def read_annotations(spark: SparkSession, path: str) -> list[tuple[dict[str, str], list[str]]]:
+    """Column kinds by name with the files that have them, from each file's own first annotation row and header."""
     mark = ANNOTATIONS[0] + ","
-    lines = spark.read.text(path).where(~F.col("value").startswith("#") | F.col("value").startswith(mark))
-    datatype = lines.where(F.col("value").startswith(mark)).limit(1).collect()
-    if not datatype:
+    value = F.col("value")
+    lines = spark.read.text(path).select(F.input_file_name().alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+    heads = lines.groupBy("file").agg(
+        F.count_if(value.startswith(mark)).alias("n"),
+        F.min_by("value", F.when(value.startswith(mark), F.col("at"))).alias("kinds"),
+        F.min_by("value", F.when(~value.startswith("#") & (F.trim("value") != ""), F.col("at"))).alias("header"),
+    )
+    # One row per layout; the names of files are all that is brought together.
+    found = heads.groupBy("n", "kinds", "header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    out = []
+    for row in sorted(found, key=lambda r: r["files"]):
+        if row["n"] != 1 or row["header"] is None:
+            raise ValueError(f"{row['n']} {ANNOTATIONS[0]} rows and header {row['header']!r} in {row['files'][0]!r}")
+        names, kinds = (next(csv.reader([line])) for line in (row["header"], row["kinds"]))
+        out.append((dict(zip(names[1:], kinds[1:])), row["files"]))
+    if not out:
         raise ValueError(f"no {ANNOTATIONS[0]} row in {path!r}")
-    header = spark.read.option("comment", "#").option("header", True).csv(path).columns
-    kinds = next(csv.reader([datatype[0][0]]))
-    return dict(zip(header[1:], kinds[1:]))
+    return out
 
 
 def read_annotated_csv(spark: SparkSession, path: str, measurement: str = MEASUREMENT) -> DataFrame:
-    """Read annotated CSV, types taken from the annotation row, the empty first column dropped."""
-    kinds = read_annotation(spark, path)
+    """Read annotated CSV, types taken from the annotation rows, the empty first column dropped.
+
+    Files of a folder may have other columns; each layout is read by its own and the frames are
+    fused. Quoted text may hold line breaks, so a file is read by one task.
+    """
     spark_types = {**FIELD_KINDS, TIME_KIND: T.TimestampType()}
-    fields = [T.StructField("__empty", T.StringType())]
-    fields += [T.StructField(name, spark_types.get(kind, T.StringType())) for name, kind in kinds.items()]
-    reader = spark.read.option("comment", "#").option("header", True).option("enforceSchema", True)
-    return reader.option("escape", '"').schema(T.StructType(fields)).csv(path).drop("__empty")
+    frames = []
+    for kinds, found in read_annotations(spark, path):
+        fields = [T.StructField("__empty", T.StringType())]
+        fields += [T.StructField(name, spark_types.get(kind, T.StringType())) for name, kind in kinds.items()]
+        reader = spark.read.options(comment="#", header=True, enforceSchema=True, multiLine=True, escape='"', nullValue="\u0000")
+        frames.append(reader.schema(T.StructType(fields)).csv(found).drop("__empty"))
+    return frames[0] if len(frames) == 1 else fuse(frames)

@@ -20,21 +20,30 @@ MICROSECONDS = {
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred, at the cost of one more read."""
-    reader = spark.read.option("header", True)
+    """CSV with a header; quoted text may hold line breaks, commas and doubled quotes.
+
+    Without a schema the types are inferred, at the cost of one more read. A file is read by one
+    task, as a line break may stand inside a value; large data belongs in several files.
+    """
+    # Nothing between two commas is null and two quotes are an empty text; the null mark itself stands in no file.
+    reader = spark.read.options(header=True, multiLine=True, escape='"', nullValue="\u0000")
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(_paths(paths))
 
 
 def read_json(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
-    """JSON lines, or files that each hold one array of records.
+    """JSON lines, or files that each hold one array of records, or both kinds among the files read.
 
-    A file holding one array is one record to split, so large data belongs in JSON lines.
+    Each file is looked at by itself. A file holding one array is one record to split, so large
+    data belongs in JSON lines.
     """
-    paths = _paths(paths)
-    whole = _starts_with_array(spark, paths[0])
-    reader = spark.read.option("multiLine", whole)
-    return (reader.schema(schema) if schema else reader).json(paths)
+    arrays, lines = _by_layout(spark, _paths(paths))
+    frames = []
+    for found, whole in ((lines, False), (arrays, True)):
+        if found:
+            reader = spark.read.option("multiLine", whole)
+            frames.append((reader.schema(schema) if schema else reader).json(found))
+    return frames[0] if len(frames) == 1 else fuse(frames)
 
 
 def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -45,9 +54,16 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _starts_with_array(spark: SparkSession, path: str) -> bool:
-    first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
-    return bool(first) and first[0][0].lstrip().startswith("[")
+def _by_layout(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
+    """Files that hold one array, and the others, of files and folders. An array's file starts with a bracket."""
+    named = spark.read.text(paths).select(F.input_file_name().alias("file"), F.ltrim("value").alias("line"), F.monotonically_increasing_id().alias("at"))
+    # Names and first characters only, one row a file.
+    first = named.where("line <> ''").groupBy("file").agg(F.min_by(F.substring("line", 1, 1), "at").alias("mark"))
+    marks = {row["file"]: row["mark"] for row in first.collect()}
+    arrays = [file for file, mark in marks.items() if mark == "["]
+    if not arrays:
+        return [], paths
+    return sorted(arrays), sorted(file for file, mark in marks.items() if mark != "[")
 
 
 def read_any(
@@ -102,7 +118,8 @@ def read_local(spark: SparkSession, folders: Sequence[str], files: Sequence[str]
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(header=True, **MICROSECONDS).csv(path)
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"', "emptyValue": '""'}
+    df.write.mode("overwrite").options(header=True, **kept, **MICROSECONDS).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,7 +102,12 @@ def run_sql(
     used = {name: value for name, value in (params or {}).items() if "{" + name + "}" in text}
     for name in used:
         marker = f"IDENTIFIER(:{name})" if name in identifiers else f":{name}"
+        for quote in ("'", '"'):  # a quoted placeholder is the parameter too, not text
+            text = text.replace(f"{quote}{{{name}}}{quote}", marker)
         text = text.replace("{" + name + "}", marker)
+    inside = [literal for literal in re.findall(r"'[^']*'", text) if any(re.search(rf":{name}\b", literal) for name in used)]
+    if inside:
+        raise ValueError(f"a placeholder cannot be part of the text {inside[0]}")
     return spark.sql(text, args=used) if used else spark.sql(text)
 
 

@@ -375,13 +375,39 @@ UNION ALL BY NAME SELECT * REPLACE (CAST(s_suppkey AS INTEGER) AS s_suppkey) FRO
     sql["data_quality"] = from_points("""SELECT * FROM (
   SELECT bucket, _field, system_id, count(*) AS n_points,
     120 - count(DISTINCT time_bucket(INTERVAL '6 hours', _time)) AS n_missing_windows,
-    count(*) FILTER (gap > 21600) AS n_gaps, round(max(gap), 6) AS max_gap_seconds,
+    count(*) FILTER (gap > 21600) + CASE WHEN max(tail) > 21600 THEN 1 ELSE 0 END AS n_gaps,
+    round(greatest(max(gap), max(tail)), 6) AS max_gap_seconds,
     count(*) FILTER (_value < q1 - 1.5 * (q3 - q1) OR _value > q3 + 1.5 * (q3 - q1)) AS n_outliers
-  FROM (SELECT *, (epoch_us(_time) - lag(epoch_us(_time)) OVER (PARTITION BY bucket, _field, system_id ORDER BY _time))
-      / 1e6 AS gap FROM points)
+  FROM (SELECT *, (epoch_us(_time) - coalesce(lag(epoch_us(_time)) OVER (PARTITION BY bucket, _field, system_id ORDER BY _time),
+      epoch_us(TIMESTAMP '2024-01-01'))) / 1e6 AS gap,
+      (epoch_us(TIMESTAMP '2024-01-31') - max(epoch_us(_time)) OVER (PARTITION BY bucket, _field, system_id)) / 1e6 AS tail
+      FROM points)
   JOIN (SELECT bucket, _field, system_id, quantile_cont(_value, 0.25) AS q1, quantile_cont(_value, 0.75) AS q3
     FROM points GROUP BY ALL) USING (bucket, _field, system_id)
   GROUP BY bucket, _field, system_id)""")
+    keys = "bucket, _field, equipment_number"
+    sql["data_quality_narrow_range"] = from_points(f"""
+SELECT {keys}, coalesce(n_points, 0) AS n_points, coalesce(n_missing_windows, 12) AS n_missing_windows,
+  coalesce(n_gaps, 1) AS n_gaps, coalesce(max_gap_seconds, 259200.0) AS max_gap_seconds, coalesce(n_outliers, 0) AS n_outliers
+FROM (SELECT DISTINCT {keys} FROM points) LEFT JOIN (
+  SELECT {keys}, count(*) AS n_points, 12 - count(DISTINCT time_bucket(INTERVAL '6 hours', _time)) AS n_missing_windows,
+    count(*) FILTER (gap > 21600) + CASE WHEN max(tail) > 21600 THEN 1 ELSE 0 END AS n_gaps,
+    round(greatest(max(gap), max(tail)), 6) AS max_gap_seconds,
+    count(*) FILTER (_value < q1 - 1.5 * (q3 - q1) OR _value > q3 + 1.5 * (q3 - q1)) AS n_outliers
+  FROM (SELECT *, (epoch_us(_time) - coalesce(lag(epoch_us(_time)) OVER (PARTITION BY {keys} ORDER BY _time), epoch_us({LOW}))) / 1e6 AS gap,
+      (epoch_us({HIGH}) - max(epoch_us(_time)) OVER (PARTITION BY {keys})) / 1e6 AS tail
+      FROM points WHERE _time >= {LOW} AND _time < {HIGH})
+  JOIN (SELECT {keys}, quantile_cont(_value, 0.25) AS q1, quantile_cont(_value, 0.75) AS q3
+    FROM points WHERE _time >= {LOW} AND _time < {HIGH} GROUP BY ALL) USING ({keys})
+  GROUP BY {keys}) USING ({keys})""")
+    sql["agg_window_empty_unfiltered"] = from_points(f"""
+SELECT bucket, _field, s + INTERVAL 6 HOUR AS _time, round(m, 6) AS _value
+FROM (SELECT DISTINCT bucket, _field FROM points WHERE _time >= {LOW} AND _time < {HIGH})
+CROSS JOIN (SELECT {LOW} + INTERVAL 6 HOUR * k AS s FROM range(12) t(k))
+LEFT JOIN (SELECT bucket, _field, time_bucket(INTERVAL '6 hours', _time) AS s, max(_value) AS m FROM points
+  WHERE _time >= {LOW} AND _time < {HIGH} GROUP BY ALL) USING (bucket, _field, s)""")
+    sql["centre_large_offset"] = from_points("""SELECT bucket, count(_value) AS n, round(avg(_value), 3) AS mean,
+  round(stddev_samp(_value), 3) AS std FROM points GROUP BY bucket""")
     sql["consumption_daily"] = f"""WITH {meters_ctes()}
 SELECT bucket, "floor", equipment_number, CAST(_time - INTERVAL 1 MICROSECOND AS DATE) AS day,
   round(sum(_value), 6) AS consumption, count(_value) AS n_windows
@@ -390,7 +416,7 @@ FROM meters GROUP BY ALL"""
     sql["temperature_reach"] = from_points(f"""SELECT bucket, "floor", CAST(local AS DATE) AS day,
   min(minute) FILTER (abs("view" - click) <= 5.0) AS minutes_to_reach, count(*) AS n_windows
 FROM (SELECT *, hour(local) * 60 + minute(local) - 450 AS minute FROM (
-  SELECT bucket, "floor", _time + INTERVAL 1 HOUR AS local, max(_value) FILTER (_field = 'view') AS "view",
+  SELECT bucket, "floor", _time - INTERVAL 15 MINUTE + INTERVAL 1 HOUR AS local, max(_value) FILTER (_field = 'view') AS "view",
     max(_value) FILTER (_field = 'click') AS click
   FROM ({windows('15 minutes', 'bucket, "floor", _field', 'avg(_value) AS _value')})
   GROUP BY ALL))
@@ -412,9 +438,18 @@ FROM points JOIN (SELECT bucket, avg(_value) AS mean, stddev_samp(_value) AS std
     sql["plan_fit_predict"] = centred(
         "bucket", f"_time >= {late} AND _time < {STOP}", f"_time >= {START} AND _time < {late}", score=False
     )
-    sql["updated_stage"] = sync(FIELDS, limit=1)
-    sql["stage_results"] = from_points("""SELECT bucket, system_id, count(_value) AS n, round(sum(_value), 4) AS total,
-  round(sum(_value * _value), 4) AS squares, round(avg(_value), 4) AS mean, round(stddev_samp(_value), 4) AS std
+    sql["updated_stage"] = sync(["purchase", "view"], limit=1)
+    sql["pandas_model_whole_groups"] = from_points(
+        "SELECT bucket, _field, _time, equipment_number, rank() OVER (PARTITION BY bucket ORDER BY _value) AS rank FROM points"
+    )
+    sql["general_query"] = chosen(f"bucket IN ('b1', 'b3') AND _time >= {LOW} AND _time < {HIGH} AND _field = 'view'")
+    sql["demo_fit_predict"] = from_points(f"""SELECT {SERIES}, _time, round(mean, 6) AS prediction,
+  round(_value - mean, 6) AS residual
+FROM points JOIN (SELECT bucket, avg(_value) AS mean FROM points
+  WHERE bucket = 'b0' AND _time >= {START} AND _time < {late} OR bucket = 'b2' AND _value >= 1.0 GROUP BY 1) USING (bucket)
+WHERE _time >= {late} AND _time < {STOP} AND (bucket = 'b0' OR _value >= 1.0)""")
+    sql["stage_results"] = from_points("""SELECT bucket, system_id, count(_value) AS n, round(var_pop(_value) * count(_value), 4) AS m2,
+  round(avg(_value), 4) AS mean, round(stddev_samp(_value), 4) AS std
 FROM points GROUP BY bucket, system_id""")
     both = sync(["purchase", "view"], digits=12)
     sql["synchronise_stage"] = f"""SELECT _time, system_id, "floor", equipment_number, round(purchase, 6) AS purchase,
@@ -432,6 +467,14 @@ FROM (SELECT *, avg("view") OVER (PARTITION BY "floor") AS mean FROM ({both}))""
 
     sql["csv_roundtrip"] = "SELECT * FROM orders"
     sql["json_roundtrip"] = "SELECT * FROM customer"
+    sql["json_mixed_layouts"] = "SELECT * FROM customer"
+    sql["json_prediction_input"] = "SELECT * FROM customer"
+    sql["csv_awkward_text"] = """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN o_orderpriority || chr(10) || 'next'
+  WHEN 1 THEN 'say "' || o_orderstatus || '", twice' WHEN 2 THEN '' WHEN 3 THEN o_orderpriority END AS note FROM orders"""
+    sql["annotated_mixed_headers"] = """SELECT event_type AS _measurement, date_trunc('milliseconds', ts) AS _time,
+  CASE WHEN user_id % 2 = 0 THEN value END AS value, event_id, CASE WHEN user_id % 2 = 1 THEN user_id END AS user_id
+FROM events"""
+    sql["points_roundtrip_whole"] = chosen("true")
     sql["parquet_prediction_input"] = "SELECT * FROM part"
     sql["csv_prediction_input"] = 'SELECT event_id, ts AS "timestamp", value FROM events'
     sql["points_roundtrip"] = chosen(f"bucket IN ('b0', 'b2') AND _time >= {LOW} AND _time < {HIGH}")
@@ -466,8 +509,8 @@ grid AS (SELECT * FROM steps WHERE make_timestamp((_time + 120) * 1000000) < {CL
 {fill_ctes(FIELDS, SYNC)}
 SELECT _time, {', '.join(SYNC)}, {shown} FROM filled WHERE {whole}"""
     sql["partial_fit_stats"] = from_points(
-        "SELECT bucket, _field, count(_value) AS n, round(sum(_value), 4) AS total,"
-        " round(sum(_value * _value), 4) AS squares FROM points GROUP BY bucket, _field"
+        "SELECT bucket, _field, count(_value) AS n, round(avg(_value), 4) AS mean,"
+        " round(var_pop(_value) * count(_value), 4) AS m2 FROM points GROUP BY bucket, _field"
     )
     return sql
 

@@ -25,7 +25,8 @@ from chronoloom.plans.stages import (
     CentreModel,
     LagFeatures,
     Synchronise,
-    predict_per_bucket,
+    predict_groups,
+    predict_rows_per_bucket,
     sufficient_statistics,
 )
 from chronoloom.schema import BUCKET, FIELD, MEASUREMENT, TIME, VALUE, parse_instant
@@ -525,7 +526,8 @@ def _lines_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def profile_lineitem(spark, sf_dir):
-    return profile.profile_columns(_lines_with_gaps(spark, sf_dir))
+    lines = _lines_with_gaps(spark, sf_dir)
+    return profile.profile_columns(lines, exact=lines.columns)
 
 
 @query
@@ -565,6 +567,30 @@ def data_quality(spark, sf_dir):
     return rounded(out, ["max_gap_seconds"])
 
 
+@query
+def data_quality_narrow_range(spark, sf_dir):
+    """Bounds narrower than the data, in which many series have no point."""
+    keys = [BUCKET, FIELD, "equipment_number"]
+    out = analytics.data_quality(points(spark, sf_dir), keys, RANGE["start"], RANGE["stop"], "6h")
+    return rounded(out, ["max_gap_seconds"])
+
+
+@query
+def agg_window_empty_unfiltered(spark, sf_dir):
+    """Empty windows in bounds narrower than the data, which is not filtered beforehand."""
+    out = aggregate_window(points(spark, sf_dir), "6h", "max", [BUCKET, FIELD], True, RANGE["start"], RANGE["stop"])
+    return rounded(out, [VALUE])
+
+
+@query
+def centre_large_offset(spark, sf_dir):
+    """Deviations of readings near a thousand million, learned in two parts."""
+    df = points(spark, sf_dir).withColumn(VALUE, F.col(VALUE) + 1e9)
+    first = Centre(inputCol=VALUE, keys=[BUCKET]).fit(df.where("_time < '2024-01-15'"))
+    learned = first.partial_fit(df.where("_time >= '2024-01-15'")).results(df)["learned"]
+    return rounded(learned.withColumn("mean", F.col("mean") - 1e9).drop("m2"), ["mean", "std"], 3)
+
+
 @query
 def consumption_daily(spark, sf_dir):
     out = analytics.consumption_per_day(meters(spark, sf_dir), [BUCKET, "floor", "equipment_number"])
@@ -575,7 +601,7 @@ def consumption_daily(spark, sf_dir):
 def temperature_reach(spark, sf_dir):
     keys = [BUCKET, "floor"]
     windows = aggregate_window(points(spark, sf_dir), "15m", "mean", [*keys, FIELD])
-    return analytics.temperature_reach(windows, keys, "view", "click", "Europe/Madrid", tolerance=5.0)
+    return analytics.temperature_reach(windows, keys, "view", "click", "Europe/Madrid", "15m", tolerance=5.0)
 
 
 @query
@@ -613,7 +639,47 @@ def pandas_model_per_bucket(spark, sf_dir):
         return rows[["bucket", "_field", "_time", "equipment_number", "label", "alarm"]]
 
     schema = "bucket string, _field string, _time timestamp_ntz, equipment_number string, label string, alarm boolean"
-    return predict_per_bucket(scored, predict, schema)
+    return predict_rows_per_bucket(scored, predict, schema)
+
+
+@query
+def pandas_model_whole_groups(spark, sf_dir):
+    """Ranks over all rows of each bucket, which need the whole group at once."""
+
+    def ranked(key, rows):
+        out = rows[[BUCKET, FIELD, TIME, "equipment_number"]]
+        return out.assign(rank=rows[VALUE].rank(method="min").astype("int64"))
+
+    schema = "bucket string, _field string, _time timestamp_ntz, equipment_number string, rank long"
+    return predict_groups(points(spark, sf_dir), ranked, schema, [BUCKET])
+
+
+@query
+def demo_fit_predict(spark, sf_dir):
+    """Fit on two sources with parameters, save, load, predict a later range of both."""
+    table_points = points(spark, sf_dir)
+    table_points.createOrReplaceTempView("all_points")
+    plan = {
+        "demo": {
+            "steps": {"Fuse": {"series": {"site": "b0"}, "relational": {"site": "b2", "low": 1.0}}, "Centre": {"keys": [BUCKET]}},
+            "data_sources": {
+                "series": {"buckets": ["{site}"], "range": {"start": START, "stop": "2024-01-21T00:00:00Z"}},
+                "relational": ["SELECT * FROM all_points", "WHERE bucket = '{site}' AND _value >= {low}"],
+            },
+        }
+    }
+    sources = {"series": series_source(table_points), "relational": sql_source()}
+    path = scratch_path(spark, "demo")
+    save_pipe(spark, fit_plans(spark, plan, sources)["demo"], path)
+    out = predict_range(spark, load_pipe(spark, path), sources, "2024-01-21T00:00:00Z", STOP)
+    return rounded(out.select(*SERIES, TIME, "prediction", "residual"), ["prediction", "residual"])
+
+
+@query
+def general_query(spark, sf_dir):
+    """Buckets and range in one step."""
+    steps = {"general_query": {"bucket": ["b1", "b3"], **RANGE}, "filter_field": [{"field": "view"}]}
+    return run_query(points(spark, sf_dir), steps)
 
 
 @query
@@ -645,16 +711,17 @@ def stage_results(spark, sf_dir):
     """What a fitted stage reports beside its predictions."""
     df = points(spark, sf_dir)
     pipe = fit_pipe("centred", Pipeline(stages=[Centre(keys=[BUCKET, "system_id"])]), df)
-    return rounded(pipe.results(df)[-1]["learned"], ["total", "squares", "mean", "std"], 4)
+    return rounded(pipe.results(df)[-1]["learned"], ["mean", "m2", "std"], 4)
 
 
 @query
 def updated_stage(spark, sf_dir):
     """A saved chain with a parameter changed afterwards."""
     df = points(spark, sf_dir)
-    pipe = fit_pipe("grid", Pipeline(stages=[Synchronise(fields=FIELDS)]), df)
+    fields = ["purchase", "view"]
+    pipe = fit_pipe("grid", Pipeline(stages=[Synchronise(fields=fields)]), df)
     pipe.update(fillLimit=1)
-    return rounded(pipe.predict(df), FIELDS)
+    return rounded(pipe.predict(df), fields)
 
 
 @query
@@ -715,6 +782,37 @@ def json_roundtrip(spark, sf_dir):
     return files.read_any(spark, path, schema=customers.schema)
 
 
+@query
+def json_mixed_layouts(spark, sf_dir):
+    """JSON lines and a file that holds one array, read together."""
+    customers = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "customers")
+    files.write_json(customers.where("c_nationkey <> 0"), f"{path}/lines.json")
+    array = customers.where("c_nationkey = 0").agg(F.to_json(F.collect_list(F.struct(*customers.columns))).alias("value"))
+    array.coalesce(1).write.text(f"{path}/array.json")
+    return files.read_json(spark, [f"{path}/array.json", f"{path}/lines.json"], customers.schema)
+
+
+@query
+def json_prediction_input(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "customer") + ".json"
+    files.write_json(customers, path)
+    return files.read_for_prediction(spark, path).withColumn("c_nationkey", F.col("c_nationkey").cast("int")).select(customers.columns)
+
+
+@query
+def csv_awkward_text(spark, sf_dir):
+    """Texts with line breaks, quotes and commas, empty ones and null."""
+    key = F.col("o_orderkey") % 5
+    text = F.when(key == 0, F.concat(F.col("o_orderpriority"), F.lit("\nnext")))
+    text = text.when(key == 1, F.concat(F.lit('say "'), F.col("o_orderstatus"), F.lit('", twice'))).when(key == 2, "").when(key == 3, F.col("o_orderpriority"))
+    odd = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("note"))
+    path = scratch_path(spark, "notes") + ".csv"
+    files.write_csv(odd, path)
+    return files.read_any(spark, path, schema=odd.schema)
+
+
 @query
 def parquet_prediction_input(spark, sf_dir):
     path = scratch_path(spark, "part") + ".parquet"
@@ -739,6 +837,13 @@ def points_roundtrip(spark, sf_dir):
     return series_table.scan_points(spark, path, ["b0", "b2"], **RANGE)
 
 
+@query
+def points_roundtrip_whole(spark, sf_dir):
+    path = scratch_path(spark, "points")
+    series_table.write_points(points(spark, sf_dir), path)
+    return series_table.scan_points(spark, path)
+
+
 @query
 def upload_wide_rows(spark, sf_dir):
     """Wide rows of several measurements to long points of one bucket, and back."""
@@ -775,6 +880,16 @@ def annotated_csv_roundtrip(spark, sf_dir):
     return annotated.read_annotated_csv(spark, path).withColumn(TIME, F.col(TIME).cast("timestamp_ntz"))
 
 
+@query
+def annotated_mixed_headers(spark, sf_dir):
+    """A folder of annotated files of two layouts, each read by its own header."""
+    events = table(spark, sf_dir, "events").select(F.col("event_type").alias(MEASUREMENT), F.col("ts").alias(TIME), "value", "event_id", "user_id")
+    path = scratch_path(spark, "annotated")
+    annotated.write_annotated_csv(events.where("user_id % 2 = 0"), f"{path}/one", [], ["value", "event_id"])
+    annotated.write_annotated_csv(events.where("user_id % 2 = 1"), f"{path}/two", [], ["event_id", "user_id"])
+    return annotated.read_annotated_csv(spark, f"{path}/*").withColumn(TIME, F.col(TIME).cast("timestamp_ntz"))
+
+
 @query
 def generate_sensor_data(spark, sf_dir):
     """One synthetic row per event instant; values follow from the event's identity alone."""
@@ -825,4 +940,4 @@ def partial_fit_stats(spark, sf_dir):
     start.update(keys=keys)
     path = scratch_path(spark, "stream-model")
     predict_and_partial_fit(_event_stream(spark, sf_dir), start, path)
-    return rounded(latest_model(spark, start, path).stats, ["total", "squares"], 4)
+    return rounded(latest_model(spark, start, path).stats, ["mean", "m2"], 4)

@@ -9,18 +9,17 @@ from chronoloom.operators.quantiles import quantiles
 PROBS = {"q0": 0.0, "q10": 0.1, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q99": 0.99, "q100": 1.0}
 
 
-def check(spark, groups: dict, few_groups: bool = False):
+def check(spark, groups: dict):
     rows = [(k, float(v)) for k, values in groups.items() for v in values]
     df = spark.createDataFrame(rows, "k string, v double")
-    out = {r.k: r for r in quantiles(df, ["k"], "v", PROBS, few_groups=few_groups).collect()}
+    out = {r.k: r for r in quantiles(df, ["k"], "v", PROBS).collect()}
     assert set(out) == set(groups)
     for k, values in groups.items():
         for name, p in PROBS.items():
             assert out[k][name] == pytest.approx(np.quantile(np.array(values, dtype=float), p), rel=1e-12), (k, name)
 
 
-@pytest.mark.parametrize("few_groups", [False, True])
-def test_shapes_of_groups(spark, few_groups):
+def test_shapes_of_groups(spark):
     rng = np.random.default_rng(5)
     check(
         spark,
@@ -35,7 +34,6 @@ def test_shapes_of_groups(spark, few_groups):
             "integers": list(rng.integers(0, 5, 333)),
             None: list(rng.normal(0, 1, 50)),
         },
-        few_groups,
     )
 
 
@@ -52,6 +50,7 @@ def test_without_broadcast_joins(spark):
         spark.conf.set(name, "-1")
     try:
         check(spark, {"a": list(rng.normal(0, 1, 200)), None: list(rng.integers(0, 9, 100)), "b": [1.0]})
+        check(spark, {"hot": [20.5] * 9000 + list(rng.normal(20, 1, 1000)), "cold": list(rng.normal(0, 1, 20))})
     finally:
         for name in names:
             spark.conf.unset(name)
@@ -103,13 +102,29 @@ def test_describe_of_an_empty_column(spark):
 def test_profile_forms_agree_on_small_data(spark):
     rows = [(i % 7, None if i % 3 else "x", float(i)) for i in range(100)]
     df = spark.createDataFrame(rows, "a long, b string, c double")
-    exact = sorted(profile_columns(df).collect())
+    exact = sorted(profile_columns(df, exact=df.columns).collect())
     wanted = [("a", "bigint", 100, 0, 7), ("b", "string", 100, 66, 1), ("c", "double", 100, 0, 100)]
     assert [tuple(r) for r in exact] == wanted
-    sketched = {r["column"]: r for r in profile_columns(df, exact=False).collect()}
+    sketched = {r["column"]: r for r in profile_columns(df).collect()}
     assert sketched["b"]["n_nulls"] == 66 and abs(sketched["c"]["n_distinct"] - 100) < 10
 
 
+def test_profile_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "a long, b string")
+    wanted = [("a", "bigint", 0, 0, 0), ("b", "string", 0, 0, 0)]
+    for exact in ((), ("b",), ("a", "b")):
+        assert sorted(tuple(r) for r in profile_columns(df, exact=exact).collect()) == wanted
+
+
+def test_values_are_counted_in_one_wide_shuffle(spark):
+    """The table is read once and no raw row stands under a join."""
+    df = spark.range(1000).selectExpr("cast(id % 3 as string) as k", "cast(id % 50 as double) as v")
+    out = quantiles(df, ["k"], "v", {"m": 0.5})
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    for part in plan.split("Join")[1:]:
+        assert part.count("Range (") <= part.count("count(1)")
+
+
 def test_result_views(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, 3.0, None)], "i long, v double, s string")
     views = result_views(df)

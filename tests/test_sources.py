@@ -172,3 +172,46 @@ def test_sql_parameters_are_bound(spark):
     assert relational.run_sql(spark, lines, params).count() == 2
     found = relational.run_sql(spark, "SELECT * FROM bound WHERE s = {text}", {"text": "it's"})
     assert [r.v for r in found.collect()] == [700]
+
+
+def test_json_files_of_both_layouts(spark, tmp_path):
+    (tmp_path / "array.json").write_text('[\n {"a": 1},\n {"a": 2}\n]\n')
+    (tmp_path / "lines.json").write_text('\n{"a": 3}\n{"a": 4}\n{"a": 5}\n')
+    paths = [str(tmp_path / "array.json"), str(tmp_path / "lines.json")]
+    for order in (paths, paths[::-1]):
+        out = files.read_json(spark, order, "a long")
+        assert out.columns == ["a"] and sorted(r.a for r in out.collect()) == [1, 2, 3, 4, 5]
+
+
+def test_csv_keeps_awkward_text(spark, tmp_path):
+    values = ["a\nb", 'say "x", y', "", None, "plain", " spaced ", "c,d\r\ne"]
+    df = spark.createDataFrame(list(enumerate(values)), "i long, t string")
+    files.write_csv(df, str(tmp_path / "odd.csv"))
+    out = files.read_any(spark, str(tmp_path / "odd.csv"), schema=df.schema).orderBy("i").collect()
+    assert [r.t for r in out] == values
+
+
+def test_annotated_files_with_other_headers(spark, tmp_path):
+    for name, field, kind, value in (("one", "aaa", "double", "1.5"), ("two", "bbb", "long", "7"), ("three", "aaa", "double", "2.5")):
+        head = annotated.head_lines("_measurement", ["zone"], "_time", {field: kind})
+        (tmp_path / f"{name}.csv").write_text("\n".join([*head, f",m,z,2025-06-01T00:00:00.000Z,{value}"]) + "\n")
+    rows = annotated.read_annotated_csv(spark, str(tmp_path)).orderBy("aaa").collect()
+    assert [(r.aaa, r.bbb) for r in rows] == [(None, 7), (1.5, None), (2.5, None)]
+    (tmp_path / "bad.csv").write_text(",_measurement,_time\n,m,2025-06-01T00:00:00.000Z\n")
+    with pytest.raises(ValueError, match="datatype"):
+        annotated.read_annotated_csv(spark, str(tmp_path))
+
+
+def test_annotated_text_with_line_breaks(spark, tmp_path):
+    rows = [("m", datetime(2025, 6, 1, 0, i), t, float(i)) for i, t in enumerate(["a\nb", "#c", 'q "x", y', "", None])]
+    df = spark.createDataFrame(rows, "_measurement string, _time timestamp, note string, v double")
+    annotated.write_annotated_csv(df, str(tmp_path / "out"), [], ["note", "v"])
+    out = annotated.read_annotated_csv(spark, str(tmp_path / "out")).orderBy("v").collect()
+    assert [(r["_measurement"], r.note, r.v) for r in out] == [("m", t, float(i)) for i, t in enumerate(["a\nb", "#c", 'q "x", y', "", None])]
+
+
+def test_quoted_placeholders_are_bound(spark):
+    spark.createDataFrame([("x", 1), ("y", 2)], "tag string, n long").createOrReplaceTempView("tagged")
+    assert relational.run_sql(spark, "SELECT * FROM tagged WHERE tag = '{tag}'", {"tag": "x"}).count() == 1
+    with pytest.raises(ValueError):
+        relational.run_sql(spark, "SELECT * FROM tagged WHERE tag = 'a {tag} b'", {"tag": "x"})

@@ -76,10 +76,10 @@ def test_temperature_reach_over_the_summer_time_change(spark):
             room = 15.0 + max(0, quarter - 30) * 0.5
             rows += [("z", time, "room", room), ("z", time, "set", 21.0)]
     df = spark.createDataFrame(rows, "zone string, _time timestamp, _field string, _value double")
-    out = analytics.temperature_reach(df, ["zone"], "room", "set", "Europe/Madrid")
+    out = analytics.temperature_reach(df, ["zone"], "room", "set", "Europe/Madrid", "15m")
     assert [(str(r.day), r.minutes_to_reach) for r in out.orderBy("day").collect()] == [
-        ("2025-03-28", 165),
-        ("2025-03-31", 165),
+        ("2025-03-28", 150),
+        ("2025-03-31", 150),
     ]
 
 
@@ -89,9 +89,37 @@ def test_data_quality(spark):
         r.k: r
         for r in analytics.data_quality(frame(spark, rows), ["k"], T0, T0 + timedelta(hours=6), "30m", "1h").collect()
     }
-    assert (out["a"].n_points, out["a"].n_missing_windows, out["a"].n_gaps) == (13, 7, 1)
+    assert (out["a"].n_points, out["a"].n_missing_windows, out["a"].n_gaps) == (13, 7, 2)
     assert (out["a"].max_gap_seconds, out["a"].n_outliers) == (190 * 60.0, 1)
-    assert (out["b"].n_points, out["b"].n_missing_windows, out["b"].n_gaps, out["b"].max_gap_seconds) == (1, 11, 0, None)
+    assert (out["b"].n_points, out["b"].n_missing_windows, out["b"].n_gaps, out["b"].max_gap_seconds) == (1, 11, 1, 6 * 3600.0)
+
+
+def test_data_quality_within_narrow_bounds(spark):
+    """Points outside the bounds do not count, and a series without points inside has a row."""
+    rows = [("a", -20, 1.0), ("a", 0, 1.0), ("a", 50, 2.0), ("a", 60, 3.0), ("c", 500, 1.0)]
+    out = {r.k: r for r in analytics.data_quality(frame(spark, rows), ["k"], T0, T0 + timedelta(hours=1), "30m", "1h").collect()}
+    assert (out["a"].n_points, out["a"].n_missing_windows, out["a"].n_gaps, out["a"].max_gap_seconds) == (2, 0, 1, 3000.0)
+    assert (out["c"].n_points, out["c"].n_missing_windows, out["c"].n_gaps, out["c"].max_gap_seconds, out["c"].n_outliers) == (0, 2, 1, 3600.0, 0)
+
+
+def test_empty_windows_of_unfiltered_points(spark):
+    df = frame(spark, [("a", -90, 9.0), ("a", 10, 1.0), ("a", 130, 2.0), ("a", 500, 9.0)])
+    out = aggregate_window(df, "1h", "max", ["k"], True, T0, T0 + timedelta(hours=3))
+    assert shown(out) == [("a", 60, 1.0), ("a", 120, None), ("a", 180, 2.0)]
+
+
+def test_temperature_before_the_start_hour_does_not_count(spark):
+    """A window that ends at the start hour holds earlier readings only."""
+    rows = [("z", datetime(2025, 1, 7, 7, 30), f, 21.0) for f in ("room", "set")] + [("z", datetime(2025, 1, 7, 8, 0), f, v) for f, v in (("room", 20.8), ("set", 21.0))]
+    df = spark.createDataFrame(rows, "zone string, _time timestamp, _field string, _value double")
+    out = analytics.temperature_reach(df, ["zone"], "room", "set", "UTC", "15m").collect()
+    assert [(r.minutes_to_reach, r.n_windows) for r in out] == [(15, 1)]
+
+
+def test_consumption_by_local_days(spark):
+    df = frame(spark, [("a", 22 * 60, 1.0), ("a", 22 * 60 + 30, 2.0)])
+    out = analytics.consumption_per_day(df, ["k"], "Europe/Madrid").orderBy("day").collect()
+    assert [(str(r.day), r.consumption) for r in out] == [("2025-06-01", 1.0), ("2025-06-02", 2.0)]
 
 
 def test_consumption_counts_midnight_to_the_day_before(spark):
