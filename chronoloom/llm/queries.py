@@ -90,11 +90,53 @@ QUERIES = {
     "op10_repeated_passages": op10_repeated_passages,
 }
 
+_REACH = """reach AS (
+  SELECT {id} AS id, {id} AS seen FROM {table}
+  UNION
+  SELECT reach.id, edges.b FROM reach JOIN edges ON reach.seen = edges.a
+)"""
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+# Queries without an entry have no SQL form: a trained network, licence rules, byte pairs, entropy balancing, wrappers and chunks by content.
 ORACLES = {
     "op2_exact_dedup": """
-        WITH n AS (
-            SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
-        ), g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY text_sha256)
-        SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, n.text_sha256 FROM n JOIN g USING (text_sha256)
-    """,
+WITH n AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+), g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY text_sha256)
+SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, n.text_sha256 FROM n JOIN g USING (text_sha256)""",
+    "op6_embedding_dedup": f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+), edges AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+    AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.98
+), {_REACH.format(id="vec_id", table="embeddings")}, c AS (SELECT id AS vec_id, min(seen) AS component_id FROM reach GROUP BY id)
+SELECT c.vec_id, (SELECT count(*) FROM edges WHERE a = c.vec_id) AS n_links, c.component_id, c.vec_id = c.component_id AS kept FROM c""",
+    "op7_ngram_join": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[k:k + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS k FROM w WHERE len(ws) > 0)
+), n AS (SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id),
+edges AS (
+  SELECT p.a, p.b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * p.i >= 80 * (na.n_shingles + nb.n_shingles - p.i)
+), {_REACH.format(id="doc_id", table="documents")}, c AS (SELECT id AS doc_id, min(seen) AS component_id FROM reach GROUP BY id)
+SELECT c.doc_id, coalesce(n.n_shingles, 0) AS n_shingles, c.component_id FROM c LEFT JOIN n USING (doc_id)""",
+    # The pages of the tables declare no canonical links or redirects, so their rules alone decide; aliases are tested on a fixture.
+    "op9_url_filter": f"""
+WITH u AS (
+  SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), {_LOWER}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+), r AS (
+  SELECT * FROM (VALUES {", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)}) t(verdict, rule_host, rule_path)
+), m AS (
+  SELECT page_id, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    max_by(verdict, length(rule_host || rule_path)) AS verdict
+  FROM p JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id
+)
+SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)""",
 }
