@@ -21,22 +21,30 @@ def int8_try(value: Column) -> Column:
     return value.try_cast("tinyint").cast("long")
 
 
+# Fixed values of half precision: bits of the fraction, the least normal exponent, the largest number.
+HALF_BITS = 11
+HALF_LEAST = -14
+HALF_MOST = 65504.0
+
+
+def half_precision(value: Column) -> Column:
+    """The nearest half-precision number, ties to even; infinite beyond the largest one."""
+    v = value.cast("double")
+    exponent = F.greatest(F.floor(F.log2(F.abs(v))), F.lit(HALF_LEAST))
+    unit = F.pow(F.lit(2.0), exponent - (HALF_BITS - 1))
+    rounded = F.rint(v / unit) * unit
+    beyond = F.abs(rounded) > HALF_MOST
+    return F.when(v == 0, v).when(beyond, F.signum(v) * F.lit(float("inf"))).otherwise(rounded)
+
+
 def narrow(value: Column, mode: str | None, temperature: bool) -> Column:
-    """Narrow one field: ``"wrap"`` or ``"try"`` through 8-bit integers, temperatures to float."""
+    """Narrow one field: ``"wrap"`` or ``"try"`` through 8-bit integers, temperatures to half precision."""
     if mode is None:
         return value
     if temperature:
-        return value.cast("float")
+        return half_precision(value)
     if mode == "wrap":
         return int8_wrap(value)
     if mode == "try":
         return int8_try(value)
     raise ValueError(f"unknown narrowing {mode!r}")
-
-
-def to_float32(value: Column) -> Column:
-    return value.cast("float")
-
-
-def round3(value: Column) -> Column:
-    return F.round(value, 3)

@@ -201,7 +201,7 @@ def _oracles() -> dict[str, str]:
     )
     sql["narrow_wrap"] = sync(FIELDS, out={f: wrapped(f) for f in FIELDS})
     tries = {f: tried(f) for f in FIELDS if f != "view"}
-    sql["narrow_try"] = sync(FIELDS, out={**tries, "view": "round(CAST(CAST(view AS FLOAT) AS DOUBLE), 3)"})
+    sql["narrow_try"] = sync(FIELDS, out={**tries, "view": "round(round_even(view / power(2, greatest(floor(log2(abs(view))), -14) - 10), 0) * power(2, greatest(floor(log2(abs(view))), -14) - 10), 3)"})
 
     sql["range_half_open"] = chosen(f"_time >= {LOW} AND _time < {HIGH}")
     sql["range_epoch_seconds"] = sql["range_half_open"]
@@ -508,6 +508,15 @@ FROM events"""
 grid AS (SELECT * FROM steps WHERE make_timestamp((_time + 120) * 1000000) < {CLOSED}),
 {fill_ctes(FIELDS, SYNC)}
 SELECT _time, {', '.join(SYNC)}, {shown} FROM filled WHERE {whole}"""
+    sql["stream_window_max_batches"] = sql["stream_window_max"]
+    batch = " + ".join(f"CASE WHEN _time >= TIMESTAMP '{t}' THEN 1 ELSE 0 END" for t in (
+        "2024-01-08 00:10:00", "2024-01-15 12:00:00", "2024-01-22 00:00:00"))
+    sql["partial_fit_predictions"] = from_points(f"""SELECT {SERIES}, _time, round(total / n + 3e-8, 6) AS prediction
+FROM (SELECT *, {batch} AS batch FROM points) LEFT JOIN (
+  SELECT bucket, _field, batch, sum(sum(_value)) OVER w AS total, sum(count(_value)) OVER w AS n
+  FROM (SELECT *, {batch} AS batch FROM points) GROUP BY bucket, _field, batch
+  WINDOW w AS (PARTITION BY bucket, _field ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+) USING (bucket, _field, batch)""")
     sql["partial_fit_stats"] = from_points(
         "SELECT bucket, _field, count(_value) AS n, round(avg(_value), 4) AS mean,"
         " round(var_pop(_value) * count(_value), 4) AS m2 FROM points GROUP BY bucket, _field"

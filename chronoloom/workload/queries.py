@@ -33,7 +33,7 @@ from chronoloom.schema import BUCKET, FIELD, MEASUREMENT, TIME, VALUE, parse_ins
 from chronoloom.session import scratch_path, use_utc
 from chronoloom.sources import annotated, files, relational, series_table
 from chronoloom.sources.generate import sensor_rows
-from chronoloom.streaming.learn import latest_model, predict_and_partial_fit
+from chronoloom.streaming.learn import latest_model, predict_and_partial_fit, predictions
 from chronoloom.streaming.points import read_stream, run_available, stream_grid, stream_windows, streamed_table
 from chronoloom.workload.tables import FIELDS, SERIES, TAGS, as_points, points, table
 
@@ -46,6 +46,8 @@ RANGE = {"start": "2024-01-10T00:00:00Z", "stop": "2024-01-13T00:00:00Z"}
 # Readings below this count as missing where a query needs gaps.
 DETECTION = 5.0
 DELAY = "10m"
+# Starts of the batches in which events arrive; the first is open.
+WEEKS = [None, "2024-01-08 00:10:00", "2024-01-15 12:00:00", "2024-01-22 00:00:00"]
 
 QUERIES: dict[str, Query] = {}
 
@@ -916,6 +918,43 @@ def stream_window_max(spark, sf_dir):
     return streamed_table(spark, path).withColumn(TIME, F.col(TIME).cast("timestamp_ntz"))
 
 
+def _arriving(spark: SparkSession, sf_dir: str) -> str:
+    """The events as files of a week each, written one after the other."""
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "arriving")
+    for low, high in zip(WEEKS, [*WEEKS[1:], None]):
+        week = events.where(F.col("ts") >= F.lit(low)) if low else events
+        week = week.where(F.col("ts") < F.lit(high)) if high else week
+        week.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _weekly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = table(spark, sf_dir, "events").schema
+    return as_points(read_stream(spark, _arriving(spark, sf_dir), schema, files_per_batch=1))
+
+
+@query
+def stream_window_max_batches(spark, sf_dir):
+    """Windows of a stream that arrives in several batches, some windows in two of them."""
+    path = scratch_path(spark, "stream-windows")
+    run_available(stream_windows(_weekly_stream(spark, sf_dir), "30m", "max", [BUCKET, FIELD], DELAY), path)
+    return streamed_table(spark, path).withColumn(TIME, F.col(TIME).cast("timestamp_ntz"))
+
+
+@query
+def partial_fit_predictions(spark, sf_dir):
+    """Predictions of a model that learns from each batch after predicting it."""
+    keys = [BUCKET, FIELD]
+    start = CentreModel(sufficient_statistics(points(spark, sf_dir).limit(0), keys))
+    start.update(keys=keys)
+    path = scratch_path(spark, "stream-model")
+    predict_and_partial_fit(_weekly_stream(spark, sf_dir), start, path, keep=2)
+    shifted = (F.col("prediction") + 3e-8).alias("prediction")  # off the halves at which two roundings may part
+    out = predictions(spark, path).select(*SERIES, F.col(TIME).cast("timestamp_ntz").alias(TIME), shifted)
+    return rounded(out, ["prediction"])
+
+
 @query
 def stream_sync_grid(spark, sf_dir):
     path = scratch_path(spark, "stream-grid")

@@ -106,6 +106,16 @@ def test_predict_and_learn(spark, arriving, tmp_path):
     assert len(os.listdir(os.path.join(path, "models"))) == 3
 
 
+def test_old_versions_can_go(spark, arriving, tmp_path):
+    folder, batch = arriving
+    path, start = str(tmp_path / "model"), empty_model(batch)
+    with pytest.raises(ValueError):
+        predict_and_partial_fit(read_stream(spark, folder, batch.schema), start, path, keep=1)
+    predict_and_partial_fit(read_stream(spark, folder, batch.schema, files_per_batch=1), start, path, keep=2)
+    assert len(os.listdir(os.path.join(path, "models"))) == 2
+    assert latest_model(spark, start, path).stats.agg(F.sum("n")).collect()[0][0] == batch.count()
+
+
 def test_a_batch_sees_only_versions_before_it(spark, arriving, tmp_path):
     folder, batch = arriving
     path, start = str(tmp_path / "model"), empty_model(batch)
