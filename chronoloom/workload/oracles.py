@@ -412,6 +412,23 @@ LEFT JOIN (SELECT bucket, _field, time_bucket(INTERVAL '6 hours', _time) AS s, m
 SELECT bucket, "floor", equipment_number, CAST(_time - INTERVAL 1 MICROSECOND AS DATE) AS day,
   round(sum(_value), 6) AS consumption, count(_value) AS n_windows
 FROM meters GROUP BY ALL"""
+    sql["consumption_daily_local"] = sql["consumption_daily"].replace("_time - INTERVAL", "_time + INTERVAL 1 HOUR - INTERVAL")
+    sql["temperature_prediction_external"] = from_points(f"""SELECT bucket, _time, round(purchase, 4) AS purchase,
+  round(my + b1 * (before - m1) + b2 * ("view" - m2), 4) AS prediction
+FROM (
+  SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2
+  FROM (SELECT *, lag(purchase) OVER (PARTITION BY bucket ORDER BY _time) AS before FROM (
+    SELECT bucket, _time, max(_value) FILTER (_field = 'purchase') AS purchase, max(_value) FILTER (_field = 'view') AS "view"
+    FROM ({windows('1 hour', 'bucket, _field', 'avg(_value) AS _value')}) GROUP BY ALL)
+    WHERE purchase IS NOT NULL AND "view" IS NOT NULL) rows,
+  (SELECT var_pop(before) AS s11, var_pop("view") AS s22, covar_pop(before, "view") AS s12, covar_pop(before, purchase) AS s1y,
+      covar_pop("view", purchase) AS s2y, avg(purchase) AS my, avg(before) AS m1, avg("view") AS m2
+    FROM (SELECT *, lag(purchase) OVER (PARTITION BY bucket ORDER BY _time) AS before FROM (
+      SELECT bucket, _time, max(_value) FILTER (_field = 'purchase') AS purchase, max(_value) FILTER (_field = 'view') AS "view"
+      FROM ({windows('1 hour', 'bucket, _field', 'avg(_value) AS _value')}) GROUP BY ALL)
+      WHERE purchase IS NOT NULL AND "view" IS NOT NULL)
+    WHERE before IS NOT NULL AND _time < TIMESTAMP '2024-01-21') learned)
+WHERE before IS NOT NULL AND _time >= TIMESTAMP '2024-01-21'""")
     # The tables lie in January, when the zone of the query is one hour ahead of UTC.
     sql["temperature_reach"] = from_points(f"""SELECT bucket, "floor", CAST(local AS DATE) AS day,
   min(minute) FILTER (abs("view" - click) <= 5.0) AS minutes_to_reach, count(*) AS n_windows

@@ -619,6 +619,26 @@ def temperature_prediction(spark, sf_dir):
     return rounded(out, [VALUE, "prediction"], 4)
 
 
+@query
+def temperature_prediction_external(spark, sf_dir):
+    """One field from its last window and another field, learned before a day and judged after it."""
+    windows = aggregate_window(points(spark, sf_dir), "1h", "mean", [BUCKET, FIELD])
+    wide = pivot_last(windows, [BUCKET, TIME], ["purchase", "view"], FIELD, VALUE).dropna()
+    lagged = LagFeatures(inputCol="purchase", keys=[BUCKET], lags=[1])
+    features = VectorAssembler(inputCols=[*lagged.names(), "view"], outputCol="features")
+    regression = LinearRegression(featuresCol="features", labelCol="purchase", solver="normal")
+    prepared = Pipeline(stages=[lagged, features]).fit(wide).transform(wide)
+    model = regression.fit(prepared.where(f"{TIME} < '2024-01-21'"))
+    out = model.transform(prepared.where(f"{TIME} >= '2024-01-21'")).select(BUCKET, TIME, "purchase", "prediction")
+    return rounded(out, ["purchase", "prediction"], 4)
+
+
+@query
+def consumption_daily_local(spark, sf_dir):
+    out = analytics.consumption_per_day(meters(spark, sf_dir), [BUCKET, "floor", "equipment_number"], "Europe/Madrid")
+    return rounded(out, ["consumption"])
+
+
 # --- stages
 
 
