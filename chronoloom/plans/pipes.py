@@ -74,7 +74,18 @@ class Pipe:
         return {s.uid: s.info() if hasattr(s, "info") else type(s).__name__ for s in self.model.stages}
 
     def attributes(self) -> dict[str, dict]:
-        return {s.uid: {p.name: s.getOrDefault(p) for p in s.params if s.isDefined(p)} for s in self.model.stages}
+        """Parameters of every stage, and the plain attributes of those that show them."""
+        own = lambda s: {p.name: s.getOrDefault(p) for p in s.params if s.isDefined(p)}
+        return {s.uid: s.attributes() if hasattr(s, "attributes") else own(s) for s in self.model.stages}
+
+    def files(self) -> dict[str, str | None]:
+        """The file that defines each stage of the library or of a user."""
+        return {s.uid: s.source_file() for s in self.model.stages if hasattr(s, "source_file")}
+
+    def matrices(self, df: DataFrame) -> dict[str, dict[str, tuple[list[str], int]]]:
+        """Columns and row counts of every result frame, by stage."""
+        named = zip([s.uid for s in self.model.stages if hasattr(s, "results")], self.results(df))
+        return {uid: {name: (frame.columns, frame.count()) for name, frame in found.items()} for uid, found in named}
 
 
 def register(cls: type, name: str | None = None) -> type:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 import warnings
 from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
@@ -31,6 +32,10 @@ from chronoloom.schema import BUCKET, SYNC_KEYS, TIME, VALUE
 from chronoloom.session import scratch_path
 
 
+# Kinds of attributes that a stage shows of itself.
+PLAIN = (bool, int, float, str, list, tuple, dict)
+
+
 class Described(Params):
     """What every stage of a chain can say about itself."""
 
@@ -38,7 +43,15 @@ class Described(Params):
         return f"{type(self).__name__} {self.uid}"
 
     def attributes(self) -> dict:
-        return {p.name: self.getOrDefault(p) for p in self.params if self.isDefined(p)}
+        """Parameters by name, and the plain public attributes of the class and the stage."""
+        plain = {n: v for c in reversed(type(self).__mro__) for n, v in vars(c).items() if isinstance(v, PLAIN)}
+        plain |= {n: v for n, v in vars(self).items() if isinstance(v, PLAIN)}
+        set_ = {p.name: self.getOrDefault(p) for p in self.params if self.isDefined(p)}
+        return {n: v for n, v in plain.items() if not n.startswith("_") and n != "uid"} | set_
+
+    def source_file(self) -> str | None:
+        """The file that defines the stage."""
+        return inspect.getsourcefile(type(self))
 
     def results(self, df: DataFrame) -> dict[str, DataFrame]:
         """Named result frames of this stage, given its output."""

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline, Transformer
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import functions as F
 
@@ -181,6 +182,30 @@ def test_update_and_describe_stages(points):
     assert len(pipe.info()) == 2
 
 
+class Labelled(Doubled):
+    label = "twice"
+    bounds = (0, 10)
+
+
+def test_stages_show_what_they_are(points):
+    pipe = pipes.fit_pipe("p", Pipeline(stages=[Labelled(), Centre(keys=["bucket"])]), points)
+    first, second = pipe.model.stages
+    shown = pipe.attributes()
+    assert shown[first.uid] == {"label": "twice", "bounds": (0, 10)}
+    assert shown[second.uid]["keys"] == ["bucket"]
+    assert pipe.files()[first.uid].endswith("test_plans.py") and pipe.files()[second.uid].endswith("stages.py")
+    columns, rows = pipe.matrices(points)[second.uid]["learned"]
+    assert rows == points.select("bucket").distinct().count() and "std" in columns
+
+
+def test_stages_without_updates_warn(points):
+    pipe = pipes.Pipe("p", Pipeline(stages=[SQLTransformer(statement="SELECT * FROM __THIS__")]).fit(points))
+    with pytest.warns(UserWarning, match="no updates"):
+        pipe.update(fillLimit=1)
+    with pytest.raises(TypeError):
+        pipe.predict_proba(points)
+
+
 def test_centre_statistics(spark, points):
     model = Centre(keys=["bucket"]).fit(points)
     ours = {r.bucket: (r.mean, r.std) for r in moments(model.stats).collect()}
