@@ -18,12 +18,16 @@ SHINGLE = 5
 LOW, HIGH = 80, 100
 """Sets link if HIGH * intersection >= LOW * union."""
 BAND_GROWTH = 1.6
-COMMON_SAMPLE = 32
+COMMON_SAMPLE = 16
 """One in so many distinct texts is looked at for common shingles."""
 MOST_COMMON = 100_000
 """Common shingles kept, at most. Which shingles count as common changes how long the join takes, not what it finds."""
 FLUSH = 1 << 20
 FILTER_BITS = 1 << 23
+TILE = 4096
+"""Members of a group whose sketches are compared at once; larger groups are cut into tiles, each pair of tiles apart."""
+PER_BUCKET = 4
+"""Shingles in a bucket of a sketch, on average at most."""
 
 
 @cache
@@ -89,6 +93,72 @@ def set_key(values: np.ndarray) -> int:
     return int(arrowtext.mix((total + np.uint64(len(values))).reshape(1)).view(np.int64)[0])
 
 
+def sketch(values: np.ndarray) -> bytes:
+    """How many shingles of a set fall in each bucket of the hash range; a power of two of buckets."""
+    bits = max(int(-(-len(values) // PER_BUCKET) - 1).bit_length(), 3)
+    counts = np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 0xFFFF).astype("<u2").tobytes()
+
+
+def could_link(size_a: int, sketch_a: bytes, size_b: int, sketch_b: bytes) -> bool:
+    """Whether two sets may be similar enough, by their sizes and sketches; never false for sets that link.
+
+    Sets differ in at least as many shingles as the counts of their buckets do, summed over all buckets.
+    """
+    if min(size_a, size_b) * HIGH < max(size_a, size_b) * LOW:
+        return False
+    a, b = (np.frombuffer(x, dtype="<u2").astype(np.int64) for x in (sketch_a, sketch_b))
+    if len(a) > len(b):
+        a, b = b, a
+    b = b.reshape(len(a), -1).sum(axis=1)
+    return int(np.abs(a - b).sum()) * (HIGH + LOW) <= (size_a + size_b) * (HIGH - LOW)
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sides = [batch.column(k).to_pylist() for k in ("size_a", "sketch_a", "size_b", "sketch_b")]
+        yield batch.select(["a", "b"]).filter(pa.array([could_link(*x) for x in zip(*sides)], pa.bool_()))
+
+
+def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of a group's members from different components that may link, of a partition sorted by group."""
+    names = ("grp", "tile_a", "tile_b")
+
+    def pairs(key: tuple, rows: pa.Table) -> pa.RecordBatch | None:
+        node, root, size, tile = (rows.column(k).to_numpy() for k in ("node", "root", "size", "tile"))
+        sketches = [np.frombuffer(x, dtype="<u2").astype(np.int32) for x in rows.column("sketch").to_pylist()]
+        buckets = min(map(len, sketches))
+        table = np.stack([x.reshape(buckets, -1).sum(axis=1) for x in sketches])
+        found_a, found_b = [], []
+        for i in np.flatnonzero(tile == key[1]):
+            # Within a tile each pair is met once, in order; between two tiles the second one holds the partners.
+            j = np.flatnonzero((tile == key[2]) & (root != root[i]) & ((node < node[i]) if key[1] == key[2] else True))
+            j = j[np.minimum(size[i], size[j]) * HIGH >= np.maximum(size[i], size[j]) * LOW]
+            j = j[np.abs(table[j] - table[i]).sum(axis=1) * (HIGH + LOW) <= (size[i] + size[j]) * (HIGH - LOW)]
+            found_a.append(np.full(len(j), node[i]))
+            found_b.append(node[j])
+        a, b = np.concatenate(found_a), np.concatenate(found_b)
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"]) if len(a) else None
+
+    held, held_key = [], None
+    for batch in batches:
+        keys = [batch.column(k).to_numpy() for k in names]
+        change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        bounds = [0, *change.tolist(), batch.num_rows]
+        for low, high in zip(bounds, bounds[1:]):
+            if high == low:
+                continue
+            key = tuple(int(k[low]) for k in keys)
+            if key != held_key and held:
+                if (out := pairs(held_key, pa.Table.from_batches(held))) is not None:
+                    yield out
+                held = []
+            held_key = key
+            held.append(batch.slice(low, high - low))
+    if held and (out := pairs(held_key, pa.Table.from_batches(held))) is not None:
+        yield out
+
+
 def _sets(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, np.ndarray]]:
     """Each row's shingle set, sorted; rows without words have none."""
     data, offsets = arrowtext.text_bytes(batch.column(name))
@@ -102,10 +172,12 @@ def _sets(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, np.ndarray]]:
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in arrowtext.slices(batches, "text"):
         node, size = np.zeros(batch.num_rows, dtype=np.int64), np.zeros(batch.num_rows, dtype=np.int64)
+        sketches: list[bytes | None] = [None] * batch.num_rows
         for row, values in _sets(batch, "text"):
-            node[row], size[row] = set_key(values), len(values)
+            node[row], size[row], sketches[row] = set_key(values), len(values), sketch(values)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(size), pa.array(node, mask=size == 0), batch.column("text_hash")], names=["doc_id", "n_shingles", "node", "text_hash"]
+            [batch.column("doc_id"), pa.array(size), pa.array(node, mask=size == 0), batch.column("text_hash"), pa.array(sketches, pa.binary())],
+            names=["doc_id", "n_shingles", "node", "text_hash", "sketch"],
         )
 
 
@@ -168,7 +240,10 @@ def _signed(common, parts: int):
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets that share a signature, from the packed rows of one part: (grp, node, leader), each distinct list of members once."""
+    """Sets that share a signature, from the packed rows of one part: (grp, node, leader, second, third), each distinct list of members once.
+
+    The leaders are the smallest and the largest member, and the smallest by another hash.
+    """
     signs, nodes = [], []
     for batch in batches:
         for k in range(batch.num_rows):
@@ -199,9 +274,13 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keep[np.unique(key, return_index=True)[1]] = True
     keep &= size > 1
     member = np.repeat(keep, size)
-    out = [np.repeat(key.view(np.int64), size)[member], node[member], np.repeat(node[start], size)[member]]
+    other = arrowtext.mix(node.view(np.uint64) ^ np.uint64(0x7A5662C8D27D4EB1))
+    least = np.minimum.reduceat(other, start)
+    third = node[np.flatnonzero(other == np.repeat(least, size))][: len(start)]
+    leaders = [np.repeat(x, size)[member] for x in (node[start], node[start + size - 1], third)]
+    out = [np.repeat(key.view(np.int64), size)[member], node[member], *leaders]
     for low in range(0, len(out[0]), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(x[low : low + 100_000]) for x in out], names=["grp", "node", "leader"])
+        yield pa.RecordBatch.from_arrays([pa.array(x[low : low + 100_000]) for x in out], names=["grp", "node", "leader", "second", "third"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,6 +319,12 @@ def _hash_filter(hashes: DataFrame):
     return run
 
 
+def _unless_apart(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) that sketches do not rule out, so that few texts need be read."""
+    known = lambda k: nodes.select(F.col("node").alias(k), F.col("size").alias(f"size_{k}"), F.col("sketch").alias(f"sketch_{k}"))
+    return pairs.join(known("a"), "a").join(known("b"), "b").mapInArrow(_possible, "a long, b long")
+
+
 def _verified(pairs: DataFrame, hashed: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the candidate pairs (a, b) of set keys that link."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
@@ -271,29 +356,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nothing; null ids are passed over as smallest ids; rows with equal sets are one node, so copies and repeated rows cost one set for each
     partition; other columns are ignored.
 
-    Candidates: sets sharing a signature are compared with the smallest of them, the links found are joined into
+    Candidates: sets sharing a signature are compared with three leaders among them, the links found are joined into
     components, and then all pairs that share a signature across components are compared. What is left within a component need
-    not be compared, so a group of copies costs as many comparisons as it has members.
+    not be compared, so a group of copies costs three comparisons a member. Sketches go first: a pair whose sketches are further
+    apart than any linked sets can be is not compared, and no pair is written before that.
     """
     hashed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    sets = stored(hashed.mapInArrow(_keyed, "doc_id long, n_shingles long, node long, text_hash long"), "join-sets")
+    sets = stored(hashed.mapInArrow(_keyed, "doc_id long, n_shingles long, node long, text_hash long, sketch binary"), "join-sets")
     spark = docs.sparkSession
     common = spark.sparkContext.broadcast(common_shingles(docs))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = docs.select("text").mapInArrow(_signed(common, parts), "part int, nodes binary, counts binary, signs binary")
-    groups = stored(packed.repartition(parts, "part").mapInArrow(_groups, "grp long, node long, leader long"), "join-groups")
+    groups = stored(packed.repartition(parts, "part").mapInArrow(_groups, "grp long, node long, leader long, second long, third long"), "join-groups")
 
-    stars = groups.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    links = _verified(stored(stars, "join-stars"), hashed, sets)
+    members = groups.select("node").distinct()
+    nodes = stored(sets.join(members, "node").groupBy("node").agg(F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch")), "join-nodes")
+    stars = groups.select("node", F.explode(F.array("leader", "second", "third")).alias("leader")).where("node <> leader")
+    stars = stored(stars.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct(), "join-stars")
+    links = _verified(stored(_unless_apart(stars, nodes), "join-possible"), hashed, sets)
     roots = components(links)
     placed = groups.join(roots, "node", "left").select("grp", "node", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high and n > 2").select("grp")
-    placed = stored(placed.join(mixed, "grp").distinct(), "join-mixed")
-    if not placed.isEmpty():
-        left = placed.select("grp", F.col("node").alias("a"), F.col("root").alias("root_a"))
-        right = placed.select("grp", F.col("node").alias("b"), F.col("root").alias("root_b"))
-        crossing = left.join(right, "grp").where("a > b and root_a <> root_b").select("a", "b").distinct()
-        more = _verified(stored(crossing.join(stars, ["a", "b"], "left_anti"), "join-crossing"), hashed, sets)
+    placed = placed.distinct()
+    mixed = placed.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
+    mixed = stored(mixed.where("low <> high and n > 3").select("grp", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")), "join-mixed")
+    if not mixed.isEmpty():
+        rows = placed.join(mixed, "grp").join(nodes, "node").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        rows = rows.select("grp", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), "tile", "node", "root", "size", "sketch")
+        dealt = rows.repartition(parts, "grp", "tile_a", "tile_b").sortWithinPartitions("grp", "tile_a", "tile_b")
+        crossing = dealt.mapInArrow(_crossing, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
+        more = _verified(stored(crossing, "join-crossing"), hashed, sets)
         roots = components(links.union(more))
 
     placed = sets.join(roots, "node", "left").select("doc_id", "n_shingles", "text_hash", F.coalesce("root", "node").alias("root"))

@@ -155,11 +155,19 @@ def test_sets_that_link_share_a_signature():
                 drop += 1
             b = np.unique(np.concatenate((a[draw.permutation(len(a))[drop:]], draw.integers(1, 1 << 62, add, dtype=np.uint64))))
             both = len(np.intersect1d(a, b))
+            assert shingle_join.could_link(len(a), shingle_join.sketch(a), len(b), shingle_join.sketch(b))
             assert 100 * both >= 80 * (len(a) + len(b) - both)
             for common in (none, np.sort(a[: len(a) // 2]), np.sort(np.union1d(a, b))):
                 assert len(np.intersect1d(shingle_join.signatures(a, common), shingle_join.signatures(b, common)))
 
 
+def test_sketches_rule_out_other_sets():
+    draw = np.random.default_rng(6)
+    for size in (40, 300, 3000, 20_000):
+        a, b = (np.unique(draw.integers(1, 1 << 64, size, dtype=np.uint64)) for _ in range(2))
+        assert not shingle_join.could_link(len(a), shingle_join.sketch(a), len(b), shingle_join.sketch(b))
+
+
 @pytest.mark.parametrize("shared", [(), tuple(f"s{k}" for k in range(60))])
 def test_near_duplicates_by_brute_force(spark, shared, monkeypatch):
     monkeypatch.setattr(shingle_join, "COMMON_SAMPLE", 1)  # passages shared by half the texts count as common
@@ -188,8 +196,10 @@ def test_near_duplicates_of_odd_rows(spark):
     assert shingle_join.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_links_across_components_of_a_group(spark):
+@pytest.mark.parametrize("tile", [3, 4096])
+def test_links_across_components_of_a_group(spark, tile, monkeypatch):
     """A chain in which the smallest member of a group is linked with none of the others."""
+    monkeypatch.setattr(shingle_join, "TILE", tile)
     words = [f"w{i}" for i in range(100)]
     texts = [" ".join(words[:50] + [f"x{i}" for i in range(50)])]
     for k in range(8):
