@@ -24,9 +24,11 @@ MOST_COMMON = 100_000
 """Common shingles kept, at most. Which shingles count as common changes how long the join takes, not what it finds."""
 FLUSH = 1 << 20
 FILTER_BITS = 1 << 23
+KNOWN_PAIRS = 1 << 21
+"""Pairs a task remembers in order not to write them again; more are written again and dropped afterwards."""
 TILE = 4096
 """Members of a group whose sketches are compared at once; larger groups are cut into tiles, each pair of tiles apart."""
-PER_BUCKET = 4
+PER_BUCKET = 2
 """Shingles in a bucket of a sketch, on average at most."""
 
 
@@ -94,10 +96,21 @@ def set_key(values: np.ndarray) -> int:
 
 
 def sketch(values: np.ndarray) -> bytes:
-    """How many shingles of a set fall in each bucket of the hash range; a power of two of buckets."""
+    """How many shingles of a set fall in each bucket of the hash range, a byte each; a power of two of buckets.
+
+    Should a bucket hold more than a byte can say, the sketch is a single 0, which rules nothing out.
+    """
     bits = max(int(-(-len(values) // PER_BUCKET) - 1).bit_length(), 3)
     counts = np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(counts, 0xFFFF).astype("<u2").tobytes()
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b"\0"
+
+
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches with as many buckets as the shortest has; neighbouring buckets are added up."""
+    buckets = min(map(len, sketches))
+    if buckets == 1:
+        return np.zeros((len(sketches), 1), dtype=np.int32)
+    return np.stack([np.frombuffer(x, dtype=np.uint8).reshape(buckets, -1).sum(axis=1, dtype=np.int32) for x in sketches])
 
 
 def could_link(size_a: int, sketch_a: bytes, size_b: int, sketch_b: bytes) -> bool:
@@ -107,10 +120,7 @@ def could_link(size_a: int, sketch_a: bytes, size_b: int, sketch_b: bytes) -> bo
     """
     if min(size_a, size_b) * HIGH < max(size_a, size_b) * LOW:
         return False
-    a, b = (np.frombuffer(x, dtype="<u2").astype(np.int64) for x in (sketch_a, sketch_b))
-    if len(a) > len(b):
-        a, b = b, a
-    b = b.reshape(len(a), -1).sum(axis=1)
+    a, b = _folded([sketch_a, sketch_b])
     return int(np.abs(a - b).sum()) * (HIGH + LOW) <= (size_a + size_b) * (HIGH - LOW)
 
 
@@ -120,15 +130,30 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array([could_link(*x) for x in zip(*sides)], pa.bool_()))
 
 
+class _Fresh:
+    """Pairs not met before in this task. Groups that share members are dealt to one task, so most repeated pairs end here."""
+
+    def __init__(self) -> None:
+        self.known = np.zeros(0, dtype=np.uint64)
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = arrowtext.mix(arrowtext.mix(a.view(np.uint64)) + b.view(np.uint64))
+        key, at = np.unique(key, return_index=True)
+        new = ~np.isin(key, self.known, assume_unique=True)
+        if len(self.known) < KNOWN_PAIRS:
+            self.known = np.concatenate((self.known, key[new]))
+        return a[at[new]], b[at[new]]
+
+
 def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b) of a group's members from different components that may link, of a partition sorted by group."""
     names = ("grp", "tile_a", "tile_b")
 
+    fresh = _Fresh()
+
     def pairs(key: tuple, rows: pa.Table) -> pa.RecordBatch | None:
         node, root, size, tile = (rows.column(k).to_numpy() for k in ("node", "root", "size", "tile"))
-        sketches = [np.frombuffer(x, dtype="<u2").astype(np.int32) for x in rows.column("sketch").to_pylist()]
-        buckets = min(map(len, sketches))
-        table = np.stack([x.reshape(buckets, -1).sum(axis=1) for x in sketches])
+        table = _folded(rows.column("sketch").to_pylist())
         found_a, found_b = [], []
         for i in np.flatnonzero(tile == key[1]):
             # Within a tile each pair is met once, in order; between two tiles the second one holds the partners.
@@ -138,7 +163,8 @@ def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found_a.append(np.full(len(j), node[i]))
             found_b.append(node[j])
         a, b = np.concatenate(found_a), np.concatenate(found_b)
-        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"]) if len(a) else None
+        a, b = fresh.of(np.maximum(a, b), np.minimum(a, b))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"]) if len(a) else None
 
     held, held_key = [], None
     for batch in batches:
@@ -375,15 +401,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = stored(stars.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct(), "join-stars")
     links = _verified(stored(_unless_apart(stars, nodes), "join-possible"), hashed, sets)
     roots = components(links)
-    placed = groups.join(roots, "node", "left").select("grp", "node", F.coalesce("root", "node").alias("root"))
+    placed = groups.join(roots, "node", "left").select("grp", "leader", "node", F.coalesce("root", "node").alias("root"))
     placed = placed.distinct()
     mixed = placed.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
     mixed = stored(mixed.where("low <> high and n > 3").select("grp", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")), "join-mixed")
     if not mixed.isEmpty():
         rows = placed.join(mixed, "grp").join(nodes, "node").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        rows = rows.select("grp", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), "tile", "node", "root", "size", "sketch")
-        dealt = rows.repartition(parts, "grp", "tile_a", "tile_b").sortWithinPartitions("grp", "tile_a", "tile_b")
+        rows = rows.select("leader", "grp", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), "tile", "node", "root", "size", "sketch")
+        dealt = rows.repartition(parts, "leader", "tile_a", "tile_b").sortWithinPartitions("grp", "tile_a", "tile_b")
         crossing = dealt.mapInArrow(_crossing, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
         more = _verified(stored(crossing, "join-crossing"), hashed, sets)
         roots = components(links.union(more))
