@@ -19,13 +19,9 @@ GEAR_WINDOW = 16
 LONGEST = 256
 """A chunk without a cut is cut after so many bytes."""
 MIN_WORDS = 25
-"""Words in repeated chunks, one after another, that make a passage. A repeated passage also covers part of a chunk at each
-end, which is not counted, so this is lower than the passages that are meant, those of over 50 words."""
-
-HOT_SAMPLE = 32
-"""One in so many distinct texts is looked at for hot digests."""
-MOST_HOT = 100_000
-FLUSH = 1 << 20
+"""Words that a whole text has at least, to be reported where several documents hold it."""
+PASSAGE_WORDS = 50
+"""Whole words in a row that make a passage in texts that differ: one of over 50 words may have its first or last word joined to another."""
 
 _GEAR = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 
@@ -49,9 +45,7 @@ def gear_cuts(data: np.ndarray) -> np.ndarray:
 
 def chunk_ends(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Ends of the chunks of all texts of a buffer, row ends among them; no chunk is longer than LONGEST."""
-    cuts = [low + gear_cuts(data[max(low - GEAR_WINDOW, 0) : high]) - (low - max(low - GEAR_WINDOW, 0)) for low, high in _pieces(len(data))]
-    cuts = [c[c > low] for c, (low, _) in zip(cuts, _pieces(len(data)))]
-    ends = np.unique(np.concatenate([*cuts, offsets[1:]])) if len(data) else np.zeros(0, dtype=np.int64)
+    ends = np.unique(np.concatenate([_cuts(data), offsets[1:]])) if len(data) else np.zeros(0, dtype=np.int64)
     ends = ends[ends > 0]
     start = np.concatenate(([0], ends[:-1])) if len(ends) else ends
     extra = (ends - start - 1) // LONGEST
@@ -62,54 +56,120 @@ def chunk_ends(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return ends
 
 
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Cuts by content in a buffer of texts; those in the first GEAR_WINDOW bytes of a text depend on the text before it."""
+    found = [np.zeros(0, dtype=np.int64)]
+    for low, high in _pieces(len(data)):
+        at = max(low - GEAR_WINDOW, 0)
+        cuts = at + gear_cuts(data[at:high])
+        found.append(cuts[cuts > low])
+    return np.concatenate(found)
+
+
 def _pieces(size: int) -> list[tuple[int, int]]:
     return [(low, min(low + arrowtext.PIECE_BYTES, size)) for low in range(0, size, arrowtext.PIECE_BYTES)]
 
 
-def digests(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit digests of the chunks."""
+def digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit digests of spans of the buffer; starts and ends both ascend."""
     out = []
-    start = np.concatenate(([0], ends[:-1]))
     at = 0
-    while at < len(ends):
-        stop = max(at + 1, int(np.searchsorted(ends, start[at] + arrowtext.PIECE_BYTES, "right")))
-        low, high = start[at], ends[stop - 1]
+    while at < len(end):
+        stop = max(at + 1, int(np.searchsorted(end, start[at] + arrowtext.PIECE_BYTES, "right")))
+        low, high = start[at], end[stop - 1]
         up, down = arrowtext.POWERS.get(high - low + 1)
         sums = np.zeros(high - low + 1, dtype=np.uint64)
         np.cumsum(arrowtext.BYTE_KEYS[data[low:high]] * up[: high - low], out=sums[1:])
-        begin, finish = start[at:stop] - low, ends[at:stop] - low
+        begin, finish = start[at:stop] - low, end[at:stop] - low
         out.append(arrowtext.mix((sums[finish] - sums[begin]) * down[begin] + (finish - begin).astype(np.uint64)))
         at = stop
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-def _chunked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, start and end (bytes in the row), digest and words begun, of each chunk of a batch, and the data."""
-    data, offsets = arrowtext.text_bytes(batch.column("text"))
-    ends = chunk_ends(data, offsets)
-    start = np.concatenate(([0], ends[:-1])) if len(ends) else ends
-    row = np.searchsorted(offsets, start, "right") - 1
-    space = arrowtext.NOT_SPACE[data] == 0
-    begins = ~space
-    begins[1:] &= space[:-1]
-    begins[offsets[:-1][offsets[:-1] < len(data)]] = ~space[offsets[:-1][offsets[:-1] < len(data)]]
-    counted = np.concatenate(([0], np.cumsum(begins)))
-    return row, start - offsets[row], ends - offsets[row], digests(data, ends), counted[ends] - counted[start], data
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of all texts of a buffer."""
+    inside = arrowtext.NOT_SPACE[data] != 0
+    begins, finishes = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    finishes[:-1] &= ~inside[1:]
+    edges = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]
+    begins[edges] = inside[edges]
+    finishes[edges - 1] = inside[edges - 1]
+    return np.flatnonzero(begins), np.flatnonzero(finishes) + 1
+
+
+def _longest(rank: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The greatest of ``rank[low:high]`` for each pair; 0 where that is empty."""
+    out = np.zeros(len(low), dtype=np.uint64)
+    size = high - low
+    step = 1
+    while len(rank):
+        at = np.flatnonzero((size >= step) & (size < 2 * step))
+        out[at] = np.maximum(rank[low[at]], rank[high[at] - step])
+        if not (size >= 2 * step).any():
+            break
+        rank = np.maximum(rank[:-step], rank[step:])  # now over twice as many from each place
+        step *= 2
+    return out
+
+
+def windows(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, ...]:
+    """All runs of ``words`` words: row, number of the first word, start and end (bytes in the row), digest and anchor.
+
+    The anchor is the longest chunk that lies in the run, by its length and digest; a run without a whole chunk is its own anchor. It depends on the
+    bytes of the run only, so equal runs have equal anchors, and runs that begin one after another mostly have the same.
+    """
+    first, last = word_spans(data, offsets)
+    row = np.searchsorted(offsets, first, "right") - 1
+    at = np.flatnonzero(row[: max(len(row) - words + 1, 0)] == row[words - 1 :])
+    start, end = first[at], last[at + words - 1]
+    cuts = _cuts(data)
+    length = np.minimum(np.diff(cuts), (1 << 16) - 1).astype(np.uint64)
+    rank = (length << np.uint64(48)) | (digests(data, cuts[:-1], cuts[1:]) >> np.uint64(16))
+    low = np.searchsorted(cuts, start + GEAR_WINDOW)  # a cut depends on the bytes before it, which must be the run's own
+    high = np.maximum(np.searchsorted(cuts, end, "right") - 1, low)
+    digest = digests(data, start, end)
+    anchor = arrowtext.mix(_longest(rank, low, high))
+    anchor = np.where(high > low, anchor, digest)
+    row = row[at]
+    number = at - np.searchsorted(first, offsets)[row]
+    return row, number, start - offsets[row], end - offsets[row], digest.view(np.int64), anchor.view(np.int64)
+
+
+def _anchors(words: int):
+    """The anchors of each distinct text of a partition, each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in arrowtext.slices(batches, "text"):
+            keys = batch.column("text_key").to_numpy()
+            fresh = np.zeros(batch.num_rows, dtype=bool)
+            for k, key in enumerate(keys.tolist()):
+                if key not in seen:
+                    seen.add(key)
+                    fresh[k] = True
+            row, *_, anchor = windows(*arrowtext.text_bytes(batch.filter(pa.array(fresh)).column("text")), words)
+            if len(row):
+                new = np.append(True, (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1]))
+                row, anchor = np.unique(np.stack((row[new], anchor[new])), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[fresh][row]), pa.array(anchor)], names=["text_key", "anchor"])
+
+    return run
 
 
-def _chunk_rows(hot, wanted: bool):
-    """Rows (digest, text_key, start, end, words) of chunks whose digest is among the hot ones; of all chunks, digests only, if not ``wanted``."""
+def _windows(words: int):
+    """The runs of words whose anchors several texts hold; ``anchors`` has these for each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrowtext.slices(batches, "text"):
-            row, start, end, digest, words, _ = _chunked(batch)
-            if not wanted:
-                pair = np.unique(np.stack((row, digest.view(np.int64))), axis=1)[1] if len(row) else digest.view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(pair)], names=["digest"])
-                continue
-            at = np.flatnonzero(_among(digest, hot.value))
+            known = np.unique(batch.column("anchors").flatten().to_numpy())  # an anchor that is another text's too is in both lists
+            row, number, start, end, digest, anchor = windows(*arrowtext.text_bytes(batch.column("text")), words)
+            at = np.flatnonzero(_among(anchor, known))
             key = batch.column("text_key").to_numpy()[row[at]]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (digest[at].view(np.int64), key, start[at], end[at], words[at])], names=["digest", "text_key", "start", "end", "words"])
+            for k in range(0, len(at), 100_000):
+                part = at[k : k + 100_000]
+                arrays = [pa.array(x) for x in (digest[part], key[k : k + 100_000], number[part], start[part], end[part])]
+                yield pa.RecordBatch.from_arrays(arrays, names=["digest", "text_key", "number", "start", "end"])
 
     return run
 
@@ -120,117 +180,44 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def hot_digests(docs: DataFrame) -> np.ndarray:
-    """Sorted digests of chunks in at least four of the sampled distinct texts, the most frequent MOST_HOT.
-
-    They are known to repeat, so they need not meet in one task. Which digests are hot changes how the work is dealt, not what is found.
-    """
-    sample = docs.where(F.pmod("text_key", F.lit(HOT_SAMPLE)) == 0).select("text").distinct()
-    counts = sample.mapInArrow(_chunk_rows(None, False), "digest long").groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n >= 4")
-    top = counts.orderBy(F.desc("n"), "digest").limit(MOST_HOT).select("digest")
-    return np.sort(np.array([r[0] for r in top.collect()], dtype=np.int64).view(np.uint64))
-
-
-def _packed(hot, parts: int):
-    """Chunks of the distinct texts of a partition, packed by the part of the shuffle their digests go to; hot ones are left out."""
-    columns = ("digest", "key", "start", "end", "words")
-
-    def flush(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        digest, key, start, end, words = (np.concatenate(x) for x in zip(*held))
-        to = (digest % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(to, kind="stable")
-        to = to[order]
-        first = np.flatnonzero(np.diff(to, prepend=-1))
-        arrays = [x[order] for x in (digest, key, start.astype(np.int32), (end - start).astype(np.int16), words.astype(np.int16))]
-        bounds = [*first.tolist(), len(to)]
-        cells = [pa.array([x[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()) for x in arrays]
-        return pa.RecordBatch.from_arrays([pa.array(to[first].astype(np.int32)), *cells], names=["part", *columns])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        held, size = [], 0
-        for batch in arrowtext.slices(batches, "text"):
-            keys = batch.column("text_key").to_numpy()
-            fresh = np.zeros(batch.num_rows, dtype=bool)
-            for k, key in enumerate(keys.tolist()):
-                if key not in seen:
-                    seen.add(key)
-                    fresh[k] = True
-            batch = batch.filter(pa.array(fresh))
-            row, start, end, digest, words, _ = _chunked(batch)
-            cold = np.flatnonzero(~_among(digest, hot.value))
-            held.append((digest[cold], keys[fresh][row[cold]], start[cold], end[cold], words[cold]))
-            size += len(cold)
-            if size >= FLUSH:
-                yield flush(held)
-                held, size = [], 0
-        if size:
-            yield flush(held)
-
-    return run
+def _shared(rows: DataFrame, name: str) -> DataFrame:
+    """Those of ``rows`` whose value of ``name`` several texts hold, with the smallest key of these as ``keep_key``. Counts are combined before the shuffle."""
+    held = rows.groupBy(name).agg(F.min("text_key").alias("keep_key"), F.max("text_key").alias("last")).where("keep_key < last").drop("last")
+    return rows.join(held, name)
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks whose digest several distinct texts hold, from the packed rows of one part; ``keep_key`` is the smallest of those texts' keys."""
-    kinds = {"digest": np.uint64, "key": np.int64, "start": np.int32, "end": np.int16, "words": np.int16}
-    found: dict[str, list[np.ndarray]] = {k: [] for k in kinds}
-    for batch in batches:
-        for name, kind in kinds.items():
-            found[name] += [np.frombuffer(x.as_buffer(), dtype=kind) for x in batch.column(name)]
-    if not found["digest"]:
-        return
-    digest, key = np.concatenate(found["digest"]), np.concatenate(found["key"])
-    order = np.argsort(digest, kind="stable")
-    digest, key = digest[order], key[order]
-    first = np.flatnonzero(np.append(True, digest[1:] != digest[:-1]))
-    low, high = np.minimum.reduceat(key, first), np.maximum.reduceat(key, first)
-    size = np.diff(np.append(first, len(digest)))
-    many = np.repeat(low < high, size)
-    at = order[many]
-    start, length, words = (np.concatenate(found[n])[at].astype(np.int64) for n in ("start", "end", "words"))
-    out = [key[many], start, start + length, words, np.repeat(low, size)[many]]
-    for k in range(0, len(at), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in out], names=["text_key", "start", "end", "words", "keep_key"])
-
-
-def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, passage_words: int = PASSAGE_WORDS) -> DataFrame:
     """Passages that several documents of ``docs(doc_id, text)`` hold: one row for each document and passage.
 
-    Columns: doc_id, start and end (bytes of the text in UTF-8), n_words (words that begin in it), keep_doc_id, kept. A passage is a run of adjacent chunks whose digests
-    other texts hold too, with ``min_words`` words or more. Chunk borders depend on the GEAR_WINDOW bytes before them only, so a passage is cut alike wherever it
-    stands. A text that several documents have in full is one passage. A passage stays in one document (``kept``): where all its chunks have their smallest text
-    key, a hash, in that text; of equal texts, with the smallest id; ``keep_doc_id`` is the id of the document that keeps the first of its chunks.
+    Columns: doc_id, start and end (bytes of the text in UTF-8), n_words, keep_doc_id, kept. Of all texts that hold the same ``passage_words`` words in a row,
+    with the same bytes between them, the one with the smallest text key, a hash, keeps them. A passage is a run of words, as long as can be, whose every
+    ``passage_words`` words are kept by the same text: ``keep_doc_id`` has all of them, and ``kept`` says that it is this document. So no passage loses its last
+    copy, and whether two documents share one doesn't depend on others. Passages of different keepers that follow one another overlap.
 
-    Documents without repeated passages have no row. Null and empty texts have no chunks. Texts are told apart by 64-bit hashes, chunks by 64-bit digests. Null ids
+    A text of ``min_words`` words or more that several documents have in full has one more row for each of them, over the whole text; the smallest id keeps it,
+    and has the rows of the text's passages. Texts are compared by runs with equal anchors (``windows``), which finds all equal runs.
+
+    Documents without repeated passages have no row. Null and empty texts have none. Texts and runs of words are told apart by 64-bit hashes. Null ids
     are passed over as smallest ids; repeated rows are equal texts; long texts are cut whole; other columns are ignored.
     """
-    spark = docs.sparkSession
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).where("text <> ''")
     texts = stored(keyed.groupBy("text_key").agg(F.min("doc_id").alias("text_doc"), F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).alias("size")), "chunk-texts")
-    hot = spark.sparkContext.broadcast(hot_digests(keyed))
-    rows = "digest long, text_key long, start long, end long, words long"
-    common = stored(keyed.select("text_key", "text").mapInArrow(_chunk_rows(hot, True), rows).dropDuplicates(["text_key", "start"]), "chunk-hot")
-    smallest = common.groupBy("digest").agg(F.min("text_key").alias("keep_key"))  # a row a hot digest, MOST_HOT at most
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = keyed.select("text_key", "text").mapInArrow(_packed(hot, parts), "part int, digest binary, key binary, start binary, end binary, words binary")
-    cold = packed.repartition(parts, "part").mapInArrow(_repeated, "text_key long, start long, end long, words long, keep_key long")
-    chunks = common.join(F.broadcast(smallest), "digest").select("text_key", "start", "end", "words", "keep_key").union(cold)
-
-    by_text = Window.partitionBy("text_key").orderBy("start", "end")
-    adjacent = F.coalesce(F.col("start") <= F.lag("end").over(by_text), F.lit(False))
-    runs = chunks.dropDuplicates(["text_key", "start"]).withColumn("begins", F.when(adjacent, 0).otherwise(1))
-    runs = runs.withColumn("run", F.sum("begins").over(by_text)).groupBy("text_key", "run").agg(
-        F.min("start").alias("start"),
-        F.max("end").alias("end"),
-        F.sum("words").alias("n_words"),
-        F.min_by("keep_key", "start").alias("keep_key"),
-        F.min((F.col("keep_key") == F.col("text_key")).cast("int")).alias("own"),
-    )
-    runs = stored(runs.where(F.col("n_words") >= min_words).drop("run"), "chunk-runs")
+    long = keyed.select("text_key", "text").where(F.octet_length("text") >= 2 * passage_words - 1)
+    anchors = stored(long.mapInArrow(_anchors(passage_words), "text_key long, anchor long"), "chunk-anchors")
+    wanted = _shared(anchors, "anchor").groupBy("text_key").agg(F.collect_set("anchor").alias("anchors"))
+    rows = "digest long, text_key long, number long, start long, end long"
+    found = long.dropDuplicates(["text_key"]).join(wanted, "text_key").mapInArrow(_windows(passage_words), rows)
+    shared = _shared(stored(found, "chunk-windows"), "digest")
+
+    by_text = Window.partitionBy("text_key").orderBy("number")
+    follows = (F.col("number") == F.lag("number").over(by_text) + 1) & (F.col("keep_key") == F.lag("keep_key").over(by_text))
+    runs = shared.withColumn("begins", F.when(follows, 0).otherwise(1)).withColumn("run", F.sum("begins").over(by_text))
+    runs = runs.groupBy("text_key", "run", "keep_key").agg(F.min("start").alias("start"), F.max("end").alias("end"), (F.count(F.lit(1)) + passage_words - 1).alias("n_words"))
+    runs = stored(runs.drop("run"), "chunk-runs")
 
     single = runs.join(texts.where("n = 1").select("text_key", F.col("text_doc").alias("doc_id")), "text_key")
     keepers = texts.select(F.col("text_key").alias("keep_key"), F.col("text_doc").alias("keep_doc_id"))
-    parts_of = single.join(keepers, "keep_key").select("doc_id", "start", "end", "n_words", "keep_doc_id", (F.col("own") == 1).alias("kept"))
+    parts_of = single.join(keepers, "keep_key").select("doc_id", "start", "end", "n_words", "keep_doc_id", (F.col("text_key") == F.col("keep_key")).alias("kept"))
     copies = keyed.select("doc_id", "text_key", F.size(F.split(F.trim("text"), r"[\x20\x09-\x0D]+")).cast("long").alias("n_words")).where(F.col("n_words") >= min_words)
     copied = copies.join(texts.where("n > 1"), "text_key").select(
         "doc_id", F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("end"), "n_words", F.col("text_doc").alias("keep_doc_id"), F.expr("doc_id <=> text_doc").alias("kept")

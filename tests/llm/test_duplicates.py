@@ -257,6 +257,27 @@ def test_passages_of_planted_documents(spark):
     assert chunks.repeated_passages(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def common_prose(draw, n):
+    """Words of a small vocabulary, so that short chunks repeat by chance everywhere."""
+    return [draw.choice(("of", "the", "a", "in", "it", "was", "to", "on")) for _ in range(n)]
+
+
+def spans_of(rows, got):
+    texts = dict(rows)
+    return [(r, texts[r.doc_id].encode()[r.start : r.end].decode()) for r in got]
+
+
+def test_every_passage_is_kept_once(spark):
+    draw = random.Random(5)
+    passages = [" ".join(common_prose(draw, 60)) for _ in range(20)]
+    rows = [(i, " ".join([*common_prose(draw, 70), f"x{i}", passages[i % 20], f"y{i}", *common_prose(draw, 70)])) for i in range(60)]
+    got = spans_of(rows, chunks.repeated_passages(docs_of(spark, rows)).collect())
+    for k, passage in enumerate(passages):
+        here = [r for r, text in got if text == passage]
+        assert sorted(r.doc_id for r in here) == [k, k + 20, k + 40]
+        assert [r.doc_id for r in here if r.kept] == [here[0].keep_doc_id] and len({r.keep_doc_id for r in here}) == 1
+
+
 def vectors_by_force(rows, cosine=0.98):
     good = []
     for k, (i, v, label) in enumerate(rows):
