@@ -278,6 +278,22 @@ def test_every_passage_is_kept_once(spark):
         assert [r.doc_id for r in here if r.kept] == [here[0].keep_doc_id] and len({r.keep_doc_id for r in here}) == 1
 
 
+def test_passages_of_copies(spark):
+    """The document that stays of a group of copies is judged like any other."""
+    draw = random.Random(8)
+    rows = []
+    for k in range(12):
+        passage = " ".join(prose(draw, 60, 5000))
+        copy = " ".join([*prose(draw, 40, 5000), f"x{k}", passage, f"y{k}", *prose(draw, 40, 5000)])
+        rows += [(10 * k, copy), (10 * k + 1, copy), (10 * k + 2, " ".join([*prose(draw, 40, 5000), f"u{k}", passage, f"v{k}", *prose(draw, 40, 5000)]))]
+    whole = {i: len(t) for i, t in rows}
+    got = chunks.repeated_passages(docs_of(spark, rows)).collect()
+    for k in range(12):
+        parts = [r for r in got if r.doc_id // 10 == k and r.end - r.start < whole[r.doc_id]]
+        assert sorted(r.doc_id for r in parts) == [10 * k, 10 * k + 2] and sum(r.kept for r in parts) == 1
+        assert sorted((r.doc_id, r.kept) for r in got if r.doc_id // 10 == k and r not in parts) == [(10 * k, True), (10 * k + 1, False)]
+
+
 def vectors_by_force(rows, cosine=0.98):
     good = []
     for k, (i, v, label) in enumerate(rows):
