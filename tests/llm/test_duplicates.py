@@ -278,6 +278,15 @@ def test_every_passage_is_kept_once(spark):
         assert [r.doc_id for r in here if r.kept] == [here[0].keep_doc_id] and len({r.keep_doc_id for r in here}) == 1
 
 
+def test_passages_are_whole(spark):
+    """Passages of 51 words, short ones among them, are found from their first byte to their last."""
+    draw = random.Random(6)
+    passages = [" ".join(draw.choice("abcdefgh") * draw.randint(1, 3) + draw.choice("xyz") for _ in range(51)) for _ in range(150)]
+    rows = [(i, " ".join([f"p{i}", *prose(draw, 30, 5000), f"x{i}", passages[i % 150], f"y{i}", *prose(draw, 30, 5000)])) for i in range(300)]
+    got = spans_of(rows, chunks.repeated_passages(docs_of(spark, rows)).collect())
+    assert sorted((r.doc_id, r.n_words, text) for r, text in got) == [(i, 51, passages[i % 150]) for i in range(300)]
+
+
 def test_passages_of_copies(spark):
     """The document that stays of a group of copies is judged like any other."""
     draw = random.Random(8)
