@@ -23,6 +23,11 @@ MIN_WORDS = 25
 PASSAGE_WORDS = 50
 """Whole words in a row that make a passage in texts that differ: one of over 50 words may have its first or last word joined to another."""
 
+HOT_ROWS = 1000
+"""Rows of one value that may meet in a task in any case."""
+MOST_HOT = 20_000
+"""Values that are broadcast at most, those of more than their share of all rows."""
+
 _GEAR = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 
 
@@ -181,9 +186,16 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def _shared(rows: DataFrame, name: str) -> DataFrame:
-    """Those of ``rows`` whose value of ``name`` several texts hold, with the smallest key of these as ``keep_key``. Counts are combined before the shuffle."""
-    held = rows.groupBy(name).agg(F.min("text_key").alias("keep_key"), F.max("text_key").alias("last")).where("keep_key < last").drop("last")
-    return rows.join(held, name)
+    """Those of ``rows`` whose value of ``name`` several texts hold, with the smallest key of these as ``keep_key``.
+
+    Rows are combined before they are shuffled to be counted. Values of very many rows then take their key by a broadcast, so that these rows don't meet in one task.
+    """
+    counts = rows.groupBy(name).agg(F.min("text_key").alias("keep_key"), F.max("text_key").alias("last"), F.count(F.lit(1)).alias("n"))
+    held = stored(counts.where("keep_key < last").drop("last"), f"chunk-{name}")
+    total = held.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") > max(HOT_ROWS, total // MOST_HOT)
+    often = F.broadcast(held.where(hot).drop("n"))
+    return rows.join(often, name).union(rows.join(often, name, "left_anti").join(held.where(~hot).drop("n"), name))
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, passage_words: int = PASSAGE_WORDS) -> DataFrame:

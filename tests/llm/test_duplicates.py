@@ -287,6 +287,24 @@ def test_passages_are_whole(spark):
     assert sorted((r.doc_id, r.n_words, text) for r, text in got) == [(i, 51, passages[i % 150]) for i in range(300)]
 
 
+def test_passages_need_one_partner(spark):
+    """Pieces that each stand in some other document make no passage if no document has them in a row."""
+    draw = random.Random(7)
+    pieces = [" ".join(prose(draw, 20, 5000)) for _ in range(30)]
+    rows = [(i, " ".join(draw.sample(pieces, 12))) for i in range(25)]
+    assert chunks.repeated_passages(docs_of(spark, rows)).count() == 0
+
+
+def test_passages_of_very_many_documents(spark, monkeypatch):
+    draw = random.Random(9)
+    passage = " ".join(prose(draw, 60, 5000))
+    rows = [(i, " ".join([*prose(draw, 60, 5000), f"x{i}", *([passage] if i < 30 else []), f"y{i}"])) for i in range(40)]
+    docs = docs_of(spark, rows)
+    at_once = sorted(chunks.repeated_passages(docs).collect())
+    monkeypatch.setattr(chunks, "HOT_ROWS", 20)
+    assert len(at_once) == 30 and sorted(chunks.repeated_passages(docs).collect()) == at_once
+
+
 def test_passages_of_copies(spark):
     """The document that stays of a group of copies is judged like any other."""
     draw = random.Random(8)
