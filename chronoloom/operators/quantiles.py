@@ -18,6 +18,8 @@ PER_OCTAVE = 256
 CUTS = 65536
 # Larger magnitudes share the outermost bucket.
 LARGEST = 1e300
+# Rows of one value that may meet in one task.
+FREQUENT = 100_000
 
 
 def _coarse(v: Column) -> Column:
@@ -89,3 +91,35 @@ def quantiles(
         part = (F.col("n") - 1) * F.lit(p) - ranks[2 * i]
         out.append(F.when(high == low, low).otherwise(low + (high - low) * part).alias(name))
     return found.select(*[F.col("k")[k].alias(k) for k in keys], *out)
+
+
+def ranks(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """``df`` with each row's rank in its group by ``value``: one more than the group's rows of smaller values, as SQL's ``rank()``.
+
+    NaN is above all numbers, null above NaN. Values are counted and the counts summed per bucket and finer bucket, as for
+    ``quantiles``; running sums over both tell where a value begins. Rows take their value's rank by a join, rows of very
+    frequent values by a broadcast, so that they don't meet in one task.
+    """
+    if not keys:
+        raise ValueError("ranks need at least one key column")
+    v = F.col(value).cast("double") + F.lit(0.0)
+    rows = df.withColumn("__kv", F.struct(F.struct(*keys).alias("k"), v.alias("v")))
+    values = rows.groupBy("__kv").agg(F.count(F.lit(1)).alias("m")).select("__kv.k", "__kv.v", "m")
+    odd = F.when(F.col("v").isNull(), F.lit((1 << 62) + 1)).when(F.isnan("v"), F.lit(1 << 62))
+    values = values.withColumn("b", F.coalesce(odd, _coarse(F.col("v"))))
+
+    def before(within: Sequence[str], by: str, count: str) -> Column:
+        return F.coalesce(F.sum(count).over(W.partitionBy(*within).orderBy(by).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+
+    buckets = values.groupBy("k", "b").agg(F.sum("m").alias("c"), F.min("v").alias("low"), F.max("v").alias("high"))
+    buckets = buckets.select("k", "b", "low", "high", before(["k"], "b", "c").alias("base"))
+    cut = F.coalesce(_fine(F.col("v"), F.col("low"), F.col("high")), F.lit(0))
+    values = values.join(buckets, ["k", "b"]).withColumn("f", cut).drop("low", "high")
+    cuts = values.groupBy("k", "b", "f").agg(F.sum("m").alias("c"))
+    cuts = cuts.select("k", "b", "f", before(["k", "b"], "f", "c").alias("start"))
+    rank = F.col("base") + F.col("start") + before(["k", "b", "f"], "v", "m") + 1
+    ranked = values.join(cuts, ["k", "b", "f"]).select(F.struct("k", "v").alias("__kv"), "m", rank.alias(name))
+
+    often = F.broadcast(ranked.where(F.col("m") > FREQUENT).drop("m"))
+    rare = ranked.where(F.col("m") <= FREQUENT).drop("m")
+    return rows.join(often, "__kv").unionByName(rows.join(often, "__kv", "left_anti").join(rare, "__kv")).drop("__kv")

@@ -14,6 +14,7 @@ from chronoloom.functions import timefn
 from chronoloom.operators import analytics, order, profile, select
 from chronoloom.operators.fill import difference, fill_limited, fill_previous
 from chronoloom.operators.fuse import fuse, union_buckets
+from chronoloom.operators.quantiles import ranks
 from chronoloom.operators.reshape import pivot_last, plot_series, wide_to_points
 from chronoloom.operators.sync import complete_grid, missing_report, on_grid, synchronise
 from chronoloom.operators.window_agg import aggregate_window
@@ -27,6 +28,7 @@ from chronoloom.plans.stages import (
     Synchronise,
     predict_groups,
     predict_rows_per_bucket,
+    slot_of,
     sufficient_statistics,
 )
 from chronoloom.schema import BUCKET, FIELD, MEASUREMENT, TIME, VALUE, parse_instant
@@ -666,14 +668,13 @@ def pandas_model_per_bucket(spark, sf_dir):
 
 @query
 def pandas_model_whole_groups(spark, sf_dir):
-    """Ranks over all rows of each bucket, which need the whole group at once."""
+    """Ranks over all rows of each bucket, counted by Spark; pandas sees a series and day at a time, which bounds a group."""
 
     def ranked(key, rows):
-        out = rows[[BUCKET, FIELD, TIME, "equipment_number"]]
-        return out.assign(rank=rows[VALUE].rank(method="min").astype("int64"))
+        return rows[[BUCKET, FIELD, TIME, "equipment_number"]].assign(rank=rows["rank"].astype("int64"))
 
     schema = "bucket string, _field string, _time timestamp_ntz, equipment_number string, rank long"
-    return predict_groups(points(spark, sf_dir), ranked, schema, [BUCKET])
+    return predict_groups(ranks(points(spark, sf_dir), [BUCKET], VALUE, "rank"), ranked, schema, [*SERIES, slot_of()])
 
 
 @query

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 
 from chronoloom.operators.profile import describe, profile_columns, result_views
-from chronoloom.operators.quantiles import quantiles
+from chronoloom.operators import quantiles as by_counting
+from chronoloom.operators.quantiles import quantiles, ranks
 
 PROBS = {"q0": 0.0, "q10": 0.1, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q99": 0.99, "q100": 1.0}
 
@@ -131,3 +132,34 @@ def test_result_views(spark):
     assert [tuple(r) for r in views["missing"].collect()] == [(1, None)]
     assert dict(map(tuple, views["dtypes"].collect())) == {"i": "bigint", "v": "double", "s": "string"}
     assert views["description"].count() == 2 and views["table"] is df
+
+
+@pytest.mark.parametrize("frequent", [100_000, 3])
+def test_ranks_by_counting(spark, monkeypatch, frequent):
+    monkeypatch.setattr(by_counting, "FREQUENT", frequent)
+    rng = np.random.default_rng(7)
+    groups = {
+        "ties": list(rng.integers(0, 9, 200).astype(float)),
+        "close": list(1e6 + rng.random(300) * 1e-6),
+        "odd": [0.0, -0.0, float("inf"), float("-inf"), float("nan"), float("nan"), None, None, -3.5, 1e308, -1e308],
+        None: list(rng.normal(0, 1, 50)),
+    }
+    rows = [(k, i, None if v is None else float(v)) for k, values in groups.items() for i, v in enumerate(values)]
+    got = {(r.k, r.i): r["rank"] for r in ranks(spark.createDataFrame(rows, "k string, i long, v double"), ["k"], "v", "rank").collect()}
+
+    def place(v):
+        return (2, 0.0) if v is None else (1, 0.0) if v != v else (0, v)
+
+    wanted = {(k, i): 1 + sum(place(w) < place(v) for w in values) for k, values in groups.items() for i, v in enumerate(values)}
+    assert got == wanted
+
+
+def test_ranks_of_a_bucket_bound_the_groups_of_pandas(spark, sf_dir, monkeypatch):
+    from chronoloom.workload import queries
+
+    given = []
+    monkeypatch.setattr(queries, "predict_groups", lambda df, predict, schema, keys: given.append((df, keys)) or df)
+    queries.QUERIES["pandas_model_whole_groups"](spark, sf_dir)
+    (df, keys), = given
+    names = df.groupBy(*keys).count().columns[:-1]
+    assert set(queries.SERIES) <= set(names) and "slot" in names
