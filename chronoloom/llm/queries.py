@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm import bpe, chunks, embedding_join, exact_dedup, licenses, mixing, quality, shingle_join, urls, wrappers
+from chronoloom.llm import bpe, chunks, embedding_join, exact_dedup, licenses, mixing, periodic, quality, shingle_join, urls, wrappers
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -77,6 +77,42 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def with_loops(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and text of ``docs``, where every tenth document by the checksum of its id repeats some of its own words up to its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("w"))
+    n, g = F.size("w").cast("bigint"), F.floor(F.col("h") / 10)
+    at = words.select("doc_id", "text", "w", n.alias("n"), (g % F.greatest(n, F.lit(1))).alias("a"), g.alias("g"))
+    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    at = at.select("doc_id", "text", "w", F.col("n").cast("int").alias("n"), F.col("a").cast("int").alias("a"), period.alias("p"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    loop = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), times))
+    looped = F.array_join(F.slice(F.concat(F.slice("w", F.lit(1), F.col("a")), loop), F.lit(1), F.col("n")), " ")
+    return at.select("doc_id", F.when(F.col("n") > 0, looped).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_loops(_table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.select("doc_id", "n_words", "collapsed", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), F.array_join(lines, "").alias("lines"))
+    start, length, period = -F.col("best.start"), F.col("best.length"), -F.col("best.period")
+    return found.select(
+        "doc_id",
+        "n_runs",
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_exact_dedup": op2_exact_dedup,
@@ -88,6 +124,7 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_url_filter": op9_url_filter,
     "op10_repeated_passages": op10_repeated_passages,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 _REACH = """reach AS (
