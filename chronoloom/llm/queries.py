@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm import bpe, chunks, embedding_join, exact_dedup, licenses, mixing, periodic, quality, shingle_join, urls, wrappers
+from chronoloom.llm import bpe, chunks, embedding_join, exact_dedup, lexical, licenses, mixing, periodic, pivots, quality, shingle_join, urls, wrappers
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -113,6 +113,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.nearest_by_product(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_exact_dedup": op2_exact_dedup,
@@ -125,6 +133,8 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_repeated_passages": op10_repeated_passages,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_exact_top_k": op13_exact_top_k,
 }
 
 _REACH = """reach AS (
@@ -132,6 +142,7 @@ _REACH = """reach AS (
   UNION
   SELECT reach.id, edges.b FROM reach JOIN edges ON reach.seen = edges.a
 )"""
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 # Queries without an entry have no SQL form: a trained network, licence rules, byte pairs, entropy balancing, wrappers and chunks by content.
@@ -162,6 +173,35 @@ edges AS (
   JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * p.i >= 80 * (na.n_shingles + nb.n_shingles - p.i)
 ), {_REACH.format(id="doc_id", table="documents")}, c AS (SELECT id AS doc_id, min(seen) AS component_id FROM reach GROUP BY id)
 SELECT c.doc_id, coalesce(n.n_shingles, 0) AS n_shingles, c.component_id FROM c LEFT JOIN n USING (doc_id)""",
+    "op12_lexical_search": f"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{_TERM}')) AS term FROM documents
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+size AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM size),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total
+), q AS (
+  SELECT item_id, term, count(*) AS r FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{_TERM}')) AS term FROM benchmark)
+  GROUP BY ALL
+), scores AS (
+  SELECT item_id, doc_id, sum(r * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN size USING (doc_id), total GROUP BY ALL
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20""",
+    "op13_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     # The pages of the tables declare no canonical links or redirects, so their rules alone decide; aliases are tested on a fixture.
     "op9_url_filter": f"""
 WITH u AS (

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from chronoloom.session import scratch_path
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
-    """``frame`` as a table in the shared folder; a lost executor costs no more than the job that reads it."""
+def stored(frame: DataFrame, label: str, **options: str) -> DataFrame:
+    """``frame`` as a table in the shared folder, by the writer's ``options``; a lost executor costs no more than the job that reads it."""
     path = scratch_path(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return frame.sparkSession.read.parquet(path)
