@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -34,6 +35,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package also where a session was started from another folder."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [path for path in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chronoloom.functions.timefn import snap
 from chronoloom.operators.window_agg import AGGREGATES
 from chronoloom.schema import FIELD, SYNC_KEYS, TIME, VALUE, duration_seconds
 
@@ -46,30 +47,42 @@ def stream_grid(
 ) -> DataFrame:
     """The synchronisation grid of a stream, equal to the batch grid on closed grid steps.
 
-    The same two aggregations run one after the other: per instant, then per grid step. Ceiling to
-    the minute and rounding to a step of an odd number of minutes put into grid time ``g`` the
-    instants after ``g - (step + 1 min) / 2`` up to and including ``g + (step - 1 min) / 2``. A
-    window starting one microsecond after the lower bound holds exactly these.
+    The same two aggregations run one after the other: per instant, then per grid step. Steps of an odd number of
+    minutes are windows, of other widths see :func:`_instants_of_any_step`.
     """
     minutes, rest = divmod(duration_seconds(step), 60)
-    if rest or minutes % 2 == 0:
-        raise ValueError("a streamed grid step must be an odd number of minutes")
-    before = (minutes + 1) // 2
     value = F.col(VALUE).cast("double")
     narrow_points = points.select(TIME, *keys, FIELD, value.alias(VALUE)).dropna()
-    timed = _event_time(narrow_points.where(~F.isnan(VALUE) & F.col(FIELD).isin(list(fields))), delay)
-    instants = timed.groupBy(TIME, *keys).agg(
-        *[F.avg(F.when(F.col(FIELD) == f, F.col(VALUE))).alias(f) for f in fields]
-    )
+    wanted = narrow_points.where(~F.isnan(VALUE) & F.col(FIELD).isin(list(fields)))
+    means = [F.avg(F.when(F.col(FIELD) == f, F.col(VALUE))).alias(f) for f in fields]
+    again = [F.avg(f).alias(f) for f in fields]
+    if rest or minutes % 2 == 0:
+        instants = _instants_of_any_step(wanted, step, delay).groupBy("grid", TIME, *keys).agg(*means)
+        steps = instants.groupBy("grid", *keys).agg(*again)
+        return steps.select(F.unix_seconds("grid").alias(TIME), *keys, *fields)
+    # Ceiling to the minute and rounding to a step of an odd number of minutes put into grid time ``g`` the instants after
+    # ``g - (step + 1 min) / 2`` up to and including ``g + (step - 1 min) / 2``. A window starting one microsecond
+    # after the lower bound holds exactly these.
+    before = (minutes + 1) // 2
+    instants = _event_time(wanted, delay).groupBy(TIME, *keys).agg(*means)
     offset = f"{minutes - before} minutes 1 microsecond"
     width = f"{minutes} minutes"
-    steps = instants.groupBy(F.window(TIME, width, width, offset).alias("w"), *keys).agg(
-        *[F.avg(f).alias(f) for f in fields]
-    )
+    steps = instants.groupBy(F.window(TIME, width, width, offset).alias("w"), *keys).agg(*again)
     grid_time = F.expr("(unix_micros(w.start) - 1) div 1000000") + F.lit(before * 60)
     return steps.select(grid_time.alias(TIME), *keys, *fields)
 
 
+def _instants_of_any_step(points: DataFrame, step: str, delay: str) -> DataFrame:
+    """Points with ``grid``, the instant of their grid step, which carries the watermark.
+
+    Where an even step or one of seconds leaves ties, a tie belongs to the even multiple, so steps are not
+    windows of equal width. The watermark therefore follows the grid time itself: a step is closed once a point
+    belongs to a step more than ``delay`` after it.
+    """
+    at = F.timestamp_seconds(snap(F.col(TIME), step))
+    return points.withColumn("grid", at).withWatermark("grid", f"{duration_seconds(delay)} seconds")
+
+
 def run_available(stream: DataFrame, path: str) -> None:
     """Process everything that has arrived, append the output to a table, and stop.
 

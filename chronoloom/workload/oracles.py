@@ -526,6 +526,19 @@ grid AS (SELECT * FROM steps WHERE make_timestamp((_time + 120) * 1000000) < {CL
 {fill_ctes(FIELDS, SYNC)}
 SELECT _time, {', '.join(SYNC)}, {shown} FROM filled WHERE {whole}"""
     sql["stream_window_max_batches"] = sql["stream_window_max"]
+    sql["stream_fill_batches"] = sql["stream_sync_filled"]
+    two = ["click", "view"]
+    some = grid_ctes(two, SYNC).replace("\ngrid AS (", "\nsteps AS (")
+    sql["stream_fill_series"] = f"""WITH {points_cte()},
+{some},
+grid AS (SELECT * FROM steps WHERE make_timestamp((_time + 120) * 1000000) <
+  (SELECT max(_time) - INTERVAL 10 MINUTE FROM points WHERE _field IN ('click', 'view'))),
+{fill_ctes(two, SYNC, "series", 1)}
+SELECT _time, {', '.join(SYNC)}, round(click, 6) AS click, round("view", 6) AS "view" FROM filled
+WHERE click IS NOT NULL AND "view" IS NOT NULL"""
+    sql["stream_grid_10m"] = f"""WITH {points_cte()},
+{grid_ctes(FIELDS, SYNC, 600)}
+SELECT _time, {', '.join(SYNC)}, {shown} FROM grid WHERE _time <= (SELECT max(_time) - 600 FROM grid)"""
     batch = " + ".join(f"CASE WHEN _time >= TIMESTAMP '{t}' THEN 1 ELSE 0 END" for t in (
         "2024-01-08 00:10:00", "2024-01-15 12:00:00", "2024-01-22 00:00:00"))
     sql["partial_fit_predictions"] = from_points(f"""SELECT {SERIES}, _time, round(total / n + 3e-8, 6) AS prediction

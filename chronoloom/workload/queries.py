@@ -35,6 +35,7 @@ from chronoloom.schema import BUCKET, FIELD, MEASUREMENT, TIME, VALUE, parse_ins
 from chronoloom.session import scratch_path, use_utc
 from chronoloom.sources import annotated, files, relational, series_table
 from chronoloom.sources.generate import sensor_rows
+from chronoloom.streaming.fill import disk_state, stream_filled
 from chronoloom.streaming.learn import latest_model, predict_and_partial_fit, predictions
 from chronoloom.streaming.points import read_stream, run_available, stream_grid, stream_windows, streamed_table
 from chronoloom.workload.tables import FIELDS, SERIES, TAGS, as_points, points, table
@@ -939,20 +940,22 @@ def stream_window_max(spark, sf_dir):
     return streamed_table(spark, path).withColumn(TIME, F.col(TIME).cast("timestamp_ntz"))
 
 
-def _arriving(spark: SparkSession, sf_dir: str) -> str:
-    """The events as files of a week each, written one after the other."""
+def _arriving(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """The events in files of a week each, written week after week, and the number of files a week."""
     events = table(spark, sf_dir, "events")
+    files_a_week = max(2, len(events.inputFiles()))
     path = scratch_path(spark, "arriving")
     for low, high in zip(WEEKS, [*WEEKS[1:], None]):
         week = events.where(F.col("ts") >= F.lit(low)) if low else events
         week = week.where(F.col("ts") < F.lit(high)) if high else week
-        week.coalesce(1).write.mode("append").parquet(path)
-    return path
+        week.repartition(files_a_week).write.mode("append").parquet(path)
+    return path, files_a_week
 
 
 def _weekly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return as_points(read_stream(spark, _arriving(spark, sf_dir), schema, files_per_batch=1))
+    """The events as a stream whose batches are weeks."""
+    path, files_a_week = _arriving(spark, sf_dir)
+    return as_points(read_stream(spark, path, table(spark, sf_dir, "events").schema, files_per_batch=files_a_week))
 
 
 @query
@@ -991,6 +994,34 @@ def stream_sync_filled(spark, sf_dir):
     return rounded(complete_grid(streamed_table(spark, path), FIELDS), FIELDS)
 
 
+@query
+def stream_fill_batches(spark, sf_dir):
+    """The grid of a stream filled as it closes, with the last rows of each system as state, over several batches."""
+    path = scratch_path(spark, "stream-filled")
+    with disk_state(spark):
+        run_available(stream_filled(stream_grid(_weekly_stream(spark, sf_dir), FIELDS, delay=DELAY), FIELDS), path)
+    return rounded(streamed_table(spark, path), FIELDS)
+
+
+@query
+def stream_fill_series(spark, sf_dir):
+    """The same, each device filled from itself by one row at most."""
+    path = scratch_path(spark, "stream-filled")
+    fields = ["click", "view"]
+    grid = stream_grid(_weekly_stream(spark, sf_dir), fields, delay=DELAY)
+    with disk_state(spark):
+        run_available(stream_filled(grid, fields, fill_scope="series", fill_limit=1), path)
+    return rounded(streamed_table(spark, path), fields)
+
+
+@query
+def stream_grid_10m(spark, sf_dir):
+    """A streamed grid of an even step, over several batches."""
+    path = scratch_path(spark, "stream-grid")
+    run_available(stream_grid(_weekly_stream(spark, sf_dir), FIELDS, step="10m", delay=DELAY), path)
+    return rounded(streamed_table(spark, path), FIELDS)
+
+
 @query
 def partial_fit_stats(spark, sf_dir):
     """What a model has learned from the stream, batch by batch."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chronoloom.operators.sync import complete_grid, on_grid, synchronise
 from chronoloom.plans.stages import Centre, CentreModel, sufficient_statistics
+from chronoloom.streaming.fill import disk_state, stream_filled
 from chronoloom.streaming.learn import latest_model, predict_and_partial_fit, predictions
 from chronoloom.streaming.points import read_stream, run_available, stream_grid, stream_windows, streamed_table
 
@@ -78,10 +79,66 @@ def test_a_second_run_goes_on_where_the_first_ended(spark, arriving, tmp_path):
     assert table.count() == table.select("system_id", "_time").distinct().count()
 
 
-def test_even_steps_are_refused(spark, arriving):
+@pytest.mark.parametrize("step", ["2m", "10m", "90s"])
+def test_grid_of_any_step(spark, arriving, tmp_path, step):
+    """Even steps and steps of seconds, whose ties go to the even multiple."""
     folder, batch = arriving
+    stream = read_stream(spark, folder, batch.schema, files_per_batch=1)
+    run_available(stream_grid(stream, ["a", "b"], KEYS, step, "10m"), str(tmp_path / "out"))
+    whole = on_grid(batch, ["a", "b"], KEYS, step)
+    closed = whole.agg(F.max("_time")).collect()[0][0] - 600
+    wanted = whole.where(F.col("_time") <= closed)
+    streamed = streamed_table(spark, str(tmp_path / "out")).collect()
+    assert sorted(map(str, streamed)) == sorted(map(str, wanted.collect())) and len(streamed) > 50
+
+
+@pytest.mark.parametrize("scope, limit", [("system", 2), ("series", 2), ("system", 0), ("series", 3)])
+def test_fill_as_the_grid_closes(spark, arriving, tmp_path, scope, limit):
+    """Batch by batch the same rows as one fill of the whole grid, each once."""
+    folder, batch = arriving
+    rows = read_stream(spark, folder, batch.schema, files_per_batch=1)
+    with disk_state(spark):
+        run_available(stream_filled(stream_grid(rows, ["a", "b"], KEYS, "2m"), ["a", "b"], KEYS, limit, scope), str(tmp_path / "filled"))
+    run_available(stream_grid(read_stream(spark, folder, batch.schema), ["a", "b"], KEYS, "2m"), str(tmp_path / "grid"))
+    wanted = complete_grid(streamed_table(spark, str(tmp_path / "grid")), ["a", "b"], KEYS, limit, scope)
+    ours = streamed_table(spark, str(tmp_path / "filled")).collect()
+    assert sorted(map(tuple, ours)) == sorted(map(tuple, wanted.collect())) and len(ours) > 100
+
+
+def test_silent_series_end(spark, tmp_path):
+    """A timer gives out the waiting rows of a series that stays silent, and drops its state."""
+    steps = [(T0 + timedelta(minutes=5 * i), "live", "f", "1", "a", float(i)) for i in range(40)]
+    gone = [(T0 + timedelta(minutes=5 * i), "gone", "f", "1", f, 1.0) for i, f in enumerate("ab")]
+    back = [(T0 + timedelta(minutes=5 * 35), "gone", "f", "1", "b", 7.0)]
+    folder = str(tmp_path / "in")
+    live = lambda low, high: [(*r[:4], f, r[5]) for r in steps[low:high] for f in "ab"]
+    for rows in (gone + live(0, 3), live(3, 20), live(20, 36) + back, live(36, 40)):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    grid = stream_grid(read_stream(spark, folder, spark.read.parquet(folder).schema, files_per_batch=1), ["a", "b"], KEYS, "10s", "5m")
+    with disk_state(spark):
+        out = stream_filled(grid, ["a", "b"], KEYS, 1, "series", patience="30m", incomplete=True)
+        run_available(out, str(tmp_path / "out"))
+    made = streamed_table(spark, str(tmp_path / "out"))
+    start = int((T0 - datetime(1970, 1, 1)).total_seconds())
+    ours = sorted((r["_time"] - start, r["a"], r["b"]) for r in made.where("system_id = 'gone'").collect())
+    # The last row waits for a later one to fill its missing ``a``, which the row before gives; nothing gives the first its ``b`` but the second.
+    assert ours == [(0, 1.0, 1.0), (300, 1.0, 1.0)]
+    assert made.where("system_id = 'live'").count() == made.where("system_id = 'live'").distinct().count() >= 35
+
+
+def test_incomplete_rows_on_request(spark, tmp_path):
+    """With the timer a row without a partner is given out as it is, once its series has ended."""
+    folder = str(tmp_path / "in")
+    rows = [(T0, "x", "f", "1", "a", 1.0)], [(T0 + timedelta(minutes=5 * i), "y", "f", "1", f, 2.0) for i in range(30) for f in "ab"]
+    for part in (*rows, [(T0 + timedelta(hours=5), "y", "f", "1", "a", 3.0)]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    grid = stream_grid(read_stream(spark, folder, spark.read.parquet(folder).schema, files_per_batch=1), ["a", "b"], KEYS, "10s", "5m")
+    with disk_state(spark):
+        run_available(stream_filled(grid, ["a", "b"], KEYS, patience="30m", incomplete=True), str(tmp_path / "out"))
+    made = streamed_table(spark, str(tmp_path / "out")).where("system_id = 'x'").collect()
+    assert [(r["a"], r["b"]) for r in made] == [(1.0, None)]
     with pytest.raises(ValueError):
-        stream_grid(read_stream(spark, folder, batch.schema), ["a"], KEYS, step="10m")
+        stream_filled(grid, ["a", "b"], KEYS, fill_scope="house")
 
 
 def empty_model(batch):
