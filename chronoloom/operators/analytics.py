@@ -16,6 +16,7 @@ from chronoloom.operators.quantiles import quantiles
 from chronoloom.operators.reshape import pivot_last
 from chronoloom.operators.select import time_range
 from chronoloom.operators.window_agg import expected_windows
+from chronoloom.operators.slots import Depth
 from chronoloom.schema import FIELD, TIME, VALUE, duration_seconds, epoch_of, parse_instant
 
 # Fixed value: fences lie this many interquartile ranges beyond the quartiles.
@@ -35,7 +36,7 @@ def data_quality(
     start: str | datetime,
     stop: str | datetime,
     nominal: str,
-    split: str | None = "1h",
+    split: str | Depth | None = "1h",
 ) -> DataFrame:
     """Per series: points, windows without a point, late gaps, values outside the quartile fences.
 

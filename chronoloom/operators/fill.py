@@ -5,6 +5,7 @@ which suits series of known length, such as the output of a window aggregation o
 range. With ``split`` a series is cut into time slots that are ordered separately, and only a few
 rows per slot cross slot borders, so a series holding a large share of the table is spread over
 many tasks. The per-series work that remains is bounded by the number of slots in the time range.
+Slots have one width or, as ``"100000 rows"``, about equally many rows (see ``slots``).
 """
 
 from __future__ import annotations
@@ -15,19 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chronoloom.functions.timefn import epoch_seconds, floor_seconds
-from chronoloom.schema import TIME, VALUE, type_of
+from chronoloom.operators.slots import SLOT as _SLOT
+from chronoloom.operators.slots import Depth, with_slot
+from chronoloom.schema import TIME, VALUE
 
-_SLOT = "__slot"
 _REAL = "__real"
 
 
-def time_slot(df: DataFrame, time: str, split: str) -> Column:
-    """The slot a row falls in: its time, epoch seconds if the column is numeric, floored."""
-    seconds = F.col(time) if type_of(df, time).typeName() in ("long", "integer") else epoch_seconds(F.col(time))
-    return floor_seconds(seconds, split)
-
-
 def _fill_limited(df: DataFrame, columns: Sequence[str], limit: int, window, backward: bool) -> DataFrame:
     behind = window.rowsBetween(-limit, 0)
     df = df.withColumns({c: F.last(c, ignorenulls=True).over(behind) for c in columns})
@@ -43,7 +38,7 @@ def fill_limited(
     order: Sequence[str],
     columns: Sequence[str],
     limit: int = 2,
-    split: str | None = None,
+    split: str | Depth | None = None,
     backward: bool = True,
 ) -> DataFrame:
     """Forward fill by at most ``limit`` rows, then backward fill by at most ``limit`` rows.
@@ -63,7 +58,7 @@ def fill_limited(
     def near_an_end(rows: int) -> Column:
         return F.lag(one, rows).over(in_slot).isNull() | F.lead(one, rows).over(in_slot).isNull()
 
-    marked = df.withColumn(_SLOT, time_slot(df, order[0], split)).withColumns(
+    marked = with_slot(df, partition, order[0], split).withColumns(
         {"__edge": near_an_end(limit), "__border": near_an_end(2 * limit)}
     )
     inner = _fill_limited(marked, columns, limit, in_slot, backward).where(~F.col("__edge"))
@@ -73,13 +68,13 @@ def fill_limited(
 
 
 def _with_slot_carry(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], split: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], split: str | Depth
 ) -> DataFrame:
     """Add to each slot a leading row that holds the last non-null values of earlier slots.
 
     The added rows have ``__real = 0``. One is added for every slot but the first of a series.
     """
-    slotted = df.withColumn(_SLOT, time_slot(df, order[0], split))
+    slotted = with_slot(df, keys, order[0], split)
     # A single time column keeps the aggregate hash-based; a struct needs sorted input.
     rank = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     last_in_slot = slotted.groupBy(*keys, _SLOT).agg(
@@ -101,7 +96,7 @@ def fill_previous(
     keys: Sequence[str],
     columns: Sequence[str] = (VALUE,),
     order: Sequence[str] = (TIME,),
-    split: str | None = None,
+    split: str | Depth | None = None,
 ) -> DataFrame:
     """Replace nulls by the last non-null value of the series; leading nulls stay."""
     if split is None:
@@ -118,7 +113,7 @@ def with_previous(
     keys: Sequence[str],
     columns: dict[str, str],
     order: Sequence[str] = (TIME,),
-    split: str | None = None,
+    split: str | Depth | None = None,
     first_flag: str | None = None,
 ) -> DataFrame:
     """Add, per ``{source: name}``, the last non-null source value before each row of its series.
@@ -148,7 +143,7 @@ def difference(
     columns: Sequence[str] = (VALUE,),
     order: Sequence[str] = (TIME,),
     non_negative: bool = False,
-    split: str | None = None,
+    split: str | Depth | None = None,
 ) -> DataFrame:
     """Value minus the last non-null value before it; the first row of each series is dropped.
 
@@ -161,3 +156,30 @@ def difference(
         delta = F.col(column) - F.col(name)
         deltas[column] = F.when(delta >= 0, delta) if non_negative else delta
     return rows.withColumns(deltas).select(*df.columns)
+
+
+def with_lags(
+    df: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    lags: dict[str, int],
+    order: Sequence[str] = (TIME,),
+    split: str | Depth | None = None,
+) -> DataFrame:
+    """Add, per ``{name: n}``, the value of ``column`` ``n`` rows before each row of its series.
+
+    In the split form the first rows of a slot, as many as the largest lag, look back over its border; these and the last
+    rows of every slot are put into series order once more, a fixed number per slot.
+    """
+    if split is None:
+        w = W.partitionBy(*keys).orderBy(*order)
+        return df.withColumns({name: F.lag(column, n).over(w) for name, n in lags.items()})
+    most, one = max(lags.values(), default=1), F.lit(1)
+    in_slot = W.partitionBy(*keys, _SLOT).orderBy(*order)
+    early = F.lag(one, most).over(in_slot).isNull()
+    marked = with_slot(df, keys, order[0], split).withColumns({"__early": early, "__border": early | F.lead(one, most).over(in_slot).isNull()})
+    names = [*df.columns, *lags]
+    inner = marked.withColumns({name: F.lag(column, n).over(in_slot) for name, n in lags.items()}).where(~F.col("__early"))
+    in_series = W.partitionBy(*keys).orderBy(*order)
+    border = marked.where("__border").withColumns({name: F.lag(column, n).over(in_series) for name, n in lags.items()}).where("__early")
+    return inner.select(*names).unionByName(border.select(*names))

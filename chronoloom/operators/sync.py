@@ -12,6 +12,7 @@ from chronoloom.functions.timefn import snap
 from chronoloom.operators.fill import fill_limited
 from chronoloom.operators.reshape import group_mean, pivot_mean
 from chronoloom.operators.select import complete_rows
+from chronoloom.operators.slots import Depth
 from chronoloom.schema import FIELD, SYNC_KEYS, TEMPERATURE_FIELDS, TIME, VALUE
 
 
@@ -42,7 +43,7 @@ def complete_grid(
     fill_scope: str = "system",
     narrow: str | None = None,
     temperatures: Sequence[str] = TEMPERATURE_FIELDS,
-    split: str | None = "1h",
+    split: str | Depth | None = "1h",
 ) -> DataFrame:
     """Fill short gaps of a grid table, drop the rows that stay incomplete, narrow the values.
 
@@ -71,7 +72,7 @@ def synchronise(
     narrow: str | None = None,
     temperatures: Sequence[str] = TEMPERATURE_FIELDS,
     float32: bool = False,
-    split: str | None = "1h",
+    split: str | Depth | None = "1h",
 ) -> DataFrame:
     """Points to complete rows on a regular grid, one column per field, time as epoch seconds."""
     grid = on_grid(points, fields, keys, step, float32)

@@ -22,10 +22,10 @@ from pyspark.ml.util import (
     MLWriter,
 )
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chronoloom.operators.fill import with_lags
 from chronoloom.operators.fuse import fuse
 from chronoloom.operators.sync import synchronise
 from chronoloom.schema import BUCKET, SYNC_KEYS, TIME, VALUE
@@ -121,15 +121,17 @@ class Synchronise(Described, Transformer, DefaultParamsReadable, DefaultParamsWr
 class LagFeatures(Described, Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Add earlier values of a column as features; rows without them are dropped.
 
-    Meant for window aggregates, whose series hold one row per window of the range.
+    Without ``split`` a series is ordered by one task, which suits window aggregates, whose series hold one row per window of
+    the range. Raw points take slots, by width or by counts (``"100000 rows"``).
     """
 
     inputCol = Param(Params._dummy(), "inputCol", "column to lag", TypeConverters.toString)
     keys = Param(Params._dummy(), "keys", "series keys", TypeConverters.toListString)
     lags = Param(Params._dummy(), "lags", "how many rows back", TypeConverters.toListInt)
+    split = Param(Params._dummy(), "split", "slots that series are cut into", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, inputCol=None, keys=None, lags=None):
+    def __init__(self, *, inputCol=None, keys=None, lags=None, split=None):
         super().__init__()
         self._setDefault(inputCol=VALUE, lags=[1])
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
@@ -138,10 +140,10 @@ class LagFeatures(Described, Transformer, DefaultParamsReadable, DefaultParamsWr
         return [f"lag_{n}" for n in self.getOrDefault(self.lags)]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        w = W.partitionBy(*self.getOrDefault(self.keys)).orderBy(TIME)
         source = self.getOrDefault(self.inputCol)
-        added = {n: F.lag(source, k).over(w) for n, k in zip(self.names(), self.getOrDefault(self.lags))}
-        return dataset.withColumns(added).dropna(subset=[source, *self.names()])
+        lags = dict(zip(self.names(), self.getOrDefault(self.lags)))
+        split = self.getOrDefault(self.split) if self.isDefined(self.split) else None
+        return with_lags(dataset, self.getOrDefault(self.keys), source, lags, split=split).dropna(subset=[source, *lags])
 
 
 class _CentreParams(Described):

@@ -299,6 +299,9 @@ WHERE rn > 1""")
   SELECT * REPLACE (last_value(_value IGNORE NULLS) {over} 2 PRECEDING AND CURRENT ROW) AS _value) FROM points)""",
         value=GAPPY,
     )
+    sql["fill_by_counts"] = sql["fill_limited_both_ways"]
+    sql["lags_by_counts"] = from_points("""SELECT *, lag(_value, 1) OVER w AS lag_1, lag(_value, 3) OVER w AS lag_3 FROM points
+WINDOW w AS (PARTITION BY bucket, _field ORDER BY _time, equipment_number)""")
     sql["difference_signed"] = from_points(f"""SELECT * EXCLUDE (before, rn) REPLACE (round(_value - before, 6) AS _value)
 FROM (SELECT *, lag(_value) OVER w AS before, row_number() OVER w AS rn FROM points
   WINDOW w AS (PARTITION BY {SERIES} ORDER BY _time)) WHERE rn > 1""")

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from chronoloom.functions import timefn
 from chronoloom.operators import analytics, order, profile, select
-from chronoloom.operators.fill import difference, fill_limited, fill_previous
+from chronoloom.operators.fill import difference, fill_limited, fill_previous, with_lags
 from chronoloom.operators.fuse import fuse, union_buckets
 from chronoloom.operators.quantiles import ranks
 from chronoloom.operators.reshape import pivot_last, plot_series, wide_to_points
+from chronoloom.operators.slots import Depth
 from chronoloom.operators.sync import complete_grid, missing_report, on_grid, synchronise
 from chronoloom.operators.window_agg import aggregate_window
 from chronoloom.plans.pipes import fit_pipe, fit_plans, load_pipe, predict_range, save_pipe
@@ -378,6 +379,19 @@ def fill_limited_both_ways(spark, sf_dir):
     return fill_limited(gappy(spark, sf_dir), [BUCKET], [TIME, FIELD, "equipment_number"], [VALUE], 2, "1h")
 
 
+@query
+def fill_by_counts(spark, sf_dir):
+    """The same fill in slots of about equally many rows."""
+    return fill_limited(gappy(spark, sf_dir), [BUCKET], [TIME, FIELD, "equipment_number"], [VALUE], 2, Depth(2000, "1d"))
+
+
+@query
+def lags_by_counts(spark, sf_dir):
+    """Earlier readings as features of raw points, in slots of about equally many rows."""
+    lags = {"lag_1": 1, "lag_3": 3}
+    return with_lags(points(spark, sf_dir), [BUCKET, FIELD], VALUE, lags, [TIME, "equipment_number"], "1000 rows by 6h")
+
+
 @query
 def difference_signed(spark, sf_dir):
     return rounded(difference(points(spark, sf_dir), SERIES, split="1d"), [VALUE])
