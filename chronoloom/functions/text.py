@@ -21,6 +21,11 @@ def check_identifier(name: str) -> str:
     return name
 
 
+def is_identifier(name: Column) -> Column:
+    """Whether a name would pass :func:`check_identifier`."""
+    return name.rlike(rf"\A{_IDENTIFIER.pattern}\z")
+
+
 def extension(path: str) -> str:
     return path.rsplit(".", 1)[-1].lower() if "." in path.rsplit("/", 1)[-1] else ""
 

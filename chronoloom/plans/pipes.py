@@ -14,10 +14,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from chronoloom.operators.fuse import fuse
+from chronoloom.plans.models import GroupModels, GroupRegression
 from chronoloom.plans.plan import Source, filled_sources, load_sources
 from chronoloom.plans.stages import Centre, Fuse, LagFeatures, Synchronise
 
-REGISTRY: dict[str, type] = {c.__name__: c for c in (Fuse, Synchronise, LagFeatures, Centre)}
+REGISTRY: dict[str, type] = {c.__name__: c for c in (Fuse, Synchronise, LagFeatures, Centre, GroupModels, GroupRegression)}
 
 
 CONCURRENT_FITS = 4

@@ -214,15 +214,17 @@ class CentreModel(_CentreParams, Model, MLWritable, MLReadable):
         return {"learned": moments(self.stats)}
 
     def write(self) -> MLWriter:
-        return _CentreWriter(self)
+        return TableWriter(self)
 
     @classmethod
     def read(cls) -> MLReader:
-        return _CentreReader(cls)
+        return TableReader(cls)
 
 
-class _CentreWriter(MLWriter):
-    def __init__(self, instance: CentreModel):
+class TableWriter(MLWriter):
+    """Saves a model whose learned values are a table, ``stats``."""
+
+    def __init__(self, instance: Model):
         super().__init__()
         self.instance = instance
 
@@ -231,12 +233,14 @@ class _CentreWriter(MLWriter):
         self.instance.stats.write.parquet(f"{path}/stats")
 
 
-class _CentreReader(MLReader):
+class TableReader(MLReader):
+    """Loads a model that ``TableWriter`` saved."""
+
     def __init__(self, cls):
         super().__init__()
         self.cls = cls
 
-    def load(self, path: str) -> CentreModel:
+    def load(self, path: str) -> Model:
         metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
         model = self.cls(self.sparkSession.read.parquet(f"{path}/stats"))
         model._resetUid(metadata["uid"])

@@ -449,6 +449,54 @@ FROM (SELECT *, regr_slope(_value, before) OVER () AS s, regr_intercept(_value,
   FROM ({windows('1 hour', 'bucket, _field, system_id', 'avg(_value) AS _value')}))
 WHERE before IS NOT NULL)""")
 
+    hours = windows("1 hour", "bucket, _field, system_id", "avg(_value) AS _value")
+    sql["model_per_series"] = from_points(f"""SELECT w.* REPLACE (round(_value, 4) AS _value), round(middle, 4) AS prediction,
+  round(CASE WHEN spread > 0 THEN (_value - middle) / spread END, 4) AS score, CASE WHEN spread > 0 THEN abs(_value - middle) / spread > 3.0 END AS alarm
+FROM ({hours}) w JOIN (SELECT bucket, _field, system_id, median(_value) AS middle, mad(_value) AS spread FROM ({hours}) GROUP BY ALL)
+USING (bucket, _field, system_id)""")
+    lagged = f"""rows AS (SELECT * FROM (
+  SELECT *, lag(_value, 1) OVER w AS x, lag(_value, 24) OVER w AS z FROM ({windows('1 hour', 'bucket, _field', 'avg(_value) AS _value')})
+  WINDOW w AS (PARTITION BY bucket, _field ORDER BY _time)) WHERE x IS NOT NULL AND z IS NOT NULL),
+sums AS (SELECT bucket, _field, count(*) AS n, avg(x) AS mx, avg(z) AS mz, avg(_value) AS my, var_pop(x) AS xx, var_pop(z) AS zz,
+  covar_pop(x, z) AS xz, covar_pop(x, _value) AS xy, covar_pop(z, _value) AS zy, var_pop(_value) AS yy FROM rows GROUP BY ALL),
+learned AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS b1, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS b2 FROM sums)"""
+    sql["regression_per_series"] = f"""WITH {points_cte()}, {lagged}
+SELECT bucket, _field, n, round(my - b1 * mx - b2 * mz, 5) AS intercept, round(b1, 5) AS by_hour, round(b2, 5) AS by_day,
+  round((b1 * xy + b2 * zy) / yy, 5) AS r2 FROM learned"""
+    sql["regression_predictions"] = f"""WITH {points_cte()}, {lagged}
+SELECT bucket, _field, _time, round(my + b1 * (x - mx) + b2 * (z - mz), 4) AS prediction FROM rows JOIN learned USING (bucket, _field)"""
+    sql["probability_per_bucket"] = from_points(f"""SELECT {SERIES}, _time, round(score, 5) AS score,
+  round(t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * exp(-x * x), 5) AS probability
+FROM (SELECT *, 1 / (1 + 0.3275911 * x) AS t FROM (SELECT *, abs(score) / sqrt(2.0::DOUBLE) AS x FROM (
+  SELECT points.*, (_value - mean) / std AS score
+  FROM points JOIN (SELECT bucket, _field, avg(_value) AS mean, stddev_samp(_value) AS std FROM points GROUP BY ALL) USING (bucket, _field))))""")
+    sql["two_plans_one_empty"] = from_points(f"""SELECT 'full' AS pipe, _field, count(_value) AS n, round(avg(_value), 4) AS mean,
+  round(stddev_samp(_value), 4) AS std FROM points WHERE bucket = 'b1' AND _time >= {START} AND _time < {STOP} GROUP BY _field""")
+    sql["fit_and_predict"] = f"""SELECT *, residual AS again FROM ({centred("bucket", score=False)})"""
+    sql["stage_matrices"] = from_points("""SELECT 'CentreModel' AS stage, 'learned' AS result, 'bucket,_field,n,mean,m2,std' AS "columns",
+  count(DISTINCT (bucket, _field)) AS n_rows, 'bucket,_field' AS keys, 'stages.py' AS file FROM points""")
+    wide = f"""(SELECT bucket, _time, {", ".join(f"max(_value) FILTER (_field = '{f}') AS {f}" for f in FIELDS)}
+  FROM ({windows('1 hour', 'bucket, _field', 'avg(_value) AS _value')}) GROUP BY ALL)"""
+    shown = lambda f: f"""SELECT '{f}' AS "column", 'double' AS dtype, count({f}) AS "count", round(avg({f}), 5) AS mean, round(stddev_samp({f}), 5) AS std,
+  round(min({f}), 5) AS "min", round(quantile_cont({f}, 0.25), 5) AS q25, round(quantile_cont({f}, 0.5), 5) AS q50, round(quantile_cont({f}, 0.75), 5) AS q75,
+  round(max({f}), 5) AS "max" FROM {wide}"""
+    other = [f"SELECT '{c}' AS \"column\", '{t}' AS dtype" for c, t in (("bucket", "string"), ("_time", "timestamp_ntz"))]
+    some = " OR ".join(f"{f} IS NULL" for f in FIELDS)
+    sql["result_view"] = from_points(f"""SELECT *, (SELECT count(*) FROM {wide} WHERE {some}) AS n_incomplete
+FROM ({" UNION ALL BY NAME ".join([*map(shown, FIELDS), *other])})""")
+    kinds = {"o_orderkey": "BIGINT", "o_custkey": "BIGINT", "o_orderstatus": "TEXT", "o_totalprice": "FLOAT", "o_orderdate": "TIMESTAMP", "o_orderpriority": "TEXT"}
+    sql["sql_types"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{t}' AS sql_type, count(*) AS n_rows, count(*) - count({c}) AS n_nulls FROM orders" for c, t in kinds.items()
+    )
+    sql["identifiers"] = """SELECT name, count(*) AS n, regexp_full_match(name, '[A-Za-z0-9_]+') AS valid FROM (
+  SELECT unnest([p_name, p_brand, p_type, replace(p_type, ' ', '_')]) AS name FROM part) GROUP BY name"""
+    sql["clock_coverage"] = f"""SELECT t._time, count(ts) AS n
+FROM (SELECT unnest(generate_series({START}, {STOP} - INTERVAL 30 MINUTE, INTERVAL 30 MINUTE)) AS _time) t
+LEFT JOIN events ON time_bucket(INTERVAL '30 minutes', ts) = t._time GROUP BY t._time"""
+    sql["numbered_points"] = from_points(
+        f"SELECT *, row_number() OVER (ORDER BY _value NULLS FIRST, _time, {SERIES}) AS place FROM points"
+    )
+
     sql["centre_per_bucket"] = centred("bucket")
     sql["pandas_model_per_bucket"] = from_points("""SELECT bucket, _field, _time, equipment_number,
   bucket || '-' || _field AS label, abs((_value - mean) / std) > 2.0 AS alarm

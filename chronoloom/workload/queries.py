@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoloom.functions import timefn
+from chronoloom.functions.text import is_identifier
 from chronoloom.operators import analytics, order, profile, select
 from chronoloom.operators.fill import difference, fill_limited, fill_previous, with_lags
 from chronoloom.operators.fuse import fuse, union_buckets
@@ -19,7 +20,8 @@ from chronoloom.operators.reshape import pivot_last, plot_series, wide_to_points
 from chronoloom.operators.slots import Depth
 from chronoloom.operators.sync import complete_grid, missing_report, on_grid, synchronise
 from chronoloom.operators.window_agg import aggregate_window
-from chronoloom.plans.pipes import fit_pipe, fit_plans, load_pipe, predict_range, save_pipe
+from chronoloom.plans.models import GroupModels, GroupRegression
+from chronoloom.plans.pipes import fit_pipe, fit_plans, fit_predict, load_pipe, predict_range, save_pipe
 from chronoloom.plans.plan import file_source, run_plan, series_source, sql_source
 from chronoloom.plans.query import run_query
 from chronoloom.plans.stages import (
@@ -35,7 +37,7 @@ from chronoloom.plans.stages import (
 from chronoloom.schema import BUCKET, FIELD, MEASUREMENT, TIME, VALUE, parse_instant
 from chronoloom.session import scratch_path, use_utc
 from chronoloom.sources import annotated, files, relational, series_table
-from chronoloom.sources.generate import sensor_rows
+from chronoloom.sources.generate import clock, sensor_rows
 from chronoloom.streaming.fill import disk_state, stream_filled
 from chronoloom.streaming.learn import latest_model, predict_and_partial_fit, predictions
 from chronoloom.streaming.points import read_stream, run_available, stream_grid, stream_windows, streamed_table
@@ -414,6 +416,12 @@ def preview_rows(spark, sf_dir):
     return order.limit(table(spark, sf_dir, "customer"), 5, ["c_custkey"])
 
 
+@query
+def numbered_points(spark, sf_dir):
+    """Every row's place in the order of value, then time and keys."""
+    return order.numbered(points(spark, sf_dir), [VALUE, TIME, *SERIES], "place")
+
+
 # --- composite queries
 
 METER_PLAN = {
@@ -576,6 +584,41 @@ def row_counts(spark, sf_dir):
     return points(spark, sf_dir).groupBy(BUCKET, MEASUREMENT).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def result_view(spark, sf_dir):
+    """What a result page shows of an analysis: types and description of its columns, and its rows with gaps."""
+    hours = aggregate_window(points(spark, sf_dir), "1h", "mean", [BUCKET, FIELD])
+    views = profile.result_views(pivot_last(hours, [BUCKET, TIME], FIELDS, FIELD, VALUE))
+    gaps = views["missing"].agg(F.count(F.lit(1)).alias("n_incomplete"))
+    out = views["dtypes"].join(views["description"], "column", "left").join(F.broadcast(gaps), how="cross")
+    return rounded(out, ["mean", "std", "min", "q25", "q50", "q75", "max"], 5)
+
+
+@query
+def sql_types(spark, sf_dir):
+    """The column types a table would be written with, and how many values each column would hold."""
+    orders = table(spark, sf_dir, "orders")
+    kinds = spark.createDataFrame([(f.name, relational.sql_type(f.dataType)) for f in orders.schema], "column string, sql_type string")
+    return kinds.join(profile.profile_columns(orders).select("column", "n_rows", "n_nulls"), "column")
+
+
+@query
+def identifiers(spark, sf_dir):
+    """Names that could be table names."""
+    parts = table(spark, sf_dir, "part").select(F.explode(F.array("p_name", "p_brand", "p_type", F.regexp_replace("p_type", " ", "_"))).alias("name"))
+    return parts.groupBy("name").agg(F.count(F.lit(1)).alias("n")).withColumn("valid", is_identifier(F.col("name")))
+
+
+@query
+def clock_coverage(spark, sf_dir):
+    """A clock of half hours, with the events of each."""
+    ticks = clock(spark, START, STOP, 30)
+    ends = timefn.from_epoch_seconds(timefn.floor_seconds(timefn.epoch_seconds(F.col("ts")), "30m"), "timestamp")
+    counts = table(spark, sf_dir, "events").groupBy(ends.alias(TIME)).agg(F.count(F.lit(1)).alias("n"))
+    out = ticks.join(counts, TIME, "left").fillna(0, subset=["n"])
+    return out.withColumn(TIME, F.col(TIME).cast("timestamp_ntz"))
+
+
 # --- analytics
 
 
@@ -776,6 +819,89 @@ def synchronise_stage(spark, sf_dir):
     return rounded(out.drop("score"), ["purchase", "view", "prediction", "residual"])
 
 
+@query
+def model_per_series(spark, sf_dir):
+    """A pandas model of each series, fitted on whole groups in one job, saved, loaded, applied slot by slot."""
+    keys = [BUCKET, FIELD, "system_id"]
+    windows = aggregate_window(points(spark, sf_dir), "1h", "mean", keys)
+    stage = GroupModels(model="MedianBand", keys=keys, columns=[VALUE], slot="10 days")
+    path = scratch_path(spark, "pipe")
+    save_pipe(spark, fit_pipe("bands", Pipeline(stages=[stage]), windows), path)
+    out = load_pipe(spark, path).predict(windows)
+    return rounded(out, [VALUE, "prediction", "score"], 4)
+
+
+def _lagged_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    windows = aggregate_window(points(spark, sf_dir), "1h", "mean", [BUCKET, FIELD])
+    return LagFeatures(inputCol=VALUE, keys=[BUCKET, FIELD], lags=[1, 24]).transform(windows)
+
+
+@query
+def regression_per_series(spark, sf_dir):
+    """Least squares of each series on its last hour and the hour a day before, learned week by week."""
+    rows, keys = _lagged_windows(spark, sf_dir), [BUCKET, FIELD]
+    stage = GroupRegression(features=["lag_1", "lag_24"], keys=keys)
+    model = stage.fit(rows.where(f"{TIME} < '2024-01-10'"))
+    for low, high in (("2024-01-10", "2024-01-18"), ("2024-01-18", "2025-01-01")):
+        model = model.partial_fit(rows.where(f"{TIME} >= '{low}' AND {TIME} < '{high}'"))
+    slopes = [F.col("coefficients")[i].alias(name) for i, name in enumerate(("by_hour", "by_day"))]
+    return rounded(model.learned().select(*keys, "n", "intercept", *slopes, "r2"), ["intercept", "by_hour", "by_day", "r2"], 5)
+
+
+@query
+def regression_predictions(spark, sf_dir):
+    """Each hour predicted by the regression of its own series."""
+    rows, keys = _lagged_windows(spark, sf_dir), [BUCKET, FIELD]
+    model = GroupRegression(features=["lag_1", "lag_24"], keys=keys).fit(rows)
+    return rounded(model.transform(rows).select(*keys, TIME, "prediction"), ["prediction"], 4)
+
+
+@query
+def probability_per_bucket(spark, sf_dir):
+    """How probable a residual as large is, for every reading."""
+    df = points(spark, sf_dir)
+    pipe = fit_pipe("centred", Pipeline(stages=[Centre(keys=[BUCKET, FIELD])]), df)
+    return rounded(pipe.predict_proba(df).select(*SERIES, TIME, "score", "probability"), ["score", "probability"], 5)
+
+
+@query
+def two_plans_one_empty(spark, sf_dir):
+    """Two entries fitted side by side; the one without data is left out."""
+    entry = lambda bucket: {
+        "steps": {"Centre": {"keys": [FIELD]}},
+        "data_sources": {"series": {"bucket": {"bucket": [bucket]}, "range": {"start": START, "stop": STOP}}},
+    }
+    sources = {"series": series_source(points(spark, sf_dir))}
+    pipes = fit_plans(spark, {"full": entry("b1"), "empty": entry("b9")}, sources)
+    learned = [pipe.results(points(spark, sf_dir))[-1]["learned"].withColumn("pipe", F.lit(name)) for name, pipe in sorted(pipes.items())]
+    return rounded(fuse(learned).select("pipe", FIELD, "n", "mean", "std"), ["mean", "std"], 4)
+
+
+@query
+def fit_and_predict(spark, sf_dir):
+    """Fitting and predicting the same rows in one call; the model lets go of what it holds before it predicts once more."""
+    df = points(spark, sf_dir)
+    pipe, first = fit_predict("centred", Pipeline(stages=[Centre(keys=[BUCKET])]), df)
+    pipe.model.stages[-1].stats.persist()
+    pipe.release()
+    names = [*SERIES, TIME]
+    again = pipe.predict(df).select(*names, F.col("residual").alias("again"))
+    return rounded(first.select(*names, "prediction", "residual").join(again, names), ["prediction", "residual", "again"])
+
+
+@query
+def stage_matrices(spark, sf_dir):
+    """What a fitted chain tells of itself: stage, its parameters, and the size of each of its results."""
+    df = points(spark, sf_dir)
+    pipe = fit_pipe("chain", Pipeline(stages=[Centre(keys=[BUCKET, FIELD])]), df)
+    rows = []
+    for uid, found in pipe.matrices(df).items():
+        attributes, file = pipe.attributes()[uid], pipe.files()[uid].rsplit("/", 1)[-1]
+        for name, (columns, count) in found.items():
+            rows.append((pipe.info()[uid].split()[0], name, ",".join(columns), count, ",".join(attributes["keys"]), file))
+    return spark.createDataFrame(rows, "stage string, result string, columns string, n_rows long, keys string, file string")
+
+
 # --- time functions
 
 
