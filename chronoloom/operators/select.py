@@ -55,17 +55,18 @@ def field_keys(df: DataFrame, as_of: str | datetime, days: int = 100) -> DataFra
 
 def time_range(
     df: DataFrame,
-    start: str | int | datetime,
+    start: str | int | datetime | None = None,
     stop: str | int | datetime | None = None,
     as_of: datetime | None = None,
     time: str = TIME,
 ) -> DataFrame:
-    """Rows with ``start <= time < stop``; without ``stop`` the range is open."""
+    """Rows with ``start <= time < stop``; an end that is not given is open, and rows without a time lie in no bounded range."""
     kind = type_of(df, time)
-    out = df.where(F.col(time) >= instant_literal(parse_instant(start, as_of), kind))
-    if stop is None:
-        return out
-    return out.where(F.col(time) < instant_literal(parse_instant(stop, as_of), kind))
+    if start is not None:
+        df = df.where(F.col(time) >= instant_literal(parse_instant(start, as_of), kind))
+    if stop is not None:
+        df = df.where(F.col(time) < instant_literal(parse_instant(stop, as_of), kind))
+    return df
 
 
 def equals(df: DataFrame, column: str, values) -> DataFrame:

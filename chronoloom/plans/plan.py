@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from functools import partial
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chronoloom.operators.fuse import fuse
 from chronoloom.operators.select import time_range
 from chronoloom.plans.query import run_query
-from chronoloom.schema import TIME
+from chronoloom.schema import TIME, parse_instant
 from chronoloom.sources.files import read_local
 from chronoloom.sources.relational import run_sql
 
@@ -87,13 +88,40 @@ def series_source(
     return partial(_load_series, table, keys, exclude_buckets, as_of)
 
 
+def _ranged_tables(spark: SparkSession, text: str, params: Mapping, time: str) -> dict[str, str]:
+    """Tables and views that a query names and that have the time column, with that column's type."""
+    words = set(re.findall(r"\w+", text.lower())) | {str(v).lower() for v in params.values()}
+    found = {}
+    for name in sorted({t.name for t in spark.catalog.listTables() if t.name.lower() in words}):
+        kinds = {f.name: f.dataType for f in spark.table(name).schema}
+        if time in kinds:
+            found[name] = kinds[time].simpleString()
+    return found
+
+
+def _under_range(text: str, tables: Mapping[str, str], time: str, params: Mapping) -> str:
+    """The query over tables cut to a range: each named table is shadowed by a query of the same name in front."""
+    bounds = [(op, name) for op, name in ((">=", "range_start"), ("<", "range_stop")) if name in params]
+    conditions = {t: " AND ".join(f"`{time}` {op} CAST({{{name}}} AS {kind})" for op, name in bounds) for t, kind in tables.items()}
+    cut = ", ".join(f"`{t}` AS (SELECT * FROM `{t}` WHERE {condition})" for t, condition in conditions.items())
+    own = re.match(r"\s*with\s+", text, re.IGNORECASE)
+    return f"WITH {cut}, {text[own.end():]}" if own else f"WITH {cut} {text}"
+
+
 def _load_sql(time, spark, query, params, start, stop) -> DataFrame:
     if isinstance(query, Mapping):
         query, params = query["sql"], {**query["params"], **params}
-    df = run_sql(spark, query, params)
     if start is None and stop is None:
-        return df
-    return time_range(df, start if start is not None else 0, stop, time=_time_of(df, time))
+        return run_sql(spark, query, params)
+    text = query if isinstance(query, str) else "\n".join(query)
+    tables = _ranged_tables(spark, text, params, time or TIME)
+    if tables:
+        bounds = {n: parse_instant(v).isoformat(sep=" ") for n, v in (("range_start", start), ("range_stop", stop)) if v is not None}
+        return run_sql(spark, _under_range(text, tables, time or TIME, bounds), {**params, **bounds})
+    if re.search(r"\b(limit|offset|tablesample)\b", text, re.IGNORECASE):
+        raise ValueError(f"no table of the query has the time column {time or TIME!r}, and a range cannot follow its limit")
+    df = run_sql(spark, query, params)
+    return time_range(df, start, stop, time=_time_of(df, time))
 
 
 def _time_of(df: DataFrame, time: str | None) -> str:
@@ -106,7 +134,11 @@ def _time_of(df: DataFrame, time: str | None) -> str:
 
 
 def sql_source(time: str | None = None) -> Source:
-    """SQL over registered views. A new range applies to the named time column; without one it raises."""
+    """SQL over registered tables and views.
+
+    A new range cuts every table the query names that has the time column (``TIME`` if none is named), before the query's own
+    conditions, groups and limits. If none has it, the range applies to the result's time column, and a query with a limit raises.
+    """
     return partial(_load_sql, time)
 
 
@@ -114,7 +146,7 @@ def _load_files(folders, time, spark, query, params, start, stop) -> DataFrame |
     df = read_local(spark, folders, query)
     if df is None or (start is None and stop is None):
         return df
-    return time_range(df, start if start is not None else 0, stop, time=_time_of(df, time))
+    return time_range(df, start, stop, time=_time_of(df, time))
 
 
 def file_source(folders: Sequence[str], time: str | None = None) -> Source:

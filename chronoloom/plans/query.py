@@ -78,7 +78,7 @@ def _bucket(series: Series, args) -> Series:
 
 
 def _range(series: Series, args) -> Series:
-    start = parse_instant(args["start"], series.as_of)
+    start = parse_instant(args["start"], series.as_of) if args.get("start") is not None else None
     stop = parse_instant(args["stop"], series.as_of) if args.get("stop") is not None else None
     ranged = select.time_range(series.df, start, stop)
     return replace(series, df=ranged, start=start, stop=stop)
@@ -210,7 +210,7 @@ def rerange(steps: list[tuple[str, object]], start=None, stop=None) -> list[tupl
     if bounds and not any(name in ranged for name, _ in steps):
         buckets = [k for k, (name, _) in enumerate(steps) if name in ("bucket", "buckets")]
         at = buckets[0] + 1 if buckets else 0
-        return [*steps[:at], ("range", {"start": 0, **bounds}), *steps[at:]]
+        return [*steps[:at], ("range", bounds), *steps[at:]]
     return [(name, {**args, **bounds} if name in ranged else args) for name, args in steps]
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from chronoloom.functions.timefn import format_rfc3339
 from chronoloom.operators.fuse import fuse
 from chronoloom.schema import MEASUREMENT, TIME, type_of
+from chronoloom.sources.files import file_name, literal_path
 
 # Annotation labels and the words for column kinds in the first annotation row.
 ANNOTATIONS = ("#datatype", "#group", "#default")
@@ -91,7 +92,7 @@ def read_annotations(spark: SparkSession, path: str) -> list[tuple[dict[str, str
     """Column kinds by name with the files that have them, from each file's own first annotation row and header."""
     mark = ANNOTATIONS[0] + ","
     value = F.col("value")
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+    lines = spark.read.text(path).select(file_name().alias("file"), "value", F.monotonically_increasing_id().alias("at"))
     heads = lines.groupBy("file").agg(
         F.count_if(value.startswith(mark)).alias("n"),
         F.min_by("value", F.when(value.startswith(mark), F.col("at"))).alias("kinds"),
@@ -122,5 +123,5 @@ def read_annotated_csv(spark: SparkSession, path: str, measurement: str = MEASUR
         fields = [T.StructField("__empty", T.StringType())]
         fields += [T.StructField(name, spark_types.get(kind, T.StringType())) for name, kind in kinds.items()]
         reader = spark.read.options(comment="#", header=True, enforceSchema=True, multiLine=True, escape='"', nullValue="\u0000")
-        frames.append(reader.schema(T.StructType(fields)).csv(found).drop("__empty"))
+        frames.append(reader.schema(T.StructType(fields)).csv([literal_path(f) for f in found]).drop("__empty"))
     return frames[0] if len(frames) == 1 else fuse(frames)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,14 +20,17 @@ MICROSECONDS = {
 }
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None, line_breaks: bool = True
+) -> DataFrame:
     """CSV with a header; quoted text may hold line breaks, commas and doubled quotes.
 
     Without a schema the types are inferred, at the cost of one more read. A file is read by one
-    task, as a line break may stand inside a value; large data belongs in several files.
+    task, as a line break may stand inside a value. Files without line breaks inside values, by ``line_breaks=False``, are split
+    among many tasks.
     """
     # Nothing between two commas is null and two quotes are an empty text; the null mark itself stands in no file.
-    reader = spark.read.options(header=True, multiLine=True, escape='"', nullValue="\u0000")
+    reader = spark.read.options(header=True, multiLine=line_breaks, escape='"', nullValue="\u0000")
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(_paths(paths))
 
@@ -54,16 +58,26 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def file_name(column: str = "_metadata.file_path") -> Column:
+    """The name of each row's file as a reader takes it: Spark writes names as URIs, with a blank as ``%20``, and plus signs stand for themselves."""
+    return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
+
+
 def _by_layout(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
     """Files that hold one array, and the others, of files and folders. An array's file starts with a bracket."""
-    named = spark.read.text(paths).select(F.input_file_name().alias("file"), F.ltrim("value").alias("line"), F.monotonically_increasing_id().alias("at"))
+    named = spark.read.text(paths).select(file_name().alias("file"), F.ltrim("value").alias("line"), F.monotonically_increasing_id().alias("at"))
     # Names and first characters only, one row a file.
     first = named.where("line <> ''").groupBy("file").agg(F.min_by(F.substring("line", 1, 1), "at").alias("mark"))
     marks = {row["file"]: row["mark"] for row in first.collect()}
     arrays = [file for file, mark in marks.items() if mark == "["]
     if not arrays:
         return [], paths
-    return sorted(arrays), sorted(file for file, mark in marks.items() if mark != "[")
+    return [literal_path(f) for f in sorted(arrays)], [literal_path(f) for f in sorted(f for f, mark in marks.items() if mark != "[")]
+
+
+def literal_path(path: str) -> str:
+    """A path whose own characters are not read as patterns."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def read_any(

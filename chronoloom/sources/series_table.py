@@ -25,6 +25,13 @@ def write_points(points: DataFrame, path: str, mode: str = "append") -> None:
     points.hint("rebalance", *layout).sortWithinPartitions(*layout, TIME).write.mode(mode).partitionBy(*layout).parquet(path)
 
 
+def replace_buckets(points: DataFrame, path: str) -> None:
+    """Replace the buckets' measurements that ``points`` holds by them; the other ones stay."""
+    layout = [BUCKET, MEASUREMENT]
+    rows = points.hint("rebalance", *layout).sortWithinPartitions(*layout, TIME)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*layout).parquet(path)
+
+
 def upload_wide(
     df: DataFrame,
     path: str,
@@ -68,11 +75,12 @@ def scan_points(
     stop: str | int | datetime | None = None,
     exclude: Sequence[str] = (),
 ) -> DataFrame:
-    """Points of the chosen buckets in ``[start, stop)``; bucket choice prunes folders."""
-    # Named as text, so that a folder such as bucket=007 is not read as a number.
+    """Points of the chosen buckets in ``[start, stop)``, either end open if not given; bucket choice prunes folders."""
+    table = spark.read.schema(text_layout(spark.read.parquet(path).schema)).parquet(path)
+    return time_range(in_buckets(table, buckets, exclude), start, stop)
+
+
+def text_layout(found: T.StructType) -> T.StructType:
+    """The schema with bucket and measurement as text, so that a folder such as bucket=007 is not read as a number."""
     layout = {BUCKET, MEASUREMENT}
-    found = spark.read.parquet(path).schema
-    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in layout else f for f in found])
-    table = spark.read.schema(schema).parquet(path)
-    points = in_buckets(table, buckets, exclude)
-    return points if start is None else time_range(points, start, stop)
+    return T.StructType([T.StructField(f.name, T.StringType()) if f.name in layout else f for f in found])

@@ -482,8 +482,8 @@ FROM (SELECT *, 1 / (1 + 0.3275911 * x) AS t FROM (SELECT *, abs(score) / sqrt(2
   round(max({f}), 5) AS "max" FROM {wide}"""
     other = [f"SELECT '{c}' AS \"column\", '{t}' AS dtype" for c, t in (("bucket", "string"), ("_time", "timestamp_ntz"))]
     some = " OR ".join(f"{f} IS NULL" for f in FIELDS)
-    sql["result_view"] = from_points(f"""SELECT *, (SELECT count(*) FROM {wide} WHERE {some}) AS n_incomplete
-FROM ({" UNION ALL BY NAME ".join([*map(shown, FIELDS), *other])})""")
+    other.append(f"SELECT 'incomplete rows' AS \"column\", count(*) AS \"count\" FROM {wide} WHERE {some}")
+    sql["result_view"] = from_points(" UNION ALL BY NAME ".join([*map(shown, FIELDS), *other]))
     kinds = {"o_orderkey": "BIGINT", "o_custkey": "BIGINT", "o_orderstatus": "TEXT", "o_totalprice": "FLOAT", "o_orderdate": "TIMESTAMP", "o_orderpriority": "TEXT"}
     sql["sql_types"] = " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", '{t}' AS sql_type, count(*) AS n_rows, count(*) - count({c}) AS n_nulls FROM orders" for c, t in kinds.items()
@@ -497,6 +497,18 @@ LEFT JOIN events ON time_bucket(INTERVAL '30 minutes', ts) = t._time GROUP BY t.
         f"SELECT *, row_number() OVER (ORDER BY _value NULLS FIRST, _time, {SERIES}) AS place FROM points"
     )
 
+    sql["sql_rerange_limit"] = """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+WHERE o_totalprice > 500 AND o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01' ORDER BY o_orderkey LIMIT 100"""
+    sql["rerange_stop_only"] = from_points(f"""SELECT *, 'none' AS saved FROM early WHERE bucket = 'b1' AND _measurement = 'action' AND _time < {HIGH}
+UNION ALL BY NAME SELECT *, 'both' AS saved FROM early
+WHERE bucket IN ('b1', 'b2') AND _measurement = 'action' AND _time >= {LOW} AND _time < {HIGH}""").replace(
+        "FROM events)", """FROM events), early AS (
+  SELECT * REPLACE (CASE WHEN "floor" = '0' THEN _time - INTERVAL 60 YEAR ELSE _time END AS _time) FROM points)"""
+    )
+    sql["catalogue_discovery"] = from_points(f"""SELECT {SERIES}, min(_time) AS first_time, max(_time) AS last_time, count(*) AS n_rows
+FROM points WHERE bucket <> 'b2' OR _field <> 'error' GROUP BY ALL""")
+    sql["catalogue_field_keys"] = from_points("""SELECT DISTINCT _field FROM points WHERE bucket IN ('b0', 'b3') AND
+  _time >= TIMESTAMP '2024-01-26 06:30:00' AND _time < TIMESTAMP '2024-01-29 06:30:00' AND (_field <> 'signup' OR _time < TIMESTAMP '2024-01-20')""")
     sql["centre_per_bucket"] = centred("bucket")
     sql["pandas_model_per_bucket"] = from_points("""SELECT bucket, _field, _time, equipment_number,
   bucket || '-' || _field AS label, abs((_value - mean) / std) > 2.0 AS alarm

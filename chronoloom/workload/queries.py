@@ -36,7 +36,7 @@ from chronoloom.plans.stages import (
 )
 from chronoloom.schema import BUCKET, FIELD, MEASUREMENT, TIME, VALUE, parse_instant
 from chronoloom.session import scratch_path, use_utc
-from chronoloom.sources import annotated, files, relational, series_table
+from chronoloom.sources import annotated, catalogue, files, relational, series_table
 from chronoloom.sources.generate import clock, sensor_rows
 from chronoloom.streaming.fill import disk_state, stream_filled
 from chronoloom.streaming.learn import latest_model, predict_and_partial_fit, predictions
@@ -297,6 +297,25 @@ def sql_rerange(spark, sf_dir):
     return load(spark, text, {}, "1997-01-01T00:00:00Z", "1998-01-01T00:00:00Z")
 
 
+@query
+def sql_rerange_limit(spark, sf_dir):
+    """A saved query with its own order and limit over another range: the first rows of that range."""
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    lines = ["SELECT o_orderkey, o_orderdate, o_totalprice FROM {table}", "WHERE {filter_field} > {filter_value}", "ORDER BY o_orderkey", "LIMIT {limit}"]
+    saved = {"sql": lines, "params": {"table": "orders", "filter_field": "o_totalprice", "filter_value": 500.0, "limit": 100}}
+    return sql_source(time="o_orderdate")(spark, saved, {}, "1997-01-01T00:00:00Z", "1998-01-01T00:00:00Z")
+
+
+@query
+def rerange_stop_only(spark, sf_dir):
+    """A saved query without a range, and one with, up to another end; readings before 1970 stay."""
+    early = F.when(F.col("floor") == "0", F.expr("_time - INTERVAL 60 YEARS")).otherwise(F.col(TIME))
+    df = points(spark, sf_dir).withColumn(TIME, early)
+    plain = run_query(df, [{"bucket": ["b1"]}, {"filter_measurement": {"measurement": "action"}}], stop=RANGE["stop"])
+    ranged = run_query(df, SAVED, RANGE["start"], RANGE["stop"])
+    return plain.withColumn("saved", F.lit("none")).unionByName(ranged.withColumn("saved", F.lit("both")))
+
+
 @query
 def rows_above_value(spark, sf_dir):
     return relational.rows_above(table(spark, sf_dir, "customer"), "c_acctbal", 5000.0, 100, ["c_custkey"])
@@ -589,8 +608,8 @@ def result_view(spark, sf_dir):
     """What a result page shows of an analysis: types and description of its columns, and its rows with gaps."""
     hours = aggregate_window(points(spark, sf_dir), "1h", "mean", [BUCKET, FIELD])
     views = profile.result_views(pivot_last(hours, [BUCKET, TIME], FIELDS, FIELD, VALUE))
-    gaps = views["missing"].agg(F.count(F.lit(1)).alias("n_incomplete"))
-    out = views["dtypes"].join(views["description"], "column", "left").join(F.broadcast(gaps), how="cross")
+    gaps = views["missing"].agg(F.lit("incomplete rows").alias("column"), F.count(F.lit(1)).alias("count"))
+    out = views["dtypes"].join(views["description"], "column", "left").unionByName(gaps, allowMissingColumns=True)
     return rounded(out, ["mean", "std", "min", "q25", "q50", "q75", "max"], 5)
 
 
@@ -1008,6 +1027,28 @@ def points_roundtrip_whole(spark, sf_dir):
     return series_table.scan_points(spark, path)
 
 
+@query
+def catalogue_discovery(spark, sf_dir):
+    """Series found in the catalogue of a table that grew by appends and had one bucket replaced; no point is read for it."""
+    df, path = points(spark, sf_dir), scratch_path(spark, "points")
+    series_table.write_points(df.where(f"{TIME} < '2024-01-12'"), path)
+    catalogue.refresh_catalogue(spark, path)
+    series_table.write_points(df.where(f"{TIME} >= '2024-01-12'"), path)
+    catalogue.refresh_catalogue(spark, path)
+    series_table.replace_buckets(df.where("bucket = 'b2' AND _field <> 'error'"), path)
+    found = catalogue.series_catalogue(spark, path)
+    return catalogue.series_extent(found).select(*SERIES, "first_time", "last_time", "n_rows")
+
+
+@query
+def catalogue_field_keys(spark, sf_dir):
+    """Fields with a reading in the last days, from the catalogue."""
+    path = scratch_path(spark, "points")
+    series_table.write_points(points(spark, sf_dir).where(f"{FIELD} <> 'signup' OR {TIME} < '2024-01-20'"), path)
+    found = catalogue.series_catalogue(spark, path)
+    return catalogue.field_keys_of(found, "2024-01-29T06:30:00Z", 3, ["b0", "b3"])
+
+
 @query
 def upload_wide_rows(spark, sf_dir):
     """Wide rows of several measurements to long points of one bucket, and back."""

@@ -310,3 +310,26 @@ def test_pandas_model_sees_one_bucket_at_a_time(points):
     out = predict_rows_per_bucket(points, predict, "bucket string, _value double, twice double")
     assert out.count() == points.count()
     assert out.where("twice <> 2 * _value").count() == 0
+
+
+def test_range_goes_under_the_query(spark):
+    """A new range cuts the tables a query reads, not what its limit leaves."""
+    rows = [(i, datetime(1960 + i, 1, 1), "ab"[i % 2]) for i in range(60)]
+    spark.createDataFrame(rows, "n int, t timestamp, k string").createOrReplaceTempView("ranged_rows")
+    load = sql_source(time="t")
+    first = load(spark, "SELECT n FROM ranged_rows ORDER BY n LIMIT 3", {}, "1980-01-01", "1990-01-01")
+    assert [r.n for r in first.collect()] == [20, 21, 22]
+    text = ["WITH some AS (SELECT * FROM {table} WHERE k = {k})", "SELECT k, count(*) AS c, min(n) AS low FROM some GROUP BY k"]
+    found = load(spark, {"sql": text, "params": {"table": "ranged_rows", "k": "a"}}, {}, None, "1990-01-01").collect()
+    assert [tuple(r) for r in found] == [("a", 15, 0)]  # those before 1970 too
+    assert load(spark, "SELECT n FROM ranged_rows", {}, "1980-01-01", None).count() == 40
+    with pytest.raises(ValueError):
+        sql_source(time="absent")(spark, "SELECT n FROM ranged_rows LIMIT 3", {}, "1980-01-01", None)
+
+
+def test_stop_alone_keeps_what_lies_before_1970(spark):
+    rows = [("b", datetime(1960, 1, 1), 1.0), ("b", datetime(2025, 1, 1), 2.0), ("b", datetime(2026, 1, 1), 3.0)]
+    df = spark.createDataFrame(rows, "bucket string, _time timestamp, _value double")
+    for query in ([{"bucket": ["b"]}], {"range": {"start": None, "stop": "2024-01-01"}}):
+        assert run_query(df, query, stop="2025-06-01").count() == 2
+    assert run_query(df, [{"bucket": ["b"]}], start="1961-01-01").count() == 2

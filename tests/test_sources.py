@@ -5,10 +5,12 @@ import os
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoloom.functions.text import check_identifier
-from chronoloom.sources import annotated, files, relational, series_table
+from chronoloom.operators import select
+from chronoloom.sources import annotated, catalogue, files, relational, series_table
 from chronoloom.sources.generate import DEMO_TAGS, clock, sensor_rows
 
 T0 = datetime(2025, 6, 1)
@@ -215,3 +217,73 @@ def test_quoted_placeholders_are_bound(spark):
     assert relational.run_sql(spark, "SELECT * FROM tagged WHERE tag = '{tag}'", {"tag": "x"}).count() == 1
     with pytest.raises(ValueError):
         relational.run_sql(spark, "SELECT * FROM tagged WHERE tag = 'a {tag} b'", {"tag": "x"})
+
+
+@pytest.mark.parametrize("folder", ["my data", "50% off", "a#b", "größe ñ", "x+y", "plain{1}[2]"])
+def test_odd_folder_names(spark, tmp_path, folder):
+    """Files are found again by the names Spark gives of them, whatever the characters."""
+    base = str(tmp_path / folder)
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "a long, b string")
+    os.makedirs(f"{base}/mixed")
+    with open(f"{base}/mixed/array.json", "w") as f:
+        f.write('[{"a": 1, "b": "x"},\n {"a": 2, "b": "y"}]')
+    with open(f"{base}/mixed/lines.json", "w") as f:
+        f.write('{"a": 3, "b": "z"}\n')
+    mixed = files.read_json(spark, files.literal_path(f"{base}/mixed"), df.schema)
+    assert sorted(map(tuple, mixed.collect())) == [(1, "x"), (2, "y"), (3, "z")]
+    wide = df.select(F.lit("m").alias("_measurement"), F.col("b").alias("tag"), F.lit("2025-06-01").cast("timestamp").alias("_time"), "a")
+    annotated.write_annotated_csv(wide, f"{base}/annotated", ["tag"], ["a"])
+    back = annotated.read_annotated_csv(spark, files.literal_path(f"{base}/annotated"))
+    assert sorted((r["tag"], r["a"]) for r in back.collect()) == [("x", 1), ("y", 2)]
+
+
+def test_csv_without_line_breaks_is_split(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    df = spark.range(20_000).select("id", F.concat(F.lit('say "'), F.col("id").cast("string"), F.lit('", twice')).alias("t"))
+    files.write_csv(df.coalesce(1), path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        split, whole = (files.read_csv(spark, path, df.schema, line_breaks=b) for b in (False, True))
+        assert split.rdd.getNumPartitions() > 3 and whole.rdd.getNumPartitions() == 1
+        assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def _series(spark, rows):
+    return spark.createDataFrame(rows, "bucket string, _measurement string, _time timestamp, _field string, _value double, floor string")
+
+
+def test_catalogue_follows_every_write(spark, tmp_path):
+    path = str(tmp_path / "points of a site")
+    t = lambda day, hour=0: datetime(2025, 6, day, hour)
+    extent = lambda: sorted(tuple(r) for r in catalogue.series_extent(catalogue.series_catalogue(spark, path)).select("bucket", "_field", "floor", "first_time", "last_time", "n_rows").collect())
+    series_table.write_points(_series(spark, [("b 1", "m", t(1), "x", 1.0, "0"), ("b 1", "m", t(2), "x", 1.0, "0"), ("007", "m", t(1), "y", 1.0, None)]), path)
+    assert extent() == [("007", "y", None, t(1), t(1), 1), ("b 1", "x", "0", t(1), t(2), 2)]
+    first = catalogue._versions(spark, path)
+    assert extent() and catalogue._versions(spark, path) == first  # nothing changed, nothing written
+    series_table.write_points(_series(spark, [("b 1", "m", t(9), "x", 1.0, "0"), ("b 1", "n", t(3), "z", 1.0, "1")]), path)
+    assert extent() == [("007", "y", None, t(1), t(1), 1), ("b 1", "x", "0", t(1), t(9), 3), ("b 1", "z", "1", t(3), t(3), 1)]
+    series_table.replace_buckets(_series(spark, [("b 1", "m", t(4, 12), "x", 1.0, "0")]), path)
+    assert extent() == [("007", "y", None, t(1), t(1), 1), ("b 1", "x", "0", t(4, 12), t(4, 12), 1), ("b 1", "z", "1", t(3), t(3), 1)]
+    assert len(catalogue._versions(spark, path)) == 2
+    found = catalogue.series_catalogue(spark, path)
+    fields = lambda *a, **k: sorted(r["_field"] for r in catalogue.field_keys_of(found, *a, **k).collect())
+    assert fields("2025-06-04T12:00:00Z", 1) == ["z"] or fields("2025-06-04T12:00:00Z", 1) == []
+    assert fields("2025-06-04T12:00:01Z", 1) == ["x"] and fields("2025-06-05", 100) == ["x", "y", "z"]
+    assert fields("2025-06-05", 100, buckets=["007"]) == ["y"]
+    assert sorted(r.bucket for r in select.bucket_names(found, exclude=["007"]).collect()) == ["b 1"]
+    read = select.bucket_names(found).inputFiles()
+    assert read and all("/_catalogue/" in name for name in read)
+    assert series_table.scan_points(spark, path).count() == 3  # the catalogue is no part of the table
+    series_table.write_points(_series(spark, [("new", "m", t(5), "x", 1.0, "0")]), path, mode="overwrite")
+    assert [r[0] for r in extent()] == ["new"]
+
+
+def test_points_up_to_an_end(spark, tmp_path):
+    path = str(tmp_path / "p")
+    times = [datetime(1969, 12, 31), datetime(2025, 6, 1), datetime(2025, 6, 2)]
+    series_table.write_points(_series(spark, [("b", "m", t, "x", 1.0, "0") for t in times]), path)
+    assert series_table.scan_points(spark, path, stop="2025-06-02").count() == 2
+    assert series_table.scan_points(spark, path, start="2025-06-01").count() == 2
+    assert series_table.scan_points(spark, path).count() == 3
