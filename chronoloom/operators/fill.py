@@ -10,11 +10,12 @@ Slots have one width or, as ``"100000 rows"``, about equally many rows (see ``sl
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from chronoloom.operators.slots import SLOT as _SLOT
 from chronoloom.operators.slots import Depth, with_slot
@@ -166,20 +167,32 @@ def with_lags(
     order: Sequence[str] = (TIME,),
     split: str | Depth | None = None,
 ) -> DataFrame:
-    """Add, per ``{name: n}``, the value of ``column`` ``n`` rows before each row of its series.
+    """Add, per ``{name: n}``, the value of ``column`` ``n`` rows before each row of its series."""
+    return _looking_back(df, keys, order, split, max(lags.values(), default=1), lambda w: {name: F.lag(column, n).over(w) for name, n in lags.items()})
 
-    In the split form the first rows of a slot, as many as the largest lag, look back over its border; these and the last
+
+def with_recent(
+    df: DataFrame, keys: Sequence[str], column: str, rows: int, name: str, order: Sequence[str] = (TIME,), split: str | Depth | None = None
+) -> DataFrame:
+    """Add the values of ``column`` in the last ``rows`` rows of the series, the row itself included, as an array without nulls."""
+    if rows < 1:
+        raise ValueError("the row itself is one of its recent rows")
+    return _looking_back(df, keys, order, split, max(rows - 1, 1), lambda w: {name: F.collect_list(column).over(w.rowsBetween(1 - rows, 0))})
+
+
+def _looking_back(df: DataFrame, keys, order, split, most: int, added: Callable[[WindowSpec], dict[str, Column]]) -> DataFrame:
+    """Add columns that depend on a row and at most ``most`` rows before it.
+
+    In the split form the first rows of a slot, as many as that, look back over its border; these and the last
     rows of every slot are put into series order once more, a fixed number per slot.
     """
+    in_series = W.partitionBy(*keys).orderBy(*order)
     if split is None:
-        w = W.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({name: F.lag(column, n).over(w) for name, n in lags.items()})
-    most, one = max(lags.values(), default=1), F.lit(1)
-    in_slot = W.partitionBy(*keys, _SLOT).orderBy(*order)
+        return df.withColumns(added(in_series))
+    one, in_slot = F.lit(1), W.partitionBy(*keys, _SLOT).orderBy(*order)
     early = F.lag(one, most).over(in_slot).isNull()
     marked = with_slot(df, keys, order[0], split).withColumns({"__early": early, "__border": early | F.lead(one, most).over(in_slot).isNull()})
-    names = [*df.columns, *lags]
-    inner = marked.withColumns({name: F.lag(column, n).over(in_slot) for name, n in lags.items()}).where(~F.col("__early"))
-    in_series = W.partitionBy(*keys).orderBy(*order)
-    border = marked.where("__border").withColumns({name: F.lag(column, n).over(in_series) for name, n in lags.items()}).where("__early")
+    names = [*df.columns, *added(in_slot)]
+    inner = marked.withColumns(added(in_slot)).where(~F.col("__early"))
+    border = marked.where("__border").withColumns(added(in_series)).where("__early")
     return inner.select(*names).unionByName(border.select(*names))

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chronoloom.functions.numeric import present
+from chronoloom.session import scratch_path
 
 # Values are first counted in buckets of a fixed relative width, then the buckets that hold a
 # wanted rank are cut again, evenly between their smallest and largest value.
@@ -18,8 +19,9 @@ PER_OCTAVE = 256
 CUTS = 65536
 # Larger magnitudes share the outermost bucket.
 LARGEST = 1e300
-# Rows of one value that may meet in one task.
+# Rows of one value that may meet in one task in any case, and how many values at most are broadcast beyond that.
 FREQUENT = 100_000
+MOST_FREQUENT = 20_000
 
 
 def _coarse(v: Column) -> Column:
@@ -34,31 +36,40 @@ def _fine(v: Column, low: Column, high: Column) -> Column:
     return F.when((high > low) & (high - low < LARGEST), cut).otherwise(F.lit(0))
 
 
-def quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probabilities: dict[str, float],
-) -> DataFrame:
-    """One row per group, one column per named probability, linearly interpolated.
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, inside: Column | None = None) -> DataFrame:
+    """How often each group has each value: ``k`` (a struct of the keys), ``v``, its bucket ``b`` and the number ``m``, as a table.
 
-    Selection by counting. Values are counted once per group and value, combined before the only
-    wide shuffle, so a frequent value is one row from there on; every later step reads these counts.
-    They are summed per bucket, and a running sum over the buckets, whose number does not depend on
-    the number of rows, tells which of them hold the wanted ranks. Only the counts in those buckets
-    go on: they are summed in finer buckets, and finally ordered by value in the finer buckets that
-    matter. Groups without values give no row.
+    Counts are combined before the only wide shuffle, so a frequent value is one row from there on, and written, as several
+    steps read them. Missing values count as null, and so do all where ``inside`` does not hold, so that every group has a row.
     """
     if not keys:
-        raise ValueError("quantiles need at least one key column")
-    names, probs = list(probabilities), list(probabilities.values())
-    ranks = [side((F.col("n") - 1) * F.lit(p)).cast("long") for p in probs for side in (F.floor, F.ceil)]
-
+        raise ValueError("values are counted by at least one key column")
     # A struct of the keys: null keys form groups, and equal each other in joins. Adding zero turns
     # -0.0 into 0.0.
     v = present(F.col(value).cast("double")) + F.lit(0.0)
-    values = df.select(F.struct(*keys).alias("k"), v.alias("v")).where("v IS NOT NULL")
-    values = values.groupBy("k", "v").agg(F.count(F.lit(1)).alias("m")).withColumn("b", _coarse(F.col("v")))
+    values = df.select(F.struct(*keys).alias("k"), (v if inside is None else F.when(inside, v)).alias("v"))
+    counts = values.groupBy("k", "v").agg(F.count(F.lit(1)).alias("m")).withColumn("b", _coarse(F.col("v")))
+    path = scratch_path(df.sparkSession, "value-counts")
+    counts.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float]) -> DataFrame:
+    """One row per group, one column per named probability, linearly interpolated. Groups without values give no row."""
+    return quantiles_of(value_counts(df, keys, value), keys, probabilities)
+
+
+def quantiles_of(counts: DataFrame, keys: Sequence[str], probabilities: dict[str, float]) -> DataFrame:
+    """Quantiles of counted values (``value_counts``), by selection.
+
+    Counts are summed per bucket, and a running sum over the buckets, whose number does not depend on
+    the number of rows, tells which of them hold the wanted ranks. Only the counts in those buckets
+    go on: they are summed in finer buckets, and finally ordered by value in the finer buckets that
+    matter.
+    """
+    names, probs = list(probabilities), list(probabilities.values())
+    ranks = [side((F.col("n") - 1) * F.lit(p)).cast("long") for p in probs for side in (F.floor, F.ceil)]
+    values = counts.where("v IS NOT NULL")
 
     def located(counts: DataFrame, within: Sequence[str], by: str, base: Column) -> DataFrame:
         """Counts with ``at``, the rank at which each begins, in order of ``by``."""
@@ -106,7 +117,11 @@ def ranks(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFram
     rows = df.withColumn("__kv", F.struct(F.struct(*keys).alias("k"), v.alias("v")))
     values = rows.groupBy("__kv").agg(F.count(F.lit(1)).alias("m")).select("__kv.k", "__kv.v", "m")
     odd = F.when(F.col("v").isNull(), F.lit((1 << 62) + 1)).when(F.isnan("v"), F.lit(1 << 62))
-    values = values.withColumn("b", F.coalesce(odd, _coarse(F.col("v"))))
+    path = scratch_path(df.sparkSession, "value-counts")
+    values.withColumn("b", F.coalesce(odd, _coarse(F.col("v")))).write.parquet(path)
+    values = df.sparkSession.read.parquet(path)
+    total = values.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
+    frequent = F.col("m") > max(FREQUENT, total // MOST_FREQUENT)
 
     def before(within: Sequence[str], by: str, count: str) -> Column:
         return F.coalesce(F.sum(count).over(W.partitionBy(*within).orderBy(by).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
@@ -120,6 +135,6 @@ def ranks(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFram
     rank = F.col("base") + F.col("start") + before(["k", "b", "f"], "v", "m") + 1
     ranked = values.join(cuts, ["k", "b", "f"]).select(F.struct("k", "v").alias("__kv"), "m", rank.alias(name))
 
-    often = F.broadcast(ranked.where(F.col("m") > FREQUENT).drop("m"))
-    rare = ranked.where(F.col("m") <= FREQUENT).drop("m")
+    often = F.broadcast(ranked.where(frequent).drop("m"))
+    rare = ranked.where(~frequent).drop("m")
     return rows.join(often, "__kv").unionByName(rows.join(often, "__kv", "left_anti").join(rare, "__kv")).drop("__kv")

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from chronoloom.operators import order, select
 from chronoloom.operators.fill import difference, fill_previous
 from chronoloom.operators.reshape import pivot_last
-from chronoloom.operators.window_agg import aggregate_window
+from chronoloom.operators.window_agg import aggregate_window, expected_windows
 from chronoloom.schema import FIELD, MEASUREMENT, VALUE, parse_instant, series_keys
 
 # Series are ordered slot by slot, so that a long one is never ordered in one task. A slot should hold
 # many points of a series; a query takes another width as ``slot``.
 SLOT = "1d"
+# Rows of a series that one task orders: after a window aggregation over a bounded range they are known from the query.
+MOST_WINDOWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -28,7 +30,7 @@ class Series:
     keys: tuple[str, ...]
     start: datetime | None = None
     stop: datetime | None = None
-    split: str = SLOT
+    split: str | None = SLOT
     as_of: datetime | None = None
     exclude_buckets: tuple[str, ...] = ()
 
@@ -144,6 +146,8 @@ def _window(series: Series, args: Mapping) -> Series:
         series.df, args["every"], args["function"], list(series.keys), empty, series.start, stop
     )
     out = replace(series, df=windows)
+    if series.start is not None and stop is not None and expected_windows(series.start, stop, args["every"]) <= MOST_WINDOWS:
+        out = replace(out, split=None)  # a series has at most one row a window from here on
     if "rowKey" not in args:
         return out
     wanted = {"row_key": args["rowKey"], "column_key": args["columnKey"], "fields": args["fields"]}

@@ -509,6 +509,45 @@ WHERE bucket IN ('b1', 'b2') AND _measurement = 'action' AND _time >= {LOW} AND
 FROM points WHERE bucket <> 'b2' OR _field <> 'error' GROUP BY ALL""")
     sql["catalogue_field_keys"] = from_points("""SELECT DISTINCT _field FROM points WHERE bucket IN ('b0', 'b3') AND
   _time >= TIMESTAMP '2024-01-26 06:30:00' AND _time < TIMESTAMP '2024-01-29 06:30:00' AND (_field <> 'signup' OR _time < TIMESTAMP '2024-01-20')""")
+    regular = """regular AS (SELECT bucket, _field, make_timestamp((e - e % step) * 1000000) AS _time, avg(_value) AS _value FROM (
+  SELECT *, CAST(floor(epoch_us(_time) / 1e6) AS BIGINT) AS e, CASE bucket WHEN 'b0' THEN 300 WHEN 'b1' THEN 900 WHEN 'b2' THEN 3600 ELSE 7200 END AS step
+  FROM points) GROUP BY ALL),
+hist AS (SELECT bucket, _field, time_bucket(INTERVAL '7 days', _time, TIMESTAMP '1970-01-01') AS period, gap, count(*) AS n FROM (
+  SELECT *, CAST(round((epoch_us(_time) - lag(epoch_us(_time)) OVER (PARTITION BY bucket, _field ORDER BY _time)) / 60e6) * 60 AS BIGINT) AS gap FROM regular)
+  WHERE gap > 0 GROUP BY ALL),
+usual AS (SELECT bucket, _field, arg_max(gap, n * 1e9 - gap) AS nominal_seconds, CAST(sum(n) AS BIGINT) AS n_gaps, round(max(n) / sum(n), 6) AS share
+  FROM (SELECT bucket, _field, gap, sum(n) AS n FROM hist GROUP BY ALL) GROUP BY ALL)"""
+    sql["nominal_interval"] = f"WITH {points_cte()}, {regular} SELECT * FROM usual"
+    sql["interval_drift"] = f"""WITH {points_cte()}, {regular}
+SELECT bucket, _field, period, w.nominal_seconds, usual.nominal_seconds AS usual_seconds
+FROM (SELECT bucket, _field, period, arg_max(gap, n * 1e9 - gap) AS nominal_seconds FROM hist GROUP BY ALL) w JOIN usual USING (bucket, _field)
+WHERE w.nominal_seconds <> usual.nominal_seconds"""
+    sql["data_quality_inferred"] = f"""WITH {points_cte()}, {regular},
+rows AS (SELECT r.*, u.nominal_seconds, quantile_cont(_value, 0.25) OVER k AS q1, quantile_cont(_value, 0.75) OVER k AS q3,
+    (epoch_us(_time) - coalesce(lag(epoch_us(_time)) OVER (PARTITION BY r.bucket, r._field ORDER BY _time), epoch_us({START}))) / 1e6 AS gap,
+    (epoch_us({STOP}) - max(epoch_us(_time)) OVER k) / 1e6 AS tail
+  FROM regular r JOIN usual u USING (bucket, _field) WINDOW k AS (PARTITION BY r.bucket, r._field))
+SELECT bucket, _field, nominal_seconds, count(*) AS n_points,
+  (epoch_us({STOP}) - 1) // (nominal_seconds * 1000000) - epoch_us({START}) // (nominal_seconds * 1000000) + 1 - count(DISTINCT epoch_us(_time) // (nominal_seconds * 1000000)) AS n_missing_windows,
+  count(*) FILTER (gap > nominal_seconds) + CASE WHEN max(tail) > nominal_seconds THEN 1 ELSE 0 END AS n_gaps,
+  round(greatest(max(gap), max(tail)), 6) AS max_gap_seconds,
+  count(*) FILTER (_value < q1 - 1.5 * (q3 - q1) OR _value > q3 + 1.5 * (q3 - q1)) AS n_outliers
+FROM rows GROUP BY bucket, _field, nominal_seconds"""
+    islands = lambda keys, holds, order, source="points": f"""SELECT {keys}, min(_time) AS "start", max(_time) AS "end", count(*) AS n_rows FROM (
+  SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) - row_number() OVER (PARTITION BY {keys}, {holds} ORDER BY {order}) AS island
+  FROM {source}) WHERE {holds} GROUP BY {keys}, island"""
+    sql["value_runs"] = from_points(islands("bucket, _field", "_value >= 5.0", "_time, equipment_number"))
+    sql["value_runs_by_counts"] = from_points(islands("bucket", "_value < 5.0", "_time, _field, equipment_number"))
+    near = f"""(SELECT bucket, _time, max(_value) FILTER (_field = 'view') AS "view", max(_value) FILTER (_field = 'click') AS click
+  FROM ({windows('30 minutes', 'bucket, _field', 'avg(_value) AS _value')}) GROUP BY ALL HAVING "view" IS NOT NULL AND click IS NOT NULL)"""
+    stays = islands("bucket", '(abs("view" - click) <= 20.0)', "_time", near)
+    sql["lasting_reach"] = from_points(f"""SELECT bucket, CAST("start" + INTERVAL 1 HOUR AS DATE) AS day, min("start") AS reached,
+  arg_min((epoch_us("end") - epoch_us("start")) / 1e6, "start") AS seconds FROM ({stays})
+WHERE epoch_us("end") - epoch_us("start") >= 3600000000 GROUP BY ALL""")
+    sql["moving_outliers"] = from_points("""SELECT * EXCLUDE (m, recent) REPLACE (round(median, 6) AS median, round(spread, 6) AS spread), abs(_value - m) > 6.0 * spread AS outlier
+FROM (SELECT *, m AS median, list_median(list_transform(recent, lambda x: abs(x - m))) AS spread FROM (
+  SELECT *, median(_value) OVER w AS m, list(_value) OVER w AS recent FROM points
+  WINDOW w AS (PARTITION BY bucket, _field ORDER BY _time, equipment_number ROWS BETWEEN 10 PRECEDING AND CURRENT ROW)))""")
     sql["centre_per_bucket"] = centred("bucket")
     sql["pandas_model_per_bucket"] = from_points("""SELECT bucket, _field, _time, equipment_number,
   bucket || '-' || _field AS label, abs((_value - mean) / std) > 2.0 AS alarm
@@ -520,7 +559,8 @@ FROM points JOIN (SELECT bucket, avg(_value) AS mean, stddev_samp(_value) AS std
     )
     sql["updated_stage"] = sync(["purchase", "view"], limit=1)
     sql["pandas_model_whole_groups"] = from_points(
-        "SELECT bucket, _field, _time, equipment_number, rank() OVER (PARTITION BY bucket ORDER BY _value) AS rank FROM points"
+        """SELECT bucket, _field, _time, equipment_number, rank() OVER (PARTITION BY bucket ORDER BY _value) AS rank,
+  rank() OVER (PARTITION BY bucket, _field, "floor", CAST(_time AS DATE) ORDER BY _value) AS day_rank FROM points"""
     )
     sql["general_query"] = chosen(f"bucket IN ('b1', 'b3') AND _time >= {LOW} AND _time < {HIGH} AND _field = 'view'")
     sql["demo_fit_predict"] = from_points(f"""SELECT {SERIES}, _time, round(mean, 6) AS prediction,

@@ -17,6 +17,7 @@ from chronoloom.operators.fill import difference, fill_limited, fill_previous, w
 from chronoloom.operators.fuse import fuse, union_buckets
 from chronoloom.operators.quantiles import ranks
 from chronoloom.operators.reshape import pivot_last, plot_series, wide_to_points
+from chronoloom.operators.runs import condition_runs
 from chronoloom.operators.slots import Depth
 from chronoloom.operators.sync import complete_grid, missing_report, on_grid, synchronise
 from chronoloom.operators.window_agg import aggregate_window
@@ -656,6 +657,63 @@ def data_quality_narrow_range(spark, sf_dir):
     return rounded(out, ["max_gap_seconds"])
 
 
+def regular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of each bucket at instants of a regular step, another for each; several readings at an instant are one mean."""
+    steps = F.element_at(F.create_map(*[F.lit(x) for pair in {"b0": 300, "b1": 900, "b2": 3600, "b3": 7200}.items() for x in pair]), F.col(BUCKET))
+    seconds = timefn.epoch_seconds(F.col(TIME))
+    at = timefn.from_epoch_seconds(seconds - F.pmod(seconds, steps), "timestamp_ntz")
+    return points(spark, sf_dir).groupBy(BUCKET, FIELD, at.alias(TIME)).agg(F.avg(VALUE).alias(VALUE))
+
+
+@query
+def nominal_interval(spark, sf_dir):
+    """The interval at which each series usually reports."""
+    out = analytics.nominal_intervals(regular(spark, sf_dir), [BUCKET, FIELD], "1m")
+    return rounded(out, ["share"])
+
+
+@query
+def interval_drift(spark, sf_dir):
+    """Weeks in which a series reports at another interval than usual."""
+    return analytics.interval_drift(regular(spark, sf_dir), [BUCKET, FIELD], "7d", "1m")
+
+
+@query
+def data_quality_inferred(spark, sf_dir):
+    """Data quality against each series' own usual interval."""
+    out = analytics.data_quality(regular(spark, sf_dir), [BUCKET, FIELD], START, STOP, unit="1m")
+    return rounded(out, ["max_gap_seconds"])
+
+
+@query
+def value_runs(spark, sf_dir):
+    """Readings in a row above a value, runs over several days among them."""
+    df = points(spark, sf_dir)
+    return condition_runs(df, [BUCKET, FIELD], F.col(VALUE) >= DETECTION, [TIME, "equipment_number"], "1d")
+
+
+@query
+def value_runs_by_counts(spark, sf_dir):
+    """The same of short runs, in slots of about equally many rows."""
+    df = points(spark, sf_dir)
+    return condition_runs(df, [BUCKET], F.col(VALUE) < DETECTION, [TIME, FIELD, "equipment_number"], "500 rows by 6h")
+
+
+@query
+def lasting_reach(spark, sf_dir):
+    """From when on a zone stays near its setpoint for two hours."""
+    windows = aggregate_window(points(spark, sf_dir), "30m", "mean", [BUCKET, FIELD])
+    out = analytics.first_lasting_reach(windows, [BUCKET], "view", "click", "Europe/Madrid", "1h", tolerance=20.0)
+    return out.withColumn("reached", F.col("reached").cast("timestamp_ntz"))
+
+
+@query
+def moving_outliers(spark, sf_dir):
+    """Readings far from the median of the last ones of their series."""
+    out = analytics.moving_outliers(points(spark, sf_dir), [BUCKET, FIELD], 11, 6.0, [TIME, "equipment_number"], "1d")
+    return rounded(out, ["median", "spread"])
+
+
 @query
 def agg_window_empty_unfiltered(spark, sf_dir):
     """Empty windows in bounds narrower than the data, which is not filtered beforehand."""
@@ -745,13 +803,15 @@ def pandas_model_per_bucket(spark, sf_dir):
 
 @query
 def pandas_model_whole_groups(spark, sf_dir):
-    """Ranks over all rows of each bucket, counted by Spark; pandas sees a series and day at a time, which bounds a group."""
+    """Ranks over all rows of each bucket, counted by Spark, and pandas' ranks within a field, floor and day, which bound a group."""
 
     def ranked(key, rows):
-        return rows[[BUCKET, FIELD, TIME, "equipment_number"]].assign(rank=rows["rank"].astype("int64"))
+        own = rows[[BUCKET, FIELD, TIME, "equipment_number"]]
+        place = rows[VALUE].rank(method="min").astype("int64")
+        return own.assign(rank=rows["rank"].astype("int64"), day_rank=place)
 
-    schema = "bucket string, _field string, _time timestamp_ntz, equipment_number string, rank long"
-    return predict_groups(ranks(points(spark, sf_dir), [BUCKET], VALUE, "rank"), ranked, schema, [*SERIES, slot_of()])
+    schema = "bucket string, _field string, _time timestamp_ntz, equipment_number string, rank long, day_rank long"
+    return predict_groups(ranks(points(spark, sf_dir), [BUCKET], VALUE, "rank"), ranked, schema, [BUCKET, FIELD, "floor", slot_of()])
 
 
 @query
