@@ -15,9 +15,13 @@ import regex
 from pyspark.sql import DataFrame
 
 from chronoloom.llm import arrowtext
+from chronoloom.llm.tasks import tidy
 
-REMEMBERED_WORDS = 400_000
-"""Encoded words that a Python process keeps at hand, in two generations of this size at most. Others are encoded again."""
+REMEMBERED_BYTES = 32 << 20
+"""Encoded words that a Python process keeps at hand, in two generations of about this size at most. Others are encoded again."""
+
+ENTRY_BYTES = 400
+"""What a short word costs; longer ones add their own length."""
 
 WHITE = r"\t-\r \x85\xa0  -     　"
 
@@ -34,14 +38,15 @@ class _Encoded(dict):
 
     def __init__(self, encode) -> None:
         super().__init__()
-        self.encode, self.older = encode, {}
+        self.encode, self.older, self.size = encode, {}, 0
 
     def __missing__(self, word: str) -> tuple[bytes, str]:
         found = self.older.get(word) or self.encode(word)
-        if len(self) >= REMEMBERED_WORDS:
-            self.older = dict(self)
+        if self.size >= REMEMBERED_BYTES:
+            self.older, self.size = dict(self), 0
             self.clear()
         self[word] = found
+        self.size += ENTRY_BYTES + 4 * len(word) + len(found[0]) + 4 * len(found[1])
         return found
 
 
@@ -167,10 +172,10 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     the empty text; long texts are encoded whole; repeated rows each get their row. Other columns are ignored.
     """
     tokenizer = docs.sparkSession.sparkContext.broadcast(WordBpe(path))  # as large as the file, whatever the input
-    return docs.select("doc_id", "text").mapInArrow(_rows(tokenizer, False), "doc_id long, n_tokens long, ids array<int>, decoded string")
+    return docs.select("doc_id", "text").mapInArrow(tidy(_rows(tokenizer, False)), "doc_id long, n_tokens long, ids array<int>, decoded string")
 
 
 def encoding_digests(docs: DataFrame, path: str) -> DataFrame:
     """As ``encode_documents``, with SHA-256 of the packed ids and of the decoded text in place of both: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     tokenizer = docs.sparkSession.sparkContext.broadcast(WordBpe(path))
-    return docs.select("doc_id", "text").mapInArrow(_rows(tokenizer, True), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(tidy(_rows(tokenizer, True)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
