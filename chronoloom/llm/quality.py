@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoloom.llm import arrowtext
+from chronoloom.llm.stored import fresh
+from chronoloom.llm.tasks import tidy
 
 BUCKETS = 1 << 14
 """Words share this many vectors by hash, so the model's size is fixed."""
@@ -72,7 +74,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     Contexts are whole numbers, so the sums do not depend on the order of tasks. A partition sends one row per bucket at most; the
     result has BUCKETS rows whatever the input.
     """
-    summed = docs.select("text").mapInArrow(_contexts, f"bucket long, {SPARK_FIELDS}").groupBy("bucket").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(DIMS)])
+    summed = docs.select("text").mapInArrow(tidy(_contexts), f"bucket long, {SPARK_FIELDS}").groupBy("bucket").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(DIMS)])
     table = np.zeros((BUCKETS, DIMS))
     for row in summed.collect():  # BUCKETS rows at most
         table[row[0]] = row[1:]
@@ -108,7 +110,8 @@ def pooled(batch: pa.RecordBatch, name: str, vectors: np.ndarray) -> np.ndarray:
     out[full, DIMS : 2 * DIMS] = np.sqrt(np.maximum(sums[:, DIMS:] / n - mean * mean, 0))
     row = np.repeat(np.arange(len(counts)), counts)
     for k, lag in enumerate(LAGS):
-        same = np.flatnonzero((bucket[lag:] == bucket[: len(bucket) - lag]) & (row[lag:] == row[: len(row) - lag]))
+        left = max(len(bucket) - lag, 0)  # a whole batch may have fewer words than the lag
+        same = np.flatnonzero((bucket[lag:] == bucket[:left]) & (row[lag:] == row[:left]))
         out[:, 2 * DIMS + k] = np.bincount(row[same], minlength=len(counts)) / np.maximum(counts - lag, 1)
     out[:, -1] = np.log1p(counts)
     return out
@@ -182,11 +185,12 @@ def _features(vectors):
     return run
 
 
-def _scores(vectors, network):
+def _scores(vectors, network, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrowtext.slices(batches, "text"):
             score = network.value.scores(pooled(batch, "text", vectors.value))
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(batch.num_columns)], pa.array(score)], names=[*batch.schema.names, "score"])
+            columns = [batch.column(k) for k in range(batch.num_columns)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=[*batch.schema.names, name])
 
     return run
 
@@ -208,14 +212,8 @@ class QualityModel:
             return rows.withColumn(name, F.lit(0.5))
         context = docs.sparkSession.sparkContext
         vectors, network = context.broadcast(self.vectors), context.broadcast(self.network)  # of fixed size
-        schema = rows.withColumn("score", F.lit(0.0)).schema if "score" not in rows.columns else None
-        if schema is None:
-            rows = rows.withColumnRenamed("score", "__score")
-            schema = rows.withColumn("score", F.lit(0.0)).schema
-        out = rows.mapInArrow(_scores(vectors, network), schema)
-        if "__score" in rows.columns:
-            return out.withColumnRenamed("score", name).withColumnRenamed("__score", "score")
-        return out.withColumnRenamed("score", name)
+        schema = rows.withColumn(name, F.lit(0.0)).schema
+        return rows.mapInArrow(tidy(_scores(vectors, network, name)), schema)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> QualityModel:
@@ -233,7 +231,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     rows = docs.select("doc_id", "text").join(known.where(draw < share), "doc_id").select("doc_id", "text", "label")
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
-    found = rows.mapInArrow(_features(shared), "doc_id long, label int, x array<double>").collect()  # max_rows rows of some 70 numbers
+    found = rows.mapInArrow(tidy(_features(shared)), "doc_id long, label int, x array<double>").collect()  # max_rows rows of some 70 numbers
     found.sort(key=lambda r: (r[0], r[1], r[2]))
     y = np.array([r[1] for r in found])
     if len(set(y)) < 2:
@@ -256,4 +254,5 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of ``docs`` that score 0.5 or more under a model fitted on them, with all their columns."""
-    return fit_quality(docs, labels).score(docs, "__quality").where("__quality >= 0.5").drop("__quality")
+    (name,) = fresh(docs, "quality_score")
+    return fit_quality(docs, labels).score(docs, name).where(F.col(name) >= 0.5).drop(name)
