@@ -6,17 +6,23 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoloom.llm.stored import stored
+from chronoloom.llm.stored import fresh, stored
 from chronoloom.session import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "96",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "15s",  # stores of an ended stream are unloaded by it
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else every state partition reserves some MB of disk
 }
 
+COMPARED = 512
+"""Copies compared with one copy of their group's recorded text."""
+
+FREQUENT = 1024
+
 
 def normalised(text: Column) -> Column:
     """Runs of white space (space, tab to carriage return) as one space; null as empty."""
@@ -42,13 +48,14 @@ def located(docs: DataFrame) -> DataFrame:
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` that stay by ``exact_duplicates``, with all their columns."""
     at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    (name,) = fresh(docs, "dedup_at")
     try:
-        rows = docs.select("*", at.alias("__at"))
+        rows = docs.select("*", at.alias(name))
     except AnalysisException:
         docs = stored(docs, "dedup-input")
-        rows = docs.select("*", at.alias("__at"))
-    dropped = exact_duplicates(docs).where("not kept").select(F.col("at").alias("__at"))
-    return rows.join(dropped, "__at", "left_anti").drop("__at")
+        rows = docs.select("*", at.alias(name))
+    dropped = exact_duplicates(docs).where("not kept").select(F.col("at").alias(name))
+    return rows.join(dropped, name, "left_anti").drop(name)
 
 
 def _order() -> Column:
@@ -117,7 +124,7 @@ def exact_duplicates(docs: DataFrame, files_per_batch: int | None = None) -> Dat
     run_state(reader.parquet(path), scratch_path(spark, "dedup-stream"), out)
     known = state_entries(spark, out) if _has_files(spark, out) else digests.limit(0).select("digest", _order().alias("first"), F.lit(0).cast("long").alias("n"))
 
-    grouped = digests.join(known, "digest").select(
+    grouped = _with_entries(digests, known).select(
         "doc_id", "at", "digest", F.col("first.doc_id").alias("keep_id"), F.col("first.at").alias("keep_at"), F.col("n").alias("group_size")
     )
     grouped = stored(grouped, "dedup-groups")
@@ -135,9 +142,21 @@ def _has_files(spark: SparkSession, path: str) -> bool:
 def _differing(rows: DataFrame, hits: DataFrame) -> DataFrame:
     """Places of rows whose bytes are not those of the row recorded for their digest."""
     text = rows.select("at", normalised(F.col("text")).alias("bytes"))
-    members = stored(hits.select("at", "keep_at").join(text, "at"), "dedup-bytes")
-    recorded = members.where("at = keep_at").select("keep_at", F.col("bytes").alias("keep_bytes"))
-    return members.where("at <> keep_at").join(recorded, "keep_at").where("bytes <> keep_bytes").select("at")
+    members = stored(hits.select("at", "keep_at", "group_size").join(text, "at"), "dedup-bytes")
+    # The recorded text of a large group goes to several tasks, once for each COMPARED of its copies, so that they meet it in many.
+    shares = F.ceil(F.col("group_size") / COMPARED).cast("int")
+    recorded = members.where("at = keep_at").select("keep_at", F.col("bytes").alias("keep_bytes"), F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
+    copies = members.where("at <> keep_at").withColumn("share", F.pmod(F.xxhash64("at"), shares).cast("int"))
+    return copies.join(recorded, ["keep_at", "share"]).where("bytes <> keep_bytes").select("at")
+
+
+def _with_entries(digests: DataFrame, known: DataFrame) -> DataFrame:
+    """Each row of ``digests`` with the entry of its digest. Entries that hold more than one in FREQUENT of all rows, and so are
+    fewer than FREQUENT, are broadcast; their rows need not meet in one task."""
+    total = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = F.col("n") * FREQUENT > total
+    frequent, rare = F.broadcast(known.where(often)), known.where(~often)
+    return digests.join(frequent, "digest").unionByName(digests.join(frequent, "digest", "left_anti").join(rare, "digest"))
 
 
 def _regrouped(grouped: DataFrame, rows: DataFrame, differing: DataFrame) -> DataFrame:
