@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from chronoloom.llm import arrowtext
 from chronoloom.llm.graph import components
-from chronoloom.llm.stored import stored
+from chronoloom.llm.stored import fresh, stored
+from chronoloom.llm.tasks import tidy
 
 SHINGLE = 5
 LOW, HIGH = 80, 100
@@ -216,7 +217,7 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def common_shingles(docs: DataFrame) -> np.ndarray:
     """Sorted hashes of shingles that stand in at least four of the sampled distinct texts, the most frequent MOST_COMMON."""
     sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(COMMON_SAMPLE)) == 0).select("text").distinct()
-    counts = sample.mapInArrow(_shingle_rows, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n >= 4")
+    counts = sample.mapInArrow(tidy(_shingle_rows), "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n >= 4")
     top = counts.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).select("shingle")
     return np.sort(np.array([r[0] for r in top.collect()], dtype=np.int64).view(np.uint64))
 
@@ -348,19 +349,19 @@ def _hash_filter(hashes: DataFrame):
 def _unless_apart(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) that sketches do not rule out, so that few texts need be read."""
     known = lambda k: nodes.select(F.col("node").alias(k), F.col("size").alias(f"size_{k}"), F.col("sketch").alias(f"sketch_{k}"))
-    return pairs.join(known("a"), "a").join(known("b"), "b").mapInArrow(_possible, "a long, b long")
+    return pairs.join(known("a"), "a").join(known("b"), "b").mapInArrow(tidy(_possible), "a long, b long")
 
 
 def _verified(pairs: DataFrame, hashed: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the candidate pairs (a, b) of set keys that link."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     places = stored(sets.join(wanted, "node").groupBy("node").agg(F.min("text_hash").alias("text_hash")), "join-places")
-    near = hashed.select("text", "text_hash").mapInArrow(_hash_filter(places), "text string, text_hash long")
+    near = hashed.select("text", "text_hash").mapInArrow(tidy(_hash_filter(places)), "text string, text_hash long")
     texts = near.join(places, "text_hash").groupBy("node").agg(F.min("text").alias("text"))
     texts = stored(texts, "join-texts")
     side = lambda k: texts.select(F.col("node").alias(k), F.col("text").alias(f"text_{k}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
-    return stored(joined.mapInArrow(_linked, "a long, b long"), "join-links")
+    return stored(joined.mapInArrow(tidy(_linked), "a long, b long"), "join-links")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -368,8 +369,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Documents linked with nothing stay. Rows without an id stay only where no row of their component has one.
     """
-    gone = near_duplicates(docs).where("not doc_id <=> component_id").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    same = (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("__hash")) & docs["doc_id"].eqNullSafe(F.col("__id"))
+    own, text = fresh(docs, "gone_id", "gone_hash")
+    gone = near_duplicates(docs).where("not doc_id <=> component_id").select(F.col("doc_id").alias(own), F.col("text_hash").alias(text)).distinct()
+    same = (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col(text)) & docs["doc_id"].eqNullSafe(F.col(own))
     return docs.join(gone, same, "left_anti")
 
 
@@ -388,12 +390,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     apart than any linked sets can be is not compared, and no pair is written before that.
     """
     hashed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    sets = stored(hashed.mapInArrow(_keyed, "doc_id long, n_shingles long, node long, text_hash long, sketch binary"), "join-sets")
+    sets = stored(hashed.mapInArrow(tidy(_keyed), "doc_id long, n_shingles long, node long, text_hash long, sketch binary"), "join-sets")
     spark = docs.sparkSession
     common = spark.sparkContext.broadcast(common_shingles(docs))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.select("text").mapInArrow(_signed(common, parts), "part int, nodes binary, counts binary, signs binary")
-    groups = stored(packed.repartition(parts, "part").mapInArrow(_groups, "grp long, node long, leader long, second long, third long"), "join-groups")
+    packed = docs.select("text").mapInArrow(tidy(_signed(common, parts)), "part int, nodes binary, counts binary, signs binary")
+    groups = stored(packed.repartition(parts, "part").mapInArrow(tidy(_groups), "grp long, node long, leader long, second long, third long"), "join-groups")
 
     members = groups.select("node").distinct()
     nodes = stored(sets.join(members, "node").groupBy("node").agg(F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch")), "join-nodes")
@@ -410,7 +412,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         rows = rows.select("leader", "grp", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), "tile", "node", "root", "size", "sketch")
         dealt = rows.repartition(parts, "leader", "tile_a", "tile_b").sortWithinPartitions("grp", "tile_a", "tile_b")
-        crossing = dealt.mapInArrow(_crossing, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
+        crossing = dealt.mapInArrow(tidy(_crossing), "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
         more = _verified(stored(crossing, "join-crossing"), hashed, sets)
         roots = components(links.union(more))
 
