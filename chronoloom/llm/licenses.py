@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from chronoloom.llm import arrowtext
+from chronoloom.llm.tasks import tidy
 
 PHRASES = {
     "gnu general public license": "gpl",
@@ -54,10 +55,11 @@ _FAMILIES = [
     ("mit-0", "mit", r"mit no attribution(?: license)?", r"mit 0", r"opensource org licenses? mit 0"),
     ("x11", "x11", r"x11 licen[sc]e", r"x11", r"x org licenses"),
     ("isc", "isc", r"isc licen[sc]e", r"isc", r"opensource org licenses? isc(?: license)?"),
-    ("bsd-2-clause", "bsd", r"(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd) licen[sc]e", r"bsd 2 clause", r"opensource org licenses? bsd 2 clause"),
+    ("bsd-2-clause", "freebsd", r"freebsd licen[sc]e", r"bsd 2 clause freebsd", r"freebsd org copyright"),
+    ("bsd-2-clause", "bsd", r"(?:simplified bsd|bsd 2 clause|2 clause bsd) licen[sc]e", r"bsd 2 clause", r"opensource org licenses? bsd 2 clause"),
     ("bsd-3-clause", "bsd", r"(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd) licen[sc]e", r"bsd 3 clause", r"opensource org licenses? bsd 3 clause"),
     ("bsd-4-clause", "bsd", r"(?:original bsd|bsd 4 clause|4 clause bsd) licen[sc]e", r"bsd 4 clause", r"spdx org licenses bsd 4 clause"),
-    ("0bsd", "bsd", r"(?:zero clause|bsd zero clause) (?:bsd )?licen[sc]e", r"0bsd", r"opensource org licenses? 0bsd"),
+    ("0bsd", "zero", r"(?:zero clause|bsd zero clause) (?:bsd )?licen[sc]e", r"0bsd", r"opensource org licenses? 0bsd"),
     ("bsd", "bsd", r"bsd(?: style)? licen[sc]e", r"bsd", r"opensource org licenses? bsd license(?: php)?"),
     ("mpl-2.0", "mozilla", r"mozilla public license(?: version| v)? 2(?: 0)?", r"mpl 2 0(?: no copyleft exception)?", r"mozilla org mpl 2 0"),
     ("mpl-1.1", "mozilla", r"mozilla public license(?: version| v)? 1 1", r"mpl 1 1", r"mozilla org mpl 1 1"),
@@ -83,7 +85,7 @@ _FAMILIES = [
     ("ncsa", "illinois", r"university of illinois(?: ncsa)? open source license", r"ncsa", r"opensource org licenses? ncsa"),
     ("odbl-1.0", "database", r"open (?:data commons open )?database license(?: version| v)?(?: 1 0)?", r"odbl 1 0", r"opendatacommons org licenses odbl"),
     ("odc-by-1.0", "commons", r"open data commons attribution license", r"odc by 1 0", r"opendatacommons org licenses by"),
-    ("pddl-1.0", "commons", r"public domain dedication and licen[sc]e", r"pddl 1 0", r"opendatacommons org licenses pddl"),
+    ("pddl-1.0", "dedication", r"public domain dedication and licen[sc]e", r"pddl 1 0", r"opendatacommons org licenses pddl"),
     ("bust-1.1", "business", r"business source license(?: 1 1)?", r"busl 1 1", r"mariadb com bsl11"),
     ("sspl-1.0", "server", r"server side public license(?: version| v)?(?: 1)?", r"sspl 1 0", r"mongodb com licensing server side public license"),
     ("elastic-2.0", "elastic", r"elastic license(?: version| v)?(?: 2 0)?", r"elastic 2 0", r"elastic co licensing elastic license"),
@@ -160,6 +162,38 @@ class Find:
     score: float
 
 
+class _Kept:
+    """Finds that stay so far, asked for containment in steps that grow with the logarithm of the text.
+
+    A tree over the words keeps the farthest end of the finds that start at or before a word. A find that goes lies within the one that
+    replaces it, so its entry in the tree never says more than that one's.
+    """
+
+    def __init__(self, n_words: int) -> None:
+        self.ends = [0] * (n_words + 1)
+        self.by_start: dict[int, list[Find]] = {}
+
+    def holds(self, new: Find) -> bool:
+        """Whether some find contains the new one."""
+        at = new.start + 1
+        while at > 0:
+            if self.ends[at] >= new.end:
+                return True
+            at &= at - 1
+        return False
+
+    def add(self, new: Find) -> None:
+        """Keep a find; those within it that it is a version of go."""
+        for start in range(new.start, new.end):
+            if start in self.by_start:
+                self.by_start[start] = [k for k in self.by_start[start] if k.end > new.end or not new.label.startswith(k.label + "-")]
+        self.by_start.setdefault(new.start, []).append(new)
+        at = new.start + 1
+        while at < len(self.ends):
+            self.ends[at] = max(self.ends[at], new.end)
+            at += at & -at
+
+
 class Detector:
     """Rules compiled, with the hashes of their gate words."""
 
@@ -205,18 +239,16 @@ class Detector:
         """
         text = " ".join(words)
         starts = np.cumsum([0] + [len(w) + 1 for w in words])
-        kept: list[Find] = []
+        kept = _Kept(len(words))
         for rank, rule, pattern in self.rules:
             if not gates.issuperset(rule.gate):
                 continue
             for hit in pattern.finditer(text):
                 start = int(np.searchsorted(starts, hit.start()))
                 new = Find(rule.label, start, int(np.searchsorted(starts, hit.end())), rank, rule.score)
-                if any(k.start <= new.start and new.end <= k.end for k in kept):
-                    continue
-                kept = [k for k in kept if not (new.start <= k.start and k.end <= new.end and new.label.startswith(k.label + "-"))]
-                kept.append(new)
-        return sorted(kept, key=lambda f: (f.start, f.end, f.rank))
+                if not kept.holds(new):
+                    kept.add(new)
+        return sorted((f for own in kept.by_start.values() for f in own), key=lambda f: (f.start, f.end, f.rank))
 
 
 _FINDS = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("text", pa.string()), ("score", pa.float64())]))
@@ -276,4 +308,4 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no words and empty labels. Long texts are read whole; repeated rows each get their row; other columns are ignored.
     """
-    return docs.select("doc_id", "text").mapInArrow(_scan, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(tidy(_scan), SCHEMA)
