@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoloom.llm.stored import stored
+from chronoloom.llm.stored import fresh, stored
 
-MAX_NEWTON = 40
+MAX_NEWTON = 60
 NEWTON_TOLERANCE = 1e-6
 ROUNDING_PASSES = 6
 ROUNDING_WAYS = 8
@@ -106,7 +108,7 @@ def balanced_tilts(histogram: DataFrame, targets: DataFrame, max_repeats: float
         high = F.when(F.col("taken") > F.col("target"), F.col("tilt")).otherwise(F.col("high"))
         step = F.col("tilt") + F.when(F.col("slope") > 0, (F.col("target") - F.col("taken")) / F.col("slope")).otherwise(F.lit(0.0))
         inside = (step > F.col("low")) & (step < F.col("high")) & (F.abs(step - F.col("tilt")) <= 4.0) & (step != F.col("tilt"))
-        far = F.when(F.col("high") == float("inf"), F.col("tilt") + 2.0).when(F.col("low") == float("-inf"), F.col("tilt") - 2.0).otherwise((F.col("low") + F.col("high")) / 2)
+        far = F.when(F.col("high") == float("inf"), 2 * F.abs("tilt") + 2.0).when(F.col("low") == float("-inf"), -2 * F.abs("tilt") - 2.0).otherwise((F.col("low") + F.col("high")) / 2)
         state = stored(
             _joined(state, sums)
             .withColumn("low", low)
@@ -116,41 +118,98 @@ def balanced_tilts(histogram: DataFrame, targets: DataFrame, max_repeats: float
             .select("source", "target", "full", "tilt", "low", "high", "gap"),
             "mix-dual",
         )
-        if not (state.agg(F.max("gap")).first()[0] or 0.0):
+        gap = state.agg(F.max(F.col("gap") / F.col("target"))).first()[0] or 0.0
+        if not gap:
             break
+    else:
+        warnings.warn(f"a source is {gap:.2g} of its target away after {MAX_NEWTON} Newton steps; rounding starts from there", stacklevel=2)
     full_tilt = F.when(F.col("full"), F.lit(1e300)).otherwise(F.col("tilt"))
     return _joined(state.select("source", full_tilt.alias("tilt")), scales)
 
 
-def _rate(max_repeats: float) -> Column:
-    power = F.col("tilt") * F.col("size") / F.col("scale")
+def _draw(hashed: Column) -> Column:
+    """A number in [0, 1) from a 64-bit hash."""
+    return F.pmod(hashed, F.lit(1 << 52)) / F.lit(float(1 << 52))
+
+
+def _rate(tilt: Column, size: Column, scale: Column, max_repeats: float) -> Column:
+    power = tilt * size / scale
     return F.when(power > 50.0, F.lit(float(max_repeats))).otherwise(F.least(F.exp(F.least(power, F.lit(50.0))), F.lit(float(max_repeats))))
 
 
 def _copies(shift: Column, max_repeats: float) -> Column:
-    """Whole copies of a document: its rate, plus its own fixed number in [0, 1), plus its source's shift, rounded down."""
-    return F.least(F.greatest(F.floor(F.col("rate") + F.col("draw") + shift), F.lit(0)), F.lit(int(max_repeats)))
+    """Whole copies of the ``m`` rows of one id, source and size together: their rates, plus a fixed number in [0, 1), plus their source's
+    shift for each, rounded down."""
+    return F.least(F.greatest(F.floor(F.col("m") * (F.col("rate") + shift) + F.col("draw")), F.lit(0)), F.col("m") * int(max_repeats))
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_repeats: int = 3) -> DataFrame:
-    """Copies of every document for a mix of given source weights, as large as all documents together.
+ALIKE = ["doc_id", "source", "size"]
+"""What copies depend on. Rows alike in all three share out their copies by their places."""
+
+
+@dataclass
+class Mix:
+    """A fitted mix: per source its size, target, tilt, scale and shift; and the rows that are alike, with their number ``m``."""
+
+    sources: DataFrame
+    alike: DataFrame
+    max_repeats: int
+
+    def copies_of(self, rows: DataFrame, size: str, name: str) -> DataFrame:
+        """``rows`` with the column ``name``, how often the mix takes each. Other rows than those it was fitted on give other sums."""
+        known, place, m = fresh(rows, "mix_source", "mix_place", "mix_m")
+        at = self.sources.select(F.col("source").alias(known), F.struct("tilt", "scale", "shift").alias(f"{known}_fit"))
+        alike = self.alike.select(*[F.col(c).alias(f"{known}_{c}") for c in ALIKE], F.col("m").alias(m))
+        same = F.lit(True)
+        for c, own in zip(ALIKE, ("doc_id", "source", size), strict=True):
+            same = same & F.col(own).eqNullSafe(F.col(f"{known}_{c}"))
+        hidden = [f"{known}_{c}" for c in ALIKE]
+        if self.alike.isEmpty():
+            placed = rows.select("*", F.lit(1).cast("bigint").alias(m), F.lit(0).cast("bigint").alias(place))
+        else:
+            single = rows.join(alike, same, "left_anti").select("*", F.lit(1).cast("bigint").alias(m), F.lit(0).cast("bigint").alias(place))
+            several = rows.join(alike, same).drop(*hidden)
+            placed = single.unionByName(_placed(several, ["doc_id", "source", size], place))
+        joined = placed.join(at, F.col("source").eqNullSafe(F.col(known)), "left")
+        fit = F.col(f"{known}_fit")
+        rate = _rate(fit["tilt"], F.col(size), fit["scale"], self.max_repeats)
+        draw = _draw(F.xxhash64("doc_id", "source", size))
+        together = F.floor(F.col(m) * (rate + fit["shift"]) + draw)
+        together = F.least(F.greatest(together, F.lit(0)), F.col(m) * self.max_repeats)
+        each = F.floor(together / F.col(m)) + F.when(F.col(place) < together % F.col(m), 1).otherwise(0)
+        return joined.select(*[F.col(c) for c in rows.columns], F.when(F.col(size) > 0, each).otherwise(0).cast("int").alias(name))
+
+
+def _placed(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``rows`` with each row's place among those alike, from 0. They are written with their task and numbered within it; the places of a task
+    begin after those of the tasks before it, so rows that are all alike need not meet."""
+    part, n, before = fresh(rows, "mix_part", "mix_n", "mix_before")
+    held = stored(rows.withColumn(part, F.spark_partition_id()), "mix-alike")
+    sizes = held.groupBy(*keys, part).agg(F.count(F.lit(1)).alias(n))
+    earlier = F.sum(n).over(Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select(*[F.col(k).alias(f"{before}_{i}") for i, k in enumerate(keys)], F.col(part).alias(f"{before}_part"), F.coalesce(earlier, F.lit(0)).alias(before))
+    same = F.col(part) == F.col(f"{before}_part")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"{before}_{i}"))
+    inside = F.row_number().over(Window.partitionBy(*keys, part).orderBy(F.lit(0))) - 1
+    return held.withColumn(n, inside).join(starts, same).select(*[F.col(c) for c in rows.columns], (F.col(before) + F.col(n)).cast("bigint").alias(name))
 
-    One row for each row of ``docs(doc_id, text, source)``: doc_id, source, size, source_size, target, rate, copies, taken. Sizes
-    are words; targets are those of ``source_targets``, rates those of ``balanced_tilts``. Rates are rounded to whole copies, 0 to ``max_repeats``, by a
-    number in [0, 1) hashed from id, source and size; a shift for each source, searched for in passes that each try
-    ``ROUNDING_WAYS`` values in one aggregation, brings the tokens taken to the target as nearly as whole documents allow.
 
-    Null and empty texts have size 0 and are taken 0 times; null sources form a source of their own; rows with the same id and
-    size in a source get the same number of copies, so reruns agree. An empty table gives an empty table. Other columns are ignored.
+def fit_mix(rows: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_repeats: int = 3) -> Mix:
+    """Fit the mix of rows ``(doc_id, source, size)``. Targets are those of ``source_targets``, rates those of ``balanced_tilts``.
+
+    Rates are rounded to whole copies, 0 to ``max_repeats``, by a number in [0, 1) hashed from id, source and size; a shift for each source,
+    searched for in passes that each try ``ROUNDING_WAYS`` values in one aggregation, brings the tokens taken to the target as nearly as
+    whole documents allow.
     """
-    sized = stored(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "mix-sizes")
-    histogram = stored(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
+    grouped = stored(rows.groupBy(*ALIKE).agg(F.count(F.lit(1)).alias("m")), "mix-groups")
+    histogram = stored(grouped.groupBy("source", "size").agg(F.sum("m").alias("n")), "mix-counts")
     totals = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))
     targets = stored(source_targets(totals, weights, max_repeats), "mix-targets")
-    tilts = balanced_tilts(histogram.where("size > 0"), targets.where("source_size > 0"), max_repeats)
-    draw = (F.pmod(F.xxhash64("doc_id", "source", "size"), F.lit(1 << 52)) / F.lit(float(1 << 52))).alias("draw")
-    rated = _joined(sized.where("size > 0"), tilts).select("doc_id", "source", "size", _rate(max_repeats).alias("rate"), draw)
-    rated = stored(rated, "mix-rates")
+    tilts = stored(balanced_tilts(histogram.where("size > 0"), targets.where("source_size > 0"), max_repeats), "mix-tilts")
+    draw = _draw(F.xxhash64(*ALIKE)).alias("draw")
+    rate = _rate(F.col("tilt"), F.col("size"), F.col("scale"), max_repeats).alias("rate")
+    rated = stored(_joined(grouped.where("size > 0"), tilts).select("source", "size", "m", rate, draw), "mix-rates")
 
     shifts = targets.where("source_size > 0").select("source", "target", F.lit(0.0).alias("shift"))
     width = 2.0
@@ -161,21 +220,38 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max
         best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{k}") - F.col("target")).alias("gap"), F.lit(abs(t)).alias("far"), F.lit(t).alias("t")) for k, t in enumerate(tried)]))
         shifts = stored(_joined(shifts, sums).select("source", "target", (F.col("shift") + best["t"]).alias("shift")), "mix-shifts")
         width = 2 * width / ROUNDING_WAYS
-    copies = _joined(rated, shifts.select("source", "shift")).select("doc_id", "source", "size", "rate", _copies(F.col("shift"), max_repeats).cast("int").alias("copies"))
-    empty = sized.where("size = 0").select("doc_id", "source", "size", F.lit(0.0).alias("rate"), F.lit(0).alias("copies"))
-    return _joined(copies.union(empty), targets).select(
-        "doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("size") * F.col("copies")).alias("taken")
+    fitted = _joined(tilts.select("source", "tilt", "scale"), shifts.select("source", "shift"))
+    renamed = fitted.withColumnRenamed("source", "source_")
+    sources = targets.join(renamed, F.expr("source <=> source_"), "left").drop("source_")
+    return Mix(stored(sources, "mix-fitted"), grouped.where("m > 1 and size > 0"), max_repeats)
+
+
+def mix_sources(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_repeats: int = 3) -> DataFrame:
+    """Copies of every document for a mix of given source weights, as large as all documents together.
+
+    One row for each row of ``docs(doc_id, text, source)``: doc_id, source, size, source_size, target, rate, copies, taken. Sizes
+    are words. See ``fit_mix``.
+
+    Null and empty texts have size 0 and are taken 0 times; null sources form a source of their own. Rows of one id, size and source get
+    their copies together, as evenly as whole copies allow, and which of them has one more depends on their order only; reruns
+    agree in the rows as a whole. An empty table gives an empty table. Other columns are ignored.
+    """
+    sized = stored(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "mix-sizes")
+    mix = fit_mix(sized, weights, max_repeats)
+    rated = _joined(mix.copies_of(sized, "size", "copies"), mix.sources)
+    rate = F.coalesce(F.when(F.col("size") > 0, _rate(F.col("tilt"), F.col("size"), F.col("scale"), max_repeats)), F.lit(0.0))
+    return rated.select(
+        "doc_id", "source", "size", "source_size", "target", rate.alias("rate"), "copies", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), max_repeats: int = 3) -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as the mix takes it, with its own columns.
+    """The mix itself: rows of ``docs``, each as often as ``mix_sources`` takes it, with its own columns.
 
-    Documents with no copies are gone. Rows are matched to their copies by id, source and size, on which copies depend alone.
+    Documents with no copies are gone. Copies follow from a document's own row and what was fitted for its source, so texts are not shuffled.
     """
-    taken = mix_sources(docs, weights, max_repeats).select(
-        F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("size").alias("__mix_size"), F.col("copies").alias("__mix_copies")
-    ).where("__mix_copies > 0").distinct()
-    same = F.expr("doc_id <=> __mix_id and source <=> __mix_source") & (n_words(F.col("text")) == F.col("__mix_size"))
-    joined = docs.join(taken, same)
-    return joined.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies")))).select(*[docs[c] for c in docs.columns])
+    size, copies = fresh(docs, "mix_size", "mix_copies")
+    rows = docs.withColumn(size, n_words(F.col("text")))
+    mix = fit_mix(rows.select("doc_id", "source", F.col(size).alias("size")), weights, max_repeats)
+    taken = mix.copies_of(rows, size, copies).where(F.col(copies) > 0)
+    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies)).drop(copies)
