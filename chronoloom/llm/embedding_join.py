@@ -8,37 +8,50 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronoloom.llm.graph import components
 from chronoloom.llm.stored import stored
+from chronoloom.llm.tasks import tidy
 
 BLOCKS = 4
 CELL_DIMS = 10
 """Coordinates of a block, at most, whose signs make up its cell."""
 TILE = 2048
 """Vectors of a cell compared at once; larger cells are cut into tiles, and each pair of tiles is a task's group of its own."""
+PART_BYTES = 32 << 20
+"""Vectors dealt to a task for comparison, about."""
 SLACK = 1e-6
 SEED = 5
 
 
-def _vectors(column: pa.Array) -> list[np.ndarray | None]:
-    """Each row as doubles; None for null, for nulls or non-finite values within, and for zero vectors."""
-    out = []
-    for value in column.to_pylist():
-        if value is None or any(x is None for x in value):
-            out.append(None)
-            continue
-        vector = np.array(value, dtype=np.float64)
-        out.append(vector if len(vector) and np.isfinite(vector).all() and vector.any() else None)
-    return out
+def _packed(column: pa.Array) -> pa.Array:
+    """Each row's components as bytes, in the column's own precision; null for null, for nulls or non-finite values within, and for zero vectors."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    parts = column.values.fill_null(float("nan")).to_numpy(zero_copy_only=False)
+    low, high = offsets[0], offsets[-1]
+    flat = np.ascontiguousarray(parts[low:high])
+    at = offsets - low
+    count = lambda hit: np.concatenate([[0], np.cumsum(hit)])
+    odd, some = count(~np.isfinite(flat)), count(flat != 0)
+    good = (odd[at[1:]] == odd[at[:-1]]) & (some[at[1:]] > some[at[:-1]]) & column.is_valid().to_numpy(zero_copy_only=False)
+    bytes_ = flat.tobytes()
+    size = flat.itemsize
+    return pa.array([bytes_[a * size : b * size] if g else None for a, b, g in zip(at[:-1].tolist(), at[1:].tolist(), good.tolist())], pa.binary())
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        packed = [None if v is None else v.tobytes() for v in _vectors(batch.column("embedding"))]
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(packed, pa.binary())], names=["vec_id", "label", "vector"])
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), _packed(batch.column("embedding"))], names=["vec_id", "label", "vector"])
+
+
+def _doubles(packed: pa.Array, kind: str) -> np.ndarray:
+    """Packed rows of one length as a matrix of doubles, each row scaled by a power of two to components of at most 1, which changes no cosine."""
+    rows = np.stack([np.frombuffer(v.as_buffer(), dtype=kind) for v in packed]).astype(np.float64)
+    _, exponent = np.frexp(np.abs(rows).max(axis=1, keepdims=True))
+    return np.ldexp(rows, -exponent)
 
 
 def rotation(dims: int) -> np.ndarray:
@@ -87,16 +100,16 @@ def cells(part: np.ndarray, budget: float) -> list[tuple[int, np.ndarray]]:
     return [(c, r) for c, r in out]
 
 
-def _placed(cosine: float, with_vectors: bool):
-    """Rows (cell, node, vector) for each cell that a vector reaches; the cell's number holds label, dimensions, block and signs."""
+def _placed(cosine: float, kind: str):
+    """Rows (label, dims, cell, node) for each cell that a vector reaches; the cell's number holds block and signs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = pc.binary_length(batch.column("vector")).to_numpy()
             for size in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == size))
-                dims = int(size) // 8
-                vectors = np.stack([np.frombuffer(v.as_buffer()) for v in part.column("vector")])
+                dims = int(size) // np.dtype(kind).itemsize
+                vectors = _doubles(part.column("vector"), kind)
                 turned = unit_rows(vectors) @ rotation(dims)
                 label, node = part.column("label").to_numpy().astype(np.int64), part.column("node")
                 for number, ((low, high), budget) in enumerate(zip(blocks(dims), budgets(dims, cosine))):
@@ -105,8 +118,6 @@ def _placed(cosine: float, with_vectors: bool):
                     sign = np.concatenate([c for c, _ in found])
                     names = ["label", "dims", "cell", "node"]
                     arrays = [pa.array(label[rows]), pa.array(np.full(len(rows), dims, dtype=np.int32)), pa.array((number << 16 | sign).astype(np.int32)), node.take(pa.array(rows))]
-                    if with_vectors:
-                        names, arrays = [*names, "vector"], [*arrays, part.column("vector").take(pa.array(rows))]
                     for at in range(0, len(rows), 20_000):
                         yield pa.RecordBatch.from_arrays([a.slice(at, 20_000) for a in arrays], names=names)
 
@@ -160,7 +171,7 @@ def _tile_links(dims: int, cell: int, tiles: tuple[int, int], tile: np.ndarray,
     return a, b, root
 
 
-def _links(cosine: float):
+def _links(cosine: float, kind: str):
     """Partial results (node, n, root) of the groups of a partition that is sorted by group.
 
     ``n`` counts rows linked to the node, copies included; (node, root) connects the node to another one that links lead to.
@@ -169,7 +180,7 @@ def _links(cosine: float):
     def group(key: tuple, rows: pa.Table):
         tile, copies = rows.column("tile").to_numpy(), rows.column("copies").to_numpy()
         node = rows.column("node").to_numpy()
-        vectors = np.stack([np.frombuffer(v.as_buffer()) for v in rows.column("vector").combine_chunks()])
+        vectors = _doubles(rows.column("vector").combine_chunks(), kind)
         got = _tile_links(key[1], key[2], (key[3], key[4]), tile, node, vectors, cosine)
         if got is None:
             return None
@@ -202,6 +213,15 @@ def _links(cosine: float):
     return run
 
 
+def _label(vectors: DataFrame) -> Column:
+    """A number for each label, the same for equal labels only; null for null. Numbers with fractions count as they are."""
+    kind = vectors.schema["label"].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.col("label").cast("long")
+    value = F.col("label") + F.lit(0.0) if isinstance(kind, T.FractionalType) else F.col("label")  # 0.0 and -0.0 are equal
+    return F.when(F.col("label").isNotNull(), F.xxhash64(value))
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     """One row for each row of ``vectors(vec_id, embedding, label)``: vec_id, n_links, component_id, kept.
 
@@ -216,10 +236,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     over as smallest ids; an empty table gives an empty table. Other columns are ignored.
     """
     spark = vectors.sparkSession
-    kind = vectors.schema["label"].dataType
-    named = vectors.select("vec_id", F.col("label").cast("long").alias("label") if kind.typeName() != "string" else F.xxhash64("label").alias("label"), "embedding")
-    named = named.withColumn("label", F.when(vectors["label"].isNotNull(), F.col("label"))) if kind.typeName() == "string" else named
-    rows = named.mapInArrow(_keyed, "vec_id long, label long, vector binary")
+    part = vectors.schema["embedding"].dataType.elementType
+    kind = "f4" if isinstance(part, T.FloatType) else "f8"
+    embedding = F.col("embedding").cast("array<float>" if kind == "f4" else "array<double>")
+    rows = vectors.select("vec_id", _label(vectors).alias("label"), embedding.alias("embedding")).mapInArrow(tidy(_keyed), "vec_id long, label long, vector binary")
     rows = rows.withColumn("node", F.when(F.col("vector").isNotNull() & F.col("label").isNotNull(), F.xxhash64("label", "vector")))
     rows = stored(rows, "vector-rows")
     nodes = stored(
@@ -228,16 +248,19 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     )
     key = "label long, dims int, cell int, node long"
     light = nodes.select("label", "vector", "node")
-    full = light.mapInArrow(_placed(cosine, False), key).groupBy("label", "dims", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    cells_of = stored(light.mapInArrow(tidy(_placed(cosine, kind)), key), "vector-places")
+    full = cells_of.groupBy("label", "dims", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     full = stored(full.withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int")), "vector-cells")
-    placed = light.mapInArrow(_placed(cosine, True), f"{key}, vector binary").join(full, ["label", "dims", "cell"])
-    placed = placed.join(nodes.select("node", "copies"), "node")
+    # Vectors travel to the cells they share with others only; which these are is found on keys.
+    placed = cells_of.join(full, ["label", "dims", "cell"]).join(nodes.select("node", "copies", "vector"), "node")
     tiled = placed.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     tiled = tiled.select("label", "dims", "cell", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), "tile", "node", "copies", "vector")
     group = ["label", "dims", "cell", "tile_a", "tile_b"]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = full.agg(F.coalesce(F.sum(F.col("n") * F.col("tiles")), F.lit(0))).first()[0]
+    width = nodes.agg(F.coalesce(F.max(F.octet_length("vector")), F.lit(0))).first()[0]
+    parts = max(spark.sparkContext.defaultParallelism, -(-total * (width + 40) // PART_BYTES))
     dealt = tiled.repartition(parts, *group).sortWithinPartitions(*group)
-    partial = stored(dealt.mapInArrow(_links(cosine), "node long, n long, root long"), "vector-links")
+    partial = stored(dealt.mapInArrow(tidy(_links(cosine, kind)), "node long, n long, root long"), "vector-links")
     counts = partial.groupBy("node").agg(F.sum("n").alias("n"))
     roots = components(partial.select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
     known = nodes.select("node", "copies", "least").join(counts, "node", "left").join(roots, "node", "left")
