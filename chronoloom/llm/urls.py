@@ -39,19 +39,33 @@ def with_url_parts(frame: DataFrame, url: Column) -> DataFrame:
     split = split.withColumn("__authority", F.regexp_extract("__rest", r"^[^/?#]*", 0))
     split = split.withColumn("__tail", F.substring(F.col("__rest"), F.length("__authority") + 1, F.length("__rest")))
     split = split.withColumn("host", lower_ascii(F.col("__authority"))).withColumn("path", F.regexp_extract("__tail", r"^[^?#]*", 0))
-    split = split.withColumn("__kept", F.regexp_extract("__tail", r"^[^#]*", 0))
-    slash = F.when(F.startswith("__kept", F.lit("/")), F.lit("")).otherwise(F.lit("/"))
-    node = F.when(F.col("host") != "", F.concat("host", slash, "__kept"))
-    return split.withColumn("node", node).drop("__rest", "__authority", "__tail", "__kept")
+    split = split.withColumn("__query", F.regexp_extract("__tail", r"^[^?#]*(\?[^#]*)?", 1))
+    slash = F.when(F.startswith("path", F.lit("/")), F.lit("")).otherwise(F.lit("/"))
+    node = F.when(F.col("host") != "", F.concat("host", slash, without_dots(F.col("path")), "__query"))
+    return split.withColumn("node", node).drop("__rest", "__authority", "__tail", "__query")
+
+
+def without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` steps walked; steps above the top are left out. A path that ends in one ends in a slash."""
+    parts = F.split(path, "/")
+    steps = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
+        F.array().cast("array<string>"),
+        lambda done, part: F.when(part == ".", done)
+        .when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.concat(done, F.array(part))),
+    )
+    last = F.element_at(parts, -1).isin(".", "..")
+    walked = F.concat(F.lit("/"), F.array_join(steps, "/"), F.when(last & (F.size(steps) > 0), F.lit("/")).otherwise(F.lit("")))
+    return F.when(path.rlike(r"^/(?:.*/)?\.\.?(?:/|$)"), walked).otherwise(path)
 
 
 def link_targets(html: Column) -> Column:
     """Targets of canonical links and of refresh redirects in a page, as written, in page order.
 
-    Only the markup before ``<body`` counts, comments and scripts left out, since links in the text of a page say nothing about the page.
+    Only the head counts, since links in the text of a page say nothing about the page.
     """
-    head = F.regexp_extract(F.coalesce(html, F.lit("")), r"(?is)^(.*?)(?:<body\b|$)", 1)
-    head = F.regexp_replace(head, r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", " ")
+    head = page_head(html)
     href = r"""\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
     links = F.regexp_extract_all(head, F.lit(r"""(?is)(<link\b(?=[^>]*\brel\s*=\s*["']?[^"'>]*\bcanonical\b)[^>]*>)"""), 1)
     metas = F.regexp_extract_all(head, F.lit(r"""(?is)(<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?\s*refresh\b)[^>]*>)"""), 1)
@@ -63,9 +77,20 @@ def link_targets(html: Column) -> Column:
     return found
 
 
+def page_head(html: Column) -> Column:
+    """The markup before ``<body``, without comments, scripts and styles."""
+    plain = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<!--.*?(?:-->|$)|<script\b.*?(?:</script\s*>|$)|<style\b.*?(?:</style\s*>|$)", " ")
+    return F.regexp_extract(plain, r"(?is)^(.*?)(?:<body\b|$)", 1)
+
+
+def base_target(html: Column) -> Column:
+    """Where the first ``base`` element of a page's head points, as written; empty without one."""
+    return F.replace(F.regexp_extract(page_head(html), r"""(?is)<base\b[^>]*\bhref\s*=\s*["']?\s*([^"'\s>]+)""", 1), F.lit("&amp;"), F.lit("&"))
+
+
 def with_target_url(links: DataFrame) -> DataFrame:
-    """``links(url, target)`` with ``to``, the target as an absolute url, null if it is none. ``..`` and ``.`` are kept as they are."""
-    parts = with_url_parts(links.select("url", "target", F.regexp_extract("url", r"^(.*?)://", 1).alias("scheme")), F.col("url"))
+    """``links`` of columns ``url`` and ``target`` with ``to``, the target as an absolute url, null if it is none. ``..`` and ``.`` are walked when nodes are made."""
+    parts = with_url_parts(links.select("*", F.regexp_extract("url", r"^(.*?)://", 1).alias("scheme")), F.col("url"))
     base = F.concat("scheme", F.lit("://"), "host")
     folder = F.regexp_extract("path", r"^(.*/)", 1)
     target = F.col("target")
@@ -77,7 +102,7 @@ def with_target_url(links: DataFrame) -> DataFrame:
         .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
         .otherwise(F.concat(base, F.when(F.startswith("path", F.lit("/")), folder).otherwise("/"), target))
     )
-    return parts.select("url", to.alias("to"))
+    return parts.select(*links.columns, to.alias("to"))
 
 
 def own_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
@@ -96,9 +121,13 @@ def own_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 def alias_edges(pages: DataFrame) -> DataFrame:
     """Edges (a, b) between urls that a redirect or canonical link declares to be the same."""
     marked = pages.where(F.col("html").rlike(r"(?i)canonical|refresh"))
-    linked = marked.select("url", F.explode(link_targets(F.col("html"))).alias("target"))
+    linked = marked.select("url", base_target(F.col("html")).alias("base"), F.explode(link_targets(F.col("html"))).alias("target"))
     linked = stored(linked, "url-links")
-    return node_edges(with_target_url(linked).select(F.col("url").alias("a"), F.col("to").alias("b")))
+    # A base element, which may be relative to its page, is where relative targets start from.
+    bases = with_target_url(linked.withColumnsRenamed({"url": "page", "target": "link"}).withColumnsRenamed({"base": "target"}).withColumn("url", F.col("page")))
+    start = F.when(F.col("target") != "", F.coalesce("to", "page")).otherwise(F.col("page"))
+    found = with_target_url(bases.select("page", start.alias("url"), F.col("link").alias("target")))
+    return node_edges(found.select(F.col("page").alias("a"), F.col("to").alias("b")))
 
 
 def node_edges(edges: DataFrame) -> DataFrame:
