@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoloom.llm import arrowtext
+from chronoloom.llm.mixing import n_words
 from chronoloom.llm.stored import stored
 
 MEAN_BITS = 5
@@ -230,7 +231,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, passage_words
     own = runs.join(texts.select("text_key", F.col("text_doc").alias("doc_id")), "text_key")
     keepers = texts.select(F.col("text_key").alias("keep_key"), F.col("text_doc").alias("keep_doc_id"))
     parts_of = own.join(keepers, "keep_key").select("doc_id", "start", "end", "n_words", "keep_doc_id", (F.col("text_key") == F.col("keep_key")).alias("kept"))
-    copies = keyed.select("doc_id", "text_key", F.size(F.split(F.trim("text"), r"[\x20\x09-\x0D]+")).cast("long").alias("n_words")).where(F.col("n_words") >= min_words)
+    copies = keyed.select("doc_id", "text_key", n_words(F.col("text")).alias("n_words")).where(F.col("n_words") >= min_words)
     copied = copies.join(texts.where("n > 1"), "text_key").select(
         "doc_id", F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("end"), "n_words", F.col("text_doc").alias("keep_doc_id"), F.expr("doc_id <=> text_doc").alias("kept")
     )
