@@ -1,12 +1,14 @@
 """Main text of web pages through wrappers inferred for each host.
 
-A wrapper is a union-free regular expression over the tokens of a host's pages: tags, text slots, optional groups and repeated
+A wrapper is a union-free regular expression over the tokens of a host's pages: tags, text, optional groups and repeated
 groups, and no alternatives. Tags nest, so it is kept as a tree of groups; each level of a page is aligned with the same level
-of the wrapper, token by token.
+of the wrapper, token by token. Text that all pages of the host agree on is part of the template; text that differs is a slot. Where a
+host marks its articles, the wrapper says where they are; elsewhere its slots do: the main text is what the pages do not share.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 from chronoloom.llm import arrowtext
 from chronoloom.llm.stored import stored
+from chronoloom.llm.tasks import tidy
 from chronoloom.llm.urls import with_url_parts
 
 HOSTS_AT_ONCE = 512
@@ -65,21 +68,39 @@ _MAIN_TAGS = {"article", "main"}
 _MAIN_WORDS = {"articlebody", "main", "article"}
 
 
+TEMPLATE_PAGES = 3
+"""Pages, at least, that a text must be equal on to count as part of the template."""
+
+
 class Node:
-    """An element of a page or a group of a wrapper; ``label`` "#" is text."""
+    """An element of a page or a group of a wrapper; ``label`` "#" is text.
+
+    ``pages`` counts the pages that have the group, ``size`` their text in it. ``said`` is the hash of a text that they agree on, None where they differ.
+    ``text`` of a wrapper's group says what ``choose`` made of it: "main", or "own" for main text less the template's.
+    """
 
-    __slots__ = ("label", "children", "text", "optional", "repeated", "size", "pages")
+    __slots__ = ("label", "children", "text", "optional", "repeated", "size", "pages", "said")
 
-    def __init__(self, label: str, children=None, text: str = "", optional: bool = False, repeated: bool = False, size: int = 0, pages: int = 1):
+    def __init__(self, label: str, children=None, text: str = "", optional: bool = False, repeated: bool = False, size: int = 0, pages: int = 1, said: int | None = None):
         self.label, self.children, self.text = label, children if children is not None else [], text
-        self.optional, self.repeated, self.size, self.pages = optional, repeated, size, pages
+        self.optional, self.repeated, self.size, self.pages, self.said = optional, repeated, size, pages, said
 
     def packed(self) -> list:
-        return [self.label, int(self.optional), int(self.repeated), self.size, self.pages, [c.packed() for c in self.children]]
+        return [self.label, int(self.optional), int(self.repeated), self.size, self.pages, self.said, [c.packed() for c in self.children]]
 
     @staticmethod
     def unpacked(data: list) -> Node:
-        return Node(data[0], [Node.unpacked(c) for c in data[5]], "", bool(data[1]), bool(data[2]), data[3], data[4])
+        return Node(data[0], [Node.unpacked(c) for c in data[6]], "", bool(data[1]), bool(data[2]), data[3], data[4], data[5])
+
+    @property
+    def template(self) -> bool:
+        """Text that enough pages have, all of them the same."""
+        return self.said is not None and self.pages >= TEMPLATE_PAGES
+
+
+def said(text: str) -> int:
+    """A hash of a text with its white space made one space."""
+    return int.from_bytes(hashlib.blake2b(" ".join(text.split()).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
 
 def _label(name: str, attrs: str) -> str:
@@ -166,21 +187,40 @@ def parse(page: str) -> Node:
 def fold(node: Node) -> Node:
     """A page's tree as a wrapper: neighbours with one label become one repeated group, text a slot with its length."""
     if node.label == "#":
-        return Node("#", size=len(node.text.strip()))
+        return Node("#", size=len(node.text.strip()), said=said(node.text))
     out: list[Node] = []
+    for run in runs(node):
+        if run[0].label == "#":
+            out.append(fold(Node("#", text="".join(c.text for c in run))))
+            continue
+        folded = fold(run[0])
+        for child in run[1:]:
+            folded = merge(folded, fold(child), one_page=True)
+            folded.repeated = True
+        if len(run) > 1:
+            _one_page(folded)
+        out.append(folded)
+    return Node(node.label, out)
+
+
+def runs(node: Node) -> list[list[Node]]:
+    """The children of a page's element, neighbours with one label together, text without any left out."""
+    out: list[list[Node]] = []
     for child in node.children:
         if child.label == "#" and not child.text.strip():
             continue
-        folded = fold(child)
-        if out and out[-1].label == folded.label:
-            if folded.label == "#":
-                out[-1].size += folded.size
-            else:
-                out[-1] = merge(out[-1], folded)
-                out[-1].repeated, out[-1].pages = True, 1
+        if out and out[-1][0].label == child.label:
+            out[-1].append(child)
         else:
-            out.append(folded)
-    return Node(node.label, out)
+            out.append([child])
+    return out
+
+
+def _one_page(node: Node) -> None:
+    """A group merged from neighbours of one page is still that page's."""
+    node.pages = 1
+    for child in node.children:
+        _one_page(child)
 
 
 def align(left: list[str], right: list[str]) -> list[tuple[int, int]]:
@@ -209,8 +249,11 @@ def align(left: list[str], right: list[str]) -> list[tuple[int, int]]:
     return pairs + [(len(left) - k, len(right) - k) for k in range(high, 0, -1)]
 
 
-def merge(left: Node, right: Node) -> Node:
-    """The wrapper of both. Tokens that only one has become optional groups; neighbours that then have one label, a repeated group; texts share a slot."""
+def merge(left: Node, right: Node, one_page: bool = False) -> Node:
+    """The wrapper of both. Tokens that only one has become optional groups; neighbours that then have one label, a repeated group; texts share a slot.
+
+    Of ``one_page`` the texts of a repeated group count as one text, so that copies of a page agree in all they say.
+    """
     children: list[Node] = []
     at_left = at_right = 0
     pairs = align([c.label for c in left.children], [c.label for c in right.children])
@@ -219,16 +262,19 @@ def merge(left: Node, right: Node) -> Node:
             only.optional = True
             children.append(only)
         if i < len(left.children):
-            children.append(merge(left.children[i], right.children[j]))
+            children.append(merge(left.children[i], right.children[j], one_page))
         at_left, at_right = i + 1, j + 1
     joined: list[Node] = []
     for child in children:
         if joined and joined[-1].label == child.label:
-            joined[-1] = merge(joined[-1], child)
+            joined[-1] = merge(joined[-1], child, one_page)
             joined[-1].repeated = child.label != "#"
         else:
             joined.append(child)
-    return Node(left.label, joined, "", left.optional or right.optional, left.repeated or right.repeated, left.size + right.size, left.pages + right.pages)
+    agreed = left.said if left.said == right.said else None
+    if one_page and left.said is not None and right.said is not None:
+        agreed = said(f"{left.said} {right.said}")
+    return Node(left.label, joined, "", left.optional or right.optional, left.repeated or right.repeated, left.size + right.size, left.pages + right.pages, agreed)
 
 
 def outside(label: str) -> bool:
@@ -246,33 +292,60 @@ def _text_size(node: Node) -> int:
     return node.size if node.label == "#" else 0 if outside(node.label) else sum(_text_size(c) for c in node.children)
 
 
+def _own_size(node: Node) -> int:
+    """Text of a group that is not the template's; all of it where too few pages were seen to tell."""
+    if node.label == "#":
+        return 0 if node.template else node.size
+    return 0 if outside(node.label) else sum(_own_size(c) for c in node.children)
+
+
+_PLAIN = {"#", "p", "pre", "blockquote", "ul", "ol", "table", "h1", "h2", "h3", "h4", "b", "i", "em", "strong", "a", "span", "br", "dl"}
+
+
 def choose(wrapper: Node) -> None:
-    """Mark the groups of a wrapper that hold the main text (their ``text`` is "main").
+    """Mark the groups of a wrapper that hold the main text.
 
-    These are the outermost article and main elements in which slots hold text, and without any, the group whose own paragraphs hold most of it.
+    These are the outermost article and main elements with text (``text`` "main"). Without any, the slots decide: the group whose own paragraphs hold most of
+    the text that pages do not share, and the groups beside it that hold some such text too (``text`` "own"); a group that a minority of the
+    pages have is beside it only where it holds as much text on these pages as a paragraph does.
     """
     found: list[Node] = []
-    best: list[tuple[int, Node]] = []
+    best: list[tuple[int, Node, Node | None]] = []
 
-    def walk(node: Node, page_header: bool) -> None:
-        if outside(node.label) or node.label.split(".")[0] == "header" and not page_header:
+    def walk(node: Node, parent: Node | None) -> None:
+        if outside(node.label) or node.label.split(".")[0] == "header":
             return
         if _is_main(node.label) and _text_size(node):
             found.append(node)
             return
-        own = sum(_text_size(c) for c in node.children if c.label.split(".")[0] in ("#", "p", "pre", "blockquote", "ul", "ol", "table", "h1", "h2", "h3", "h4", "b", "i", "em", "strong", "a", "span", "br", "dl"))
-        best.append((own, node))
+        best.append((sum(_own_size(c) for c in node.children if c.label.split(".")[0] in _PLAIN), node, parent))
         for child in node.children:
-            walk(child, page_header)
+            walk(child, node)
 
-    walk(wrapper, False)
+    walk(wrapper, None)
     if found:
         inner = [n for f in found if f.label.split(".")[0] != "article" for n in _articles(f)]
         mains = [f for f in found if f.label.split(".")[0] == "article"] + inner
         for node in mains or found:
             node.text = "main"
     elif best and (top := max(best, key=lambda x: x[0]))[0]:
-        top[1].text = "main"
+        _, chosen, parent = top
+        beside = [chosen] if parent is None else [c for c in parent.children if c is chosen or _goes_beside(c, chosen)]
+        for node in beside:
+            node.text = "own"
+
+
+PARAGRAPH = 40
+"""Characters a page that a group beside the main one holds, if not most pages have it."""
+
+
+def _goes_beside(node: Node, chosen: Node) -> bool:
+    """Whether a neighbour of the chosen group is main text as well."""
+    name = node.label.split(".")[0]
+    if name in ("#", "header") or outside(node.label) or not _own_size(node):
+        return False
+    common = 2 * node.pages >= chosen.pages and not (node.optional and node.repeated)
+    return common or _own_size(node) >= PARAGRAPH * node.pages
 
 
 def _articles(node: Node) -> list[Node]:
@@ -291,7 +364,8 @@ def extract(page: Node, wrapper: Node) -> list[str]:
     """Blocks of a page's main text, by aligning the page with its host's wrapper and reading the slots of the marked groups."""
     blocks: list[list[str]] = [[]]
 
-    def read(node: Node) -> None:
+    def read(node: Node, group: Node | None = None) -> None:
+        """Read an element; with its ``group``, without text that is the template's."""
         if node.label == "#":
             blocks[-1].append(node.text)
             return
@@ -305,25 +379,28 @@ def extract(page: Node, wrapper: Node) -> list[str]:
         block = name in _BLOCK
         if block:
             blocks.append([])
-        for child in node.children:
-            read(child)
+        if group is None:
+            for child in node.children:
+                read(child)
+        else:
+            together = runs(node)
+            found = dict(align([r[0].label for r in together], [c.label for c in group.children]))
+            for k, run in enumerate(together):
+                known = group.children[found[k]] if k in found else None
+                if known is not None and known.template and known.said == said("".join(c.text for c in run)):
+                    continue
+                for child in run:
+                    read(child, known if child.label != "#" else None)
         if block:
             blocks.append([])
 
     def descend(node: Node, group: Node) -> None:
-        if group.text == "main":
-            read(node)
+        if group.text:
+            read(node, group if group.text == "own" else None)
             return
-        runs: list[list[Node]] = []  # neighbours with one label stand for one repeated group
-        for child in node.children:
-            if child.label == "#" and not child.text.strip():
-                continue
-            if runs and runs[-1][0].label == child.label:
-                runs[-1].append(child)
-            else:
-                runs.append([child])
-        for i, j in align([r[0].label for r in runs], [c.label for c in group.children]):
-            for child in runs[i]:
+        together = runs(node)  # neighbours with one label stand for one repeated group
+        for i, j in align([r[0].label for r in together], [c.label for c in group.children]):
+            for child in together[i]:
                 if child.label != "#":
                     descend(child, group.children[j])
 
@@ -378,7 +455,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     Pages are merged where they are read, then wrappers in SPREAD groups a host, then per host; so a host with a third of all pages sends
     one wrapper a task and no task gathers its pages.
     """
-    partial = pages.mapInArrow(_infer, "host string, wrapper string")
+    partial = pages.mapInArrow(tidy(_infer), "host string, wrapper string")
     spread = partial.withColumn("spread", F.pmod(F.xxhash64("wrapper"), F.lit(SPREAD)))
     some = spread.groupBy("host", "spread").applyInPandas(_merged, "host string, wrapper string")
     return some.groupBy("host").applyInPandas(_merged, "host string, wrapper string")
@@ -404,8 +481,8 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """Main text of every row of ``pages(page_id, url, html)``: page_id, url, text, n_chars.
 
-    The host's wrapper tells which groups of a page hold its main text: articles, or else the group with the most text in its own
-    paragraphs; menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments within are left out.
+    The host's wrapper tells which groups of a page hold its main text: articles, or else the groups with the most text that the host's pages do not
+    share, without what they do share (``choose``); menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments within are left out.
     Character references are decoded, white space in a block is one space, blocks are joined by two newlines. ``n_chars`` counts code points.
 
     Null and empty html has an empty text. Pages without a host, such as null urls, share a wrapper. A page with no place in its host's wrapper is read
@@ -414,4 +491,4 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     named = with_url_parts(pages.select("page_id", "url", "html"), F.col("url")).select("page_id", "url", "html", "host")
     wrappers = stored(infer_wrappers(named.select("host", "html")), "page-wrappers")
     joined = named.join(wrappers, "host", "left").select("page_id", "url", "html", "wrapper")
-    return joined.mapInArrow(_texts, "page_id long, url string, text string, n_chars long")
+    return joined.mapInArrow(tidy(_texts), "page_id long, url string, text string, n_chars long")

@@ -229,3 +229,46 @@ def test_pipeline_stages(spark, sf_dir):
     assert copies == Counter({r.doc_id: r.copies for r in mixing.mix_sources(kept[3]).collect() if r.copies})
     assert Counter(r.doc_id for r in tables[5]) == copies and all(len(r.ids) == r.n_tokens for r in tables[5])
     assert sorted(map(tuple, pipeline.run(spark, sf_dir).select("doc_id", "n_tokens").collect())) == sorted((r.doc_id, r.n_tokens) for r in tables[5])
+
+
+def _plain_page(k: int, extra: str = "") -> str:
+    body = "".join(f"<p>Paragraph {k}-{i} tells of matter {k * 7 + i} at some length, as paragraphs do.</p>" for i in range(2 + k % 3))
+    return (
+        "<html><body><div class='wrap'><div class='strap'>The Example Gazette has been printed daily in this town since the year 1901, for all who read.</div>"
+        f"<div class='lead'>Lead of story {k}, told in one line.</div><div class='copy'><h2>Story {k}</h2><div class='stamp'>Reprinted by kind permission of the Example Gazette and its owners.</div>"
+        f"{body}</div>{extra}<div class='fine'>Terms of the Example Gazette apply to this and every other page, wherever it is read.</div></div></body></html>"
+    )
+
+
+def test_slots_of_a_host_without_articles(spark):
+    """What all pages of a host say is no main text, though its place and its class words do not tell; a page read alone cannot know."""
+    rows = [(k, f"http://gazette.example/{k}", _plain_page(k)) for k in range(7)]
+    rows.append((50, "http://lone.example/1", _plain_page(50)))
+    rows += [(60 + k, f"http://same.example/{k}", _plain_page(60)) for k in range(4)]  # copies: nothing differs, so nothing is told apart
+    got = {r.page_id: r.text for r in wrappers.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(7):
+        paragraphs = [f"Paragraph {k}-{i} tells of matter {k * 7 + i} at some length, as paragraphs do." for i in range(2 + k % 3)]
+        assert got[k] == "\n\n".join([f"Lead of story {k}, told in one line.", f"Story {k}", *paragraphs])
+        assert wrappers.main_text(_plain_page(k), None) != got[k]
+    for k in (50, 60, 61, 62, 63):
+        story = min(k, 60)
+        assert f"Lead of story {story}" in got[k] and f"Paragraph {story}-0" in got[k]
+    assert "Reprinted" in got[50] and "Reprinted" in got[60]
+
+
+def test_optional_groups_beside_the_main_one(spark):
+    """A group that few pages have is main text where it holds a paragraph of its own."""
+    note = "<div class='box'>A correction to story 3: the bridge was opened in May, not in June of that year.</div>"
+    rows = [(k, f"http://gazette.example/{k}", _plain_page(k, note if k == 3 else "<div class='tick'>ok</div>" if k == 4 else "")) for k in range(9)]
+    got = {r.page_id: r.text for r in wrappers.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3].endswith("the bridge was opened in May, not in June of that year.")
+    assert got[4].endswith("as paragraphs do.")
+
+
+def test_pages_of_one_page_are_counted_once():
+    folded = wrappers.fold(wrappers.parse("<div><p>same</p><p>same</p><p>same</p><p>same</p></div>")).children[0].children[0]
+    assert folded.repeated and folded.pages == 1 and not folded.children[0].template
+    three = [wrappers.fold(wrappers.parse(f"<p>same</p><b>{k}</b>")) for k in range(3)]
+    merged = wrappers.merge(wrappers.merge(three[0], three[1]), three[2])
+    assert [c.children[0].template for c in merged.children] == [True, False]
+    assert wrappers.Node.unpacked(merged.packed()).packed() == merged.packed()
