@@ -1027,12 +1027,13 @@ def json_roundtrip(spark, sf_dir):
 
 @query
 def json_mixed_layouts(spark, sf_dir):
-    """JSON lines and a file that holds one array, read together."""
+    """JSON lines and files that hold one array each, of a thousand keys, read together."""
     customers = table(spark, sf_dir, "customer")
     path = scratch_path(spark, "customers")
     files.write_json(customers.where("c_nationkey <> 0"), f"{path}/lines.json")
-    array = customers.where("c_nationkey = 0").agg(F.to_json(F.collect_list(F.struct(*customers.columns))).alias("value"))
-    array.coalesce(1).write.text(f"{path}/array.json")
+    part = F.floor(F.col("c_custkey") / 1000).alias("part")
+    arrays = customers.where("c_nationkey = 0").groupBy(part).agg(F.to_json(F.collect_list(F.struct(*customers.columns))).alias("value"))
+    arrays.write.partitionBy("part").text(f"{path}/array.json")
     return files.read_json(spark, [f"{path}/array.json", f"{path}/lines.json"], customers.schema)
 
 
