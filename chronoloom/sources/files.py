@@ -65,7 +65,7 @@ def file_name(column: str = "_metadata.file_path") -> Column:
 
 def _by_layout(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
     """Files that hold one array, and the others, of files and folders. An array's file starts with a bracket."""
-    named = spark.read.text(paths).select(file_name().alias("file"), F.ltrim("value").alias("line"), F.monotonically_increasing_id().alias("at"))
+    named = spark.read.option("recursiveFileLookup", True).text(paths).select(file_name().alias("file"), F.ltrim("value").alias("line"), F.monotonically_increasing_id().alias("at"))
     # Names and first characters only, one row a file.
     first = named.where("line <> ''").groupBy("file").agg(F.min_by(F.substring("line", 1, 1), "at").alias("mark"))
     marks = {row["file"]: row["mark"] for row in first.collect()}

@@ -477,13 +477,13 @@ FROM (SELECT *, 1 / (1 + 0.3275911 * x) AS t FROM (SELECT *, abs(score) / sqrt(2
   count(DISTINCT (bucket, _field)) AS n_rows, 'bucket,_field' AS keys, 'stages.py' AS file FROM points""")
     wide = f"""(SELECT bucket, _time, {", ".join(f"max(_value) FILTER (_field = '{f}') AS {f}" for f in FIELDS)}
   FROM ({windows('1 hour', 'bucket, _field', 'avg(_value) AS _value')}) GROUP BY ALL)"""
-    shown = lambda f: f"""SELECT '{f}' AS "column", 'double' AS dtype, count({f}) AS "count", round(avg({f}), 5) AS mean, round(stddev_samp({f}), 5) AS std,
+    described = lambda f: f"""SELECT '{f}' AS "column", 'double' AS dtype, count({f}) AS "count", round(avg({f}), 5) AS mean, round(stddev_samp({f}), 5) AS std,
   round(min({f}), 5) AS "min", round(quantile_cont({f}, 0.25), 5) AS q25, round(quantile_cont({f}, 0.5), 5) AS q50, round(quantile_cont({f}, 0.75), 5) AS q75,
   round(max({f}), 5) AS "max" FROM {wide}"""
     other = [f"SELECT '{c}' AS \"column\", '{t}' AS dtype" for c, t in (("bucket", "string"), ("_time", "timestamp_ntz"))]
     some = " OR ".join(f"{f} IS NULL" for f in FIELDS)
     other.append(f"SELECT 'incomplete rows' AS \"column\", count(*) AS \"count\" FROM {wide} WHERE {some}")
-    sql["result_view"] = from_points(" UNION ALL BY NAME ".join([*map(shown, FIELDS), *other]))
+    sql["result_view"] = from_points(" UNION ALL BY NAME ".join([*map(described, FIELDS), *other]))
     kinds = {"o_orderkey": "BIGINT", "o_custkey": "BIGINT", "o_orderstatus": "TEXT", "o_totalprice": "FLOAT", "o_orderdate": "TIMESTAMP", "o_orderpriority": "TEXT"}
     sql["sql_types"] = " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", '{t}' AS sql_type, count(*) AS n_rows, count(*) - count({c}) AS n_nulls FROM orders" for c, t in kinds.items()
