@@ -105,7 +105,7 @@ def test_bpe_is_the_library(library):
 
 
 def test_bpe_forgets_words_without_harm(library, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED_WORDS", 3)
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 1200)
     ours = bpe.WordBpe(library[1])
     text = "one two three four five six one two seven one"
     assert ours.encode(text) == library[0].encode(text, add_special_tokens=False).ids
