@@ -371,6 +371,8 @@ def rank_documents(
         if not own:
             continue
         queries = read_queries([row.id for row in own], [row.text for row in own])
+        if not len(queries.vocabulary):
+            continue
         statistics = corpus_statistics(docs, queries)
         index = stored(build_index(docs, queries, statistics), "lexical-index", **{"parquet.block.size": str(8 << 20)})
         names = spark.createDataFrame([(at, row.id) for at, row in enumerate(own)], T.StructType([T.StructField("query", T.LongType()), T.StructField("item", kind)]))

@@ -118,6 +118,7 @@ def test_search_of_nothing(spark):
     assert [tuple(r) for r in lexical.rank_documents(docs, items).select("item_id", "rank", "doc_id").collect()] == [(1, 1, 1)]
     assert lexical.rank_documents(docs.limit(0), items).collect() == []
     assert lexical.rank_documents(docs, items.limit(0)).collect() == []
+    assert lexical.rank_documents(docs, spark.createDataFrame([(1, "!? ..")], items.schema)).collect() == []
     assert lexical.rank_documents(docs.where("false"), items).columns == ["item_id", "rank", "doc_id", "score"]
     with pytest.raises(ValueError):
         lexical.rank_documents(docs.select(F.col("doc_id").cast("string"), "text"), items)
@@ -185,6 +186,7 @@ def test_products_of_nothing(spark):
     assert pivots.nearest_by_product(table, asks).collect() == []
     assert pivots.nearest_by_product(table.limit(0), asks).collect() == []
     assert pivots.nearest_by_product(table, F.lit(False)).columns == ["query_id", "rank", "vec_id", "score"]
+    assert pivots.nearest_by_product(spark.createDataFrame([(i, []) for i in (0, 1)], "vec_id long, embedding array<float>"), asks).count() == 1
     alike = spark.createDataFrame([(i, [0.0, 0.0]) for i in range(120)], "vec_id long, embedding array<float>")
     found = pivots.nearest_by_product(alike, asks).collect()
     assert sorted(tuple(r)[1:] for r in found if r.query_id == 0) == [(r, r, 0) for r in range(1, 6)]
