@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,16 +43,18 @@ def disk_state(spark: SparkSession) -> Iterator[None]:
 
 
 class LimitedFill(StatefulProcessor):
-    """Forward, then backward fill by at most ``limit`` rows, a row given out once.
+    """Forward, then backward fill by at most ``limit`` rows, a row given out once, for all groups of a share of them together.
 
-    A row's fill depends on ``limit`` rows before it and ``limit`` after it. The state of a series is therefore its last
+    A row's fill depends on ``limit`` rows before it and ``limit`` after it. The state of a group is therefore its last
     ``2 * limit`` rows at most, as they came, each with a mark whether it was given out. A row is final once all its fields are filled
-    or ``limit`` later rows are there. With ``patience`` a timer runs from the newest row: when the watermark passes it, the series is
-    taken to have ended, its waiting rows are final as they are, and its state goes.
+    or ``limit`` later rows are there. With ``patience`` a group whose newest row the watermark has passed by so much is
+    taken to have ended, its waiting rows are final as they are, and its state goes; a share's timer runs to the first such end.
     """
 
-    def __init__(self, order: Sequence[str], fields: Sequence[str], limit: int, schema: T.StructType, patience: int | None) -> None:
-        self.columns, self.order, self.fields = schema.fieldNames(), list(order), list(fields)
+    def __init__(
+        self, group: Sequence[str], order: Sequence[str], fields: Sequence[str], limit: int, schema: T.StructType, patience: int | None
+    ) -> None:
+        self.columns, self.group, self.order, self.fields = schema.fieldNames(), list(group), list(order), list(fields)
         self.limit, self.schema, self.patience = limit, schema, patience
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -62,36 +65,65 @@ class LimitedFill(StatefulProcessor):
         rows = pd.DataFrame(list(self.held.get()), columns=[*self.columns, _SENT])
         return rows.astype({field: "float64" for field in self.fields})
 
-    def _filled(self, rows: pd.DataFrame) -> pd.DataFrame:
+    def _hold(self, rows: pd.DataFrame) -> None:
+        plain = rows.astype(object).where(rows.notna(), None)
+        self.held.put(list(plain.itertuples(index=False, name=None)))
+
+    def _numbers(self, rows: pd.DataFrame) -> np.ndarray:
+        return rows.groupby(self.group, dropna=False, sort=False).ngroup().to_numpy()
+
+    def _filled(self, rows: pd.DataFrame, numbers: np.ndarray) -> pd.DataFrame:
         values = rows[self.fields].astype("float64")
-        return values.ffill(limit=self.limit).bfill(limit=self.limit) if self.limit else values
+        if not self.limit:
+            return values
+        return values.groupby(numbers).ffill(limit=self.limit).groupby(numbers).bfill(limit=self.limit)
 
     def _out(self, rows: pd.DataFrame, filled: pd.DataFrame, chosen) -> pd.DataFrame:
         return pd.concat([rows.drop(columns=[*self.fields, _SENT]), filled], axis=1)[chosen][self.columns]
 
+    def _ends(self, rows: pd.DataFrame, numbers: np.ndarray) -> pd.Series:
+        """For each row the watermark, in milliseconds, at which its group has ended."""
+        return (rows[self.order[0]].groupby(numbers).transform("max") + self.patience).astype("int64") * 1000
+
+    def _set_timer(self, ends: pd.Series, timerValues) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if len(ends):
+            self.handle.registerTimer(max(int(ends.min()), timerValues.getCurrentWatermarkInMs() + 1))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         arrived = pd.concat(list(rows), ignore_index=True)[self.columns]
         held = self._held()
         new = arrived.sort_values(self.order, kind="stable").assign(**{_SENT: False})
         frame = pd.concat([held, new], ignore_index=True) if len(held) else new.reset_index(drop=True)
-        filled = self._filled(frame)
-        far = pd.Series(range(len(frame), 0, -1)) > self.limit  # as many rows come after it
-        final = ~frame[_SENT].astype(bool) & (filled.notna().all(axis=1) | far)
-        frame[_SENT] = frame[_SENT].astype(bool) | final
-        kept = frame.tail(max(2 * self.limit, 1))
-        self.held.put([tuple(None if pd.isna(v) else v for v in row) for row in kept.itertuples(index=False, name=None)])
+        numbers = self._numbers(frame)
+        filled = self._filled(frame, numbers)
+        after = frame.groupby(numbers).cumcount(ascending=False)  # as many rows of the group come after it
+        final = ~frame[_SENT].astype(bool) & (filled.notna().all(axis=1) | (after >= self.limit))
+        kept = after < max(2 * self.limit, 1)
         if self.patience is not None:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            newest = int(frame[self.order[0]].max()) * 1000
-            self.handle.registerTimer(max(newest + self.patience * 1000, timerValues.getCurrentWatermarkInMs() + 1))
+            ends = self._ends(frame, numbers)
+            silent = ~(pd.Series(frame.index >= len(held)).groupby(numbers).transform("any"))
+            over = silent & (ends <= timerValues.getCurrentWatermarkInMs())  # rows of other groups have come in the timer's stead
+            final, kept = final | (over & ~frame[_SENT].astype(bool)), kept & ~over
+            self._set_timer(ends[kept], timerValues)
+        frame[_SENT] = frame[_SENT].astype(bool) | final
+        self._hold(frame[kept])
         yield self._out(frame, filled, final)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         frame = self._held()
-        self.held.clear()
-        if len(frame):
-            yield self._out(frame, self._filled(frame), ~frame[_SENT].astype(bool))
+        if not len(frame):
+            return
+        numbers = self._numbers(frame)
+        ends = self._ends(frame, numbers)
+        over = ends <= max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        if over.all():
+            self.held.clear()
+        else:
+            self._hold(frame[~over])
+        self._set_timer(ends[~over], timerValues)
+        yield self._out(frame, self._filled(frame, numbers), over & ~frame[_SENT].astype(bool))
 
     def close(self) -> None:
         pass
@@ -107,13 +139,16 @@ def stream_filled(
     temperatures: Sequence[str] = TEMPERATURE_FIELDS,
     patience: str | None = None,
     incomplete: bool = False,
+    shares: int = 512,
 ) -> DataFrame:
     """Short gaps of a streamed grid filled as they close: the stream of the rows of ``complete_grid``, each of them once.
 
     ``grid`` gives its rows in time order from batch to batch, as ``stream_grid`` does. The result equals the batch fill of all grid rows seen
     so far, whatever the batches are. ``incomplete`` also passes on rows that stay incomplete, once they are final. ``patience`` needs
     a watermark on the grid and ends a series that has been silent for so long. State is ``2 * fill_limit`` rows for each
-    system (``fill_scope="system"``) or series. Start the stream within ``disk_state``.
+    system (``fill_scope="system"``) or series. Systems or series are dealt by hash into ``shares``, each of which is one key of the state and
+    filled in one go, as a call for every series costs more than its rows; the number stays the same for the life of a checkpoint.
+    Start the stream within ``disk_state``.
     """
     if fill_scope not in ("system", "series"):
         raise ValueError(f"unknown fill scope {fill_scope!r}")
@@ -122,10 +157,11 @@ def stream_filled(
     columns = [TIME, *keys, *fields]
     plain = {c: f"c{i}" for i, c in enumerate(columns)}  # workers get rows as named tuples, which rename a leading underscore
     rows = grid.select(*[F.col(c).alias(name) for c, name in plain.items()])
+    dealt = rows.withColumn("share", F.pmod(F.xxhash64(*[plain[c] for c in group]), F.lit(shares)))
     seconds = duration_seconds(patience) if patience is not None else None
     find_package(grid.sparkSession)  # the state's class is loaded in the workers
-    processor = LimitedFill([plain[c] for c in order], [plain[c] for c in fields], fill_limit, rows.schema, seconds)
+    processor = LimitedFill([plain[c] for c in group], [plain[c] for c in order], [plain[c] for c in fields], fill_limit, rows.schema, seconds)
     mode = "None" if seconds is None else "EventTime"
-    filled = rows.groupBy(*[plain[c] for c in group]).transformWithStateInPandas(processor, rows.schema, "Append", mode).toDF(*columns)
+    filled = dealt.groupBy("share").transformWithStateInPandas(processor, rows.schema, "Append", mode).toDF(*columns)
     narrowed = [narrow_value(F.col(f), narrow, f in temperatures).alias(f) for f in fields]
     return (filled if incomplete else complete_rows(filled, list(fields))).select(TIME, *keys, *narrowed)

@@ -126,6 +126,49 @@ def test_silent_series_end(spark, tmp_path):
     assert made.where("system_id = 'live'").count() == made.where("system_id = 'live'").distinct().count() >= 35
 
 
+@pytest.mark.parametrize("scope, limit, shares", [("series", 1, 3), ("series", 2, 1), ("system", 2, 2)])
+def test_many_series_are_filled_in_shares(spark, tmp_path, scope, limit, shares):
+    """The state has a key for each share and not for each series; a share's series, some of them without a floor, are filled apart."""
+    rng = np.random.default_rng(5)
+    folder, rows = str(tmp_path / "in"), []
+    for i in range(3000):
+        unit = int(rng.integers(60))
+        at = T0 + timedelta(seconds=i * 12 + int(rng.integers(100)))
+        rows.append((at, str(unit % 7), None if unit % 3 else "f", str(unit), str(rng.choice(["a", "b"])), float(rng.integers(100))))
+    for part in range(3):
+        spark.createDataFrame(rows[part * 1000 : (part + 1) * 1000], SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    batch = spark.createDataFrame(rows, SCHEMA).fillna("none", "floor")
+    stream = lambda: stream_grid(read_stream(spark, folder, batch.schema, files_per_batch=1).fillna("none", "floor"), ["a", "b"], KEYS)
+    unnamed = stream().withColumn("floor", F.nullif("floor", F.lit("none")))
+    with disk_state(spark):
+        run_available(stream_filled(unnamed, ["a", "b"], KEYS, limit, scope, shares=shares), str(tmp_path / "filled"))
+    run_available(stream(), str(tmp_path / "grid"))
+    wanted = complete_grid(streamed_table(spark, str(tmp_path / "grid")), ["a", "b"], KEYS, limit, scope).collect()
+    ours = streamed_table(spark, str(tmp_path / "filled")).fillna("none", "floor").collect()
+    assert sorted(map(tuple, ours)) == sorted(map(tuple, wanted)) and len(ours) > 100
+    state = spark.read.format("statestore").option("operatorId", 0).option("stateVarName", "held").load(str(tmp_path / "filled" / "checkpoint"))
+    assert 0 < state.select("key").distinct().count() <= shares
+
+
+def test_a_share_ends_its_silent_series(spark, tmp_path):
+    """A series ends although others of its share go on: their rows replace the share's timer in every batch."""
+    folder = str(tmp_path / "in")
+    live = lambda low, high: [(T0 + timedelta(minutes=5 * i), "s", "f", "live", f, float(i)) for i in range(low, high) for f in "ab"]
+    gone = [(T0 + timedelta(minutes=5 * i), "s", "f", "gone", f, 1.0) for i, f in enumerate("ab")]
+    for rows in (gone + live(0, 3), live(3, 20), live(20, 36), live(36, 50), live(50, 60)):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    grid = stream_grid(read_stream(spark, folder, spark.read.parquet(folder).schema, files_per_batch=1), ["a", "b"], KEYS, "10s", "5m")
+    with disk_state(spark):
+        out = stream_filled(grid, ["a", "b"], KEYS, 1, "series", patience="30m", incomplete=True, shares=1)
+        run_available(out, str(tmp_path / "out"))
+    made = streamed_table(spark, str(tmp_path / "out"))
+    start = int((T0 - datetime(1970, 1, 1)).total_seconds())
+    ours = sorted((r["_time"] - start, r["a"], r["b"]) for r in made.where("equipment_number = 'gone'").collect())
+    assert ours == [(0, 1.0, 1.0), (300, 1.0, 1.0)]
+    live_rows = sorted(r["_time"] - start for r in made.where("equipment_number = 'live'").collect())
+    assert live_rows == [300 * i for i in range(len(live_rows))] and len(live_rows) >= 55
+
+
 def test_incomplete_rows_on_request(spark, tmp_path):
     """With the timer a row without a partner is given out as it is, once its series has ended."""
     folder = str(tmp_path / "in")
