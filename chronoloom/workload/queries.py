@@ -1183,9 +1183,12 @@ def stream_window_max(spark, sf_dir):
 
 
 def _arriving(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """The events in files of a week each, written week after week, and the number of files a week."""
+    """The events in files of a week each, written week after week, and the number of files a week.
+
+    As many as the tasks that Spark reads the events with, so that a large file is not dealt to two writers and two readers.
+    """
     events = table(spark, sf_dir, "events")
-    files_a_week = max(2, len(events.inputFiles()))
+    files_a_week = max(2, events.rdd.getNumPartitions())
     path = scratch_path(spark, "arriving")
     for low, high in zip(WEEKS, [*WEEKS[1:], None]):
         week = events.where(F.col("ts") >= F.lit(low)) if low else events

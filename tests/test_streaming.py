@@ -12,6 +12,7 @@ from chronoloom.plans.stages import Centre, CentreModel, sufficient_statistics
 from chronoloom.streaming.fill import disk_state, stream_filled
 from chronoloom.streaming.learn import latest_model, predict_and_partial_fit, predictions
 from chronoloom.streaming.points import read_stream, run_available, stream_grid, stream_windows, streamed_table
+from chronoloom.workload import queries
 
 T0 = datetime(2025, 6, 1)
 SCHEMA = "_time timestamp, system_id string, floor string, equipment_number string, _field string, _value double"
@@ -184,6 +185,20 @@ def test_incomplete_rows_on_request(spark, tmp_path):
         stream_filled(grid, ["a", "b"], KEYS, fill_scope="house")
 
 
+def test_a_large_file_arrives_in_many(spark, sf_dir):
+    """Weeks are written and read by as many tasks as Spark reads the events with, be they one file."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        read_by = spark.read.parquet(f"{sf_dir}/events.parquet").rdd.getNumPartitions()
+        path, files_a_week = queries._arriving(spark, sf_dir)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert files_a_week == read_by > 2
+    arrived = spark.read.parquet(path)
+    assert len(arrived.inputFiles()) == len(queries.WEEKS) * files_a_week  # every batch is a week
+    assert sorted(map(tuple, arrived.collect())) == sorted(map(tuple, spark.read.parquet(f"{sf_dir}/events.parquet").collect()))
+
+
 def empty_model(batch):
     model = CentreModel(sufficient_statistics(batch.limit(0), ["system_id"]))
     model.update(keys=["system_id"])
