@@ -40,7 +40,7 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 def _file_key(path):
     """The part of a file's path that is the table's own: its bucket, measurement and name, as written in paths."""
-    return F.regexp_extract(path, r"([^/]+/[^/]+/[^/]+)$", 1)
+    return F.substring_index(path, "/", -3)
 
 
 def _entries(points: DataFrame) -> DataFrame:
@@ -97,8 +97,8 @@ def series_catalogue(spark: SparkSession, path: str) -> DataFrame:
 
 
 def series_extent(catalogue: DataFrame) -> DataFrame:
-    """Per series its first and last time and its rows."""
-    keys = [c for c in catalogue.columns if c not in (DAY, FIRST, LAST, ROWS)]
+    """Per series its first and last time and its rows, of a catalogue or, without its grouping by day, of the entries themselves."""
+    keys = [c for c in catalogue.columns if c not in (FILE, DAY, FIRST, LAST, ROWS)]
     return catalogue.groupBy(*keys).agg(F.min(FIRST).alias(FIRST), F.max(LAST).alias(LAST), F.sum(ROWS).alias(ROWS))
 
 

@@ -1097,8 +1097,8 @@ def catalogue_discovery(spark, sf_dir):
     series_table.write_points(df.where(f"{TIME} >= '2024-01-12'"), path)
     catalogue.refresh_catalogue(spark, path)
     series_table.replace_buckets(df.where("bucket = 'b2' AND _field <> 'error'"), path)
-    found = catalogue.series_catalogue(spark, path)
-    return catalogue.series_extent(found).select(*SERIES, "first_time", "last_time", "n_rows")
+    entries = catalogue.refresh_catalogue(spark, path)
+    return catalogue.series_extent(entries).select(*SERIES, "first_time", "last_time", "n_rows")
 
 
 @query

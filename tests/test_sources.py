@@ -280,6 +280,23 @@ def test_catalogue_follows_every_write(spark, tmp_path):
     assert [r[0] for r in extent()] == ["new"]
 
 
+def test_extent_of_entries_is_grouped_once(spark, tmp_path):
+    """A table with about as many entries as points: names of files are cut without a pattern, and series are grouped from entries in one shuffle."""
+    path = str(tmp_path / "points of a site")
+    for first in (1, 9):
+        rows = [("b 1", "m", datetime(2025, 6, day), f"x{i}", 1.0, "0") for day in range(first, first + 8) for i in range(5)]
+        series_table.write_points(_series(spark, rows), path)
+        entries = catalogue.refresh_catalogue(spark, path)
+    extent = catalogue.series_extent(entries)
+    by_day = catalogue.series_extent(catalogue.series_catalogue(spark, path))
+    assert extent.columns == by_day.columns and sorted(map(tuple, extent.collect())) == sorted(map(tuple, by_day.collect()))
+    assert extent.count() == 5 and {(r["n_rows"], r["first_time"], r["last_time"]) for r in extent.collect()} == {(16, datetime(2025, 6, 1), datetime(2025, 6, 16))}
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    assert plan(extent).count("HashAggregate") == 2 < plan(by_day).count("HashAggregate")  # partial and final
+    found = catalogue._entries(series_table.scan_points(spark, path))
+    assert "regexp" not in plan(found) and {r["file"].count("/") for r in found.collect()} == {2}
+
+
 def test_points_up_to_an_end(spark, tmp_path):
     path = str(tmp_path / "p")
     times = [datetime(1969, 12, 31), datetime(2025, 6, 1), datetime(2025, 6, 2)]
