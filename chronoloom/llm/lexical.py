@@ -8,7 +8,8 @@ these maxima bounds every score in the block. A search takes a query's lists by
 where this bound stays below the score of the worst document to report so far; the lists that are left are skipped together once the sum of
 their maxima does. All numbers are integers and bounds are never rounded down, so what is skipped cannot belong to the result.
 
-An index is a table of shards, one row each, and any split of it into tasks gives the same result. Terms are told apart by
+An index is a table of shards, one row each, and any split of it into tasks gives the same result. A shard travels as one packed value: its arrays of
+some million numbers would be held by Spark's reader and in Arrow batches for all shards of a task at once. Terms are told apart by
 64-bit hashes.
 """
 
@@ -20,16 +21,21 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoloom.llm import arrowtext
 from chronoloom.llm.stored import stored
+from chronoloom.llm.tasks import tidy
 
 QUERY_BYTES = 1 << 18
 """Text of queries that is searched for at once; more queries are searched for in further blocks."""
 
+TEXT_BYTES = 1 << 19
+"""Text whose words are found at once; bounds a task's memory with some 50 bytes for each."""
+
 SHARD_CELLS = 1 << 22
 """Documents of a shard times terms of the queries, at most; bounds a task's memory."""
 
@@ -42,12 +48,28 @@ SKETCH = 32
 PAIRS = 1 << 22
 """Pairs of terms used together for which summaries are cut to what is asked for; beyond, they hold all terms."""
 
+STORAGE = {"compression": "uncompressed", "parquet.block.size": str(8 << 20), "parquet.enable.dictionary": "false", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
+"""How an index is written: packed shards are not packed again, and row groups are cut by size after any row, not after a hundred."""
+
 INDEX = T.StructType(
     [T.StructField("ids", T.ArrayType(T.LongType()))]
     + [T.StructField(name, T.ArrayType(T.IntegerType())) for name in ("doc_first", "doc_terms", "doc_units", "list_terms", "list_most", "list_first", "postings", "block_first", "block_lists", "summaries")]
 )
 
 
+def pack(row: pa.RecordBatch) -> bytes:
+    """The arrays of a shard (see ``INDEX``) as one value."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)) as out:
+        out.write_batch(row)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack(value: pa.Buffer) -> dict[str, pa.Array]:
+    row = pa.ipc.open_stream(value, options=pa.ipc.IpcReadOptions(use_threads=False)).read_next_batch()
+    return {name: row.column(name)[0].values for name in INDEX.fieldNames()}
+
+
 @dataclass
 class Queries:
     """A block of queries over a vocabulary of term hashes; a query is its terms' places in the vocabulary and their repeats."""
@@ -126,7 +148,7 @@ def corpus_statistics(docs: DataFrame, queries: Queries) -> Statistics:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(size + 2, dtype=np.int64)
-        for piece in arrowtext.slices(batches, "text"):
+        for piece in arrowtext.slices(batches, "text", TEXT_BYTES):
             found = _vectors(piece.column("text"), queries)
             sums[:size] += np.bincount(found.term, minlength=size)
             sums[size] += np.count_nonzero(found.size)
@@ -134,7 +156,7 @@ def corpus_statistics(docs: DataFrame, queries: Queries) -> Statistics:
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["place", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select("text").mapInArrow(tidy(count), "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n")).collect()
     sums = {row.place: row.n for row in rows}
     total = sums.get(size, 0)
     weights = [math.floor(1000 * math.log((2 * total + 2) / (2 * sums.get(t, 0) + 1))) for t in range(size)]
@@ -161,7 +183,7 @@ class _Shard:
         at = slice(*np.searchsorted(found.row, [low, high]))
         size = found.size[found.row[at]]
         damped = 100 - 25 + (25 * size * all_docs) // all_terms
-        self.ids.append(ids.slice(low, high - low))
+        self.ids.append(pc.take(ids, pa.array(np.arange(low, high))))  # a slice would hold the whole batch with its texts
         self.rows.append(found.row[at] - low + self.held)
         self.terms.append(found.term[at])
         self.units.append((1_000_000_000 * found.count[at]) // (1000 * found.count[at] + 12 * damped))
@@ -185,7 +207,7 @@ class _Shard:
     def row(self) -> pa.RecordBatch:
         row, term, unit = (np.concatenate(x) for x in (self.rows, self.terms, self.units))
         dense = self._dense(row, term, unit)
-        sketches = (dense * self.statistics.weights.astype(np.float32)) @ self.signs
+        sketches = np.multiply(dense, self.statistics.weights, dtype=np.float32) @ self.signs
         sketches /= np.maximum(np.linalg.norm(sketches, axis=1, keepdims=True), 1e-9)
         order = np.argsort(term, kind="stable")
         postings = row[order]
@@ -212,35 +234,38 @@ class _Shard:
             postings,
             np.concatenate([none, *block_first]),
             np.concatenate([none, *block_lists]),
-            np.concatenate([none, *summaries]),
+            np.concatenate([none.astype(np.int32), *summaries]),
         ]
-        columns = [pa.concat_arrays(self.ids), *[pa.array(x.astype(np.int32)) for x in parts]]
+        columns = [pa.concat_arrays(self.ids), *[pa.array(x.astype(np.int32, copy=False)) for x in parts]]
         listed = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in columns]
         self.clear()
         return pa.RecordBatch.from_arrays(listed, INDEX.fieldNames())
 
 
 def build_index(docs: DataFrame, queries: Queries, statistics: Statistics) -> DataFrame:
-    """The index of all rows of ``docs`` (``id`` long, ``text``) for a block of queries, a row a shard (see ``INDEX``).
+    """The index of all rows of ``docs`` (``id`` long, ``text``) for a block of queries, a row a shard: the value that ``pack`` makes of its arrays (see ``INDEX``).
 
     ``doc_first``, ``doc_terms`` and ``doc_units`` are the documents' vectors, row by row; ``list_first`` cuts ``postings`` into lists and ``block_first``
     into blocks; ``summaries`` holds the blocks' maxima one after the other, each as wide as ``Queries.width`` of its list's term.
     """
 
+    def packed(shard: _Shard) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([pack(shard.row())], pa.binary())], ["shard"])
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = _Shard(queries, statistics)
-        for piece in arrowtext.slices(batches, "text"):
+        for piece in arrowtext.slices(batches, "text", TEXT_BYTES):
             found, low = _vectors(piece.column("text"), queries), 0
             while low < piece.num_rows:
                 high = min(piece.num_rows, low + shard.room - shard.held)
                 shard.add(piece.column("id"), found, low, high)
                 low = high
                 if shard.held >= shard.room:
-                    yield shard.row()
+                    yield packed(shard)
         if shard.held:
-            yield shard.row()
+            yield packed(shard)
 
-    return docs.select("id", "text").mapInArrow(gather, INDEX)
+    return docs.select("id", "text").mapInArrow(tidy(gather), "shard binary")
 
 
 class _Best:
@@ -327,14 +352,14 @@ def search_index(index: DataFrame, queries: Queries, statistics: Statistics, k:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = _Searcher(queries, statistics.weights, k)
         for batch in batches:
-            for at in range(batch.num_rows):
-                searcher.shard({name: batch.column(name)[at].values for name in INDEX.fieldNames()})
+            for value in batch.column("shard"):
+                searcher.shard(unpack(value.as_buffer()))
         for query, best in enumerate(searcher.best):
             if len(best.score):
                 ids = pa.array(best.id, mask=best.none)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), query)), pa.array(best.score), ids], ["query", "score", "id"])
 
-    found = index.mapInArrow(search, "query bigint, score bigint, id bigint")
+    found = index.mapInArrow(tidy(search), "query bigint, score bigint, id bigint")
     order = [F.col("score").desc(), F.col("id").asc_nulls_last()]
     found = found.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(64)))
     found = found.withColumn("rank", F.row_number().over(Window.partitionBy("query", "part").orderBy(*order))).where(F.col("rank") <= k)
@@ -374,7 +399,7 @@ def rank_documents(
         if not len(queries.vocabulary):
             continue
         statistics = corpus_statistics(docs, queries)
-        index = stored(build_index(docs, queries, statistics), "lexical-index", **{"parquet.block.size": str(8 << 20)})
+        index = stored(build_index(docs, queries, statistics), "lexical-index", **STORAGE)
         names = spark.createDataFrame([(at, row.id) for at, row in enumerate(own)], T.StructType([T.StructField("query", T.LongType()), T.StructField("item", kind)]))
         found = search_index(index, queries, statistics, k).join(names, "query")
         found = found.select(F.col("item").alias(item_column), "rank", F.col("id").alias(id_column), "score")

@@ -9,6 +9,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +100,29 @@ def test_blocks_hold_their_maxima():
     assert at == len(row["summaries"]) and several > 10
 
 
+def test_shards_travel_packed(spark):
+    docs, items = random_corpus(7, 300)
+    queries = lexical.read_queries([i for i, _ in items], [t for _, t in items])
+    table = spark.createDataFrame(docs, "id long, text string").coalesce(1)
+    statistics = lexical.corpus_statistics(table, queries)
+    index = lexical.build_index(table, queries, statistics)
+    assert [field.dataType.typeName() for field in index.schema] == ["binary"]  # readers and batches hold no shard's arrays
+    (value,) = index.collect()
+    shard = lexical._Shard(queries, statistics)
+    shard.add(pa.array([i for i, _ in docs]), lexical._vectors(pa.array([t for _, t in docs]), queries), 0, len(docs))
+    row, parts = shard.row(), lexical.unpack(pa.py_buffer(value[0]))
+    assert {name: row.column(name)[0].values.to_pylist() for name in lexical.INDEX.fieldNames()} == {name: part.to_pylist() for name, part in parts.items()}
+    assert len(value[0]) < row.nbytes / 2
+
+
+def test_row_groups_of_an_index_are_cut_by_size(spark, tmp_path):
+    shards = spark.range(40).coalesce(1).select(F.expr("cast(repeat(sha2(cast(id as string), 256), 16384) as binary)").alias("shard"))  # 1 MB each
+    shards.write.options(**lexical.STORAGE).parquet(str(tmp_path / "index"))
+    (file,) = (tmp_path / "index").glob("*.parquet")
+    meta = pq.ParquetFile(file).metadata
+    assert max(meta.row_group(at).total_byte_size for at in range(meta.num_row_groups)) < 12 << 20
+
+
 @pytest.mark.parametrize("limit", [None, 200])
 def test_ranks_by_brute_force(spark, monkeypatch, limit):
     if limit:
